@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from ..runtime import table
 from .bpe import encoding_digest
 from .exact import duplicate_groups
+from .imatch import edited_fingerprints
 from .labelled import fold
 from .mixing import mix
+from .pii import KINDS, count_of, personal_data, span_text
 from .quality import quality_scores
 from .simhash import hex_fingerprint, near_duplicates
 
@@ -35,6 +37,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    counts = [count_of("base", k).alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = duplicate_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
@@ -49,7 +61,9 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
     "op4_mixing": op4_mixing,
+    "op5_imatch": op5_imatch,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
 
