@@ -18,6 +18,8 @@ from .pii import KINDS, count_of, personal_data, span_text
 from .quality import quality_scores
 from .simhash import hex_fingerprint, near_duplicates
 
+from .toxicity import toxicity_scores
+
 
 def tokenizer_path(name: str) -> str:
     """Where the installed package of public vocabularies keeps a file."""
@@ -41,6 +43,11 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents"))
     counts = [count_of("base", k).alias(f"n_{k}") for k in KINDS]
@@ -63,6 +70,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_imatch": op5_imatch,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
