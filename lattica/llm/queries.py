@@ -13,11 +13,13 @@ from .bpe import encoding_digest
 from .exact import duplicate_groups
 from .imatch import edited_fingerprints
 from .labelled import fold
+from .licenses import license_matches
 from .mixing import mix
 from .pii import KINDS, count_of, personal_data, span_text
 from .quality import quality_scores
 from .simhash import hex_fingerprint, near_duplicates
 
+from .token_counts import edited_counts, three_edits
 from .toxicity import toxicity_scores
 
 
@@ -35,6 +37,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -48,6 +54,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), three_edits(F.col("text")))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents"))
     counts = [count_of("base", k).alias(f"n_{k}") for k in KINDS]
@@ -67,10 +77,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_bpe": op2_bpe,
+    "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_imatch": op5_imatch,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_token_counts": op8_token_counts,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
 }
