@@ -1,23 +1,443 @@
-"""Queries by name, and DuckDB SQL that gives the same rows."""
+"""Queries by name over the driver's tables, and DuckDB SQL that gives the same rows.
+
+Stand-ins for the scholarly tables: work = order, author = supplier, institution = nation,
+lineage = nation and region, publication date = order date, authorship = lineitem.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import ids, text, values
+from ..operators import flatten as fl
+from ..operators import graph as g
+from ..operators import relational as r
+from ..operators.components import connected_components
 from ..runtime import table
 
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _orders(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "orders")
+
+
+def _lines(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "lineitem")
+
+
+def _authors(s: SparkSession, d: str) -> DataFrame:
+    """Distinct (work, author) of lineitem."""
+    return _lines(s, d).select(F.col("l_orderkey").alias("work"), F.col("l_suppkey").alias("author")).distinct()
+
+
+def _edges(s: SparkSession, d: str) -> DataFrame:
+    """Order to part for large quantities; parts get odd ids, orders even ones."""
+    rows = _lines(s, d).where("l_quantity >= 50")
+    return rows.select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst")).distinct()
+
+
+EDGES = "SELECT DISTINCT l_orderkey * 2 AS src, l_partkey * 2 + 1 AS dst FROM lineitem WHERE l_quantity >= 50"
+PARTS = f"""
+    e AS ({EDGES}), v AS (SELECT src AS id FROM e UNION SELECT dst FROM e),
+    b AS (SELECT src AS x, dst AS y FROM e UNION SELECT dst, src FROM e),
+    reach AS (SELECT id, id AS seen FROM v UNION SELECT reach.id, b.y FROM reach JOIN b ON b.x = reach.seen),
+    parts AS (SELECT id, min(seen) AS component FROM reach GROUP BY id)"""
+
+
+@query("""
+    SELECT l_orderkey, count(*) AS n_lines FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 AND o_orderpriority[1] IN ('1', '2'))
+    GROUP BY l_orderkey""")
+def filter_slice(s, d):
+    works = r.in_years(_orders(s, d), F.year("o_orderdate"), 1996, 1998).where(F.substring("o_orderpriority", 1, 1).isin("1", "2"))
+    lines = r.with_ids(_lines(s, d), "l_orderkey", works.select("o_orderkey"))
+    return lines.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
+
+
+@query("""
+    SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders
+    WHERE (o_orderpriority IN ('1-URGENT', '2-HIGH') OR o_orderstatus IN ('F')) AND o_totalprice > 100000""")
+def type_filter(s, d):
+    return r.above(r.of_type(_orders(s, d), ["1-URGENT", "2-HIGH", "F"], "o_orderpriority", "o_orderstatus"), "o_totalprice", 100000).select("o_orderkey", "o_orderpriority", "o_orderstatus")
+
+
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE lower(c_mktsegment) IN ('building', 'machinery')")
+def named_rows(s, d):
+    return r.named(table(s, d, "customer"), "c_mktsegment", ["Building", "MACHINERY"]).select("c_custkey", "c_mktsegment")
+
+
+@query("""
+    SELECT l_orderkey, l_partkey, l_linenumber FROM lineitem
+    WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 25) AND l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 50000)""")
+def induced_edges(s, d):
+    orders = _orders(s, d).where("o_totalprice > 50000").select("o_orderkey")
+    parts = table(s, d, "part").where("p_size <= 25").select("p_partkey")
+    return r.induced_edges(_lines(s, d), orders, "l_orderkey", "l_partkey", parts).select("l_orderkey", "l_partkey", "l_linenumber")
+
+
+@query("SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)")
+def skip_ids(s, d):
+    skip = table(s, d, "labels").where("toxic = 1").select("doc_id").distinct()
+    return r.without_ids(table(s, d, "documents"), "doc_id", skip).select("doc_id", "source")
+
+
+@query("""
+    SELECT c_custkey, c_custkey AS work_id, CASE WHEN c_custkey % 3 = 0 THEN c_nationkey ELSE c_custkey END AS topic_id,
+           'https://openalex.org/A' || c_custkey AS url, CASE WHEN c_custkey >= 10 THEN c_custkey END AS found, 'W' || c_custkey AS vertex
+    FROM customer""")
+def id_parse(s, d):
+    key = F.col("c_custkey").cast("string")
+    url = F.concat(F.lit("  https://openalex.org/W"), key, F.lit(" "))
+    topic = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("https://openalex.org/domains/"), F.col("c_nationkey").cast("string"))).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("https://openalex.org/topics/T"), key)).otherwise(F.concat(F.lit("https://openalex.org/T"), key))
+    return table(s, d, "customer").select("c_custkey", ids.openalex_id(url).alias("work_id"), ids.topic_id(topic).alias("topic_id"), ids.id_url("A", F.col("c_custkey")).alias("url"), ids.first_id(F.concat(F.lit("see W"), key)).alias("found"), ids.vertex_name("W", F.col("c_custkey")).alias("vertex"))
+
+
+@query("SELECT page_id, regexp_replace(html, '<[^\\n]*?>', '', 'g') AS plain, replace(url, 'https://', '') AS short FROM pages")
+def html_clean(s, d):
+    return table(s, d, "pages").select("page_id", text.without_html(F.col("html")).alias("plain"), ids.without_prefix(F.col("url"), "https://").alias("short"))
+
+
+@query(r"""
+    SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(strip_accents(lower(text)),
+        '[^\x00-\x7F]', '', 'g'), '<[^\n]*?>', '', 'g'), '[^\pL\pN\s]', '', 'g'), '\b(an?|the|and)\b', '', 'g'), '\s+', '', 'g'), '^$', '') AS key
+    FROM documents""")
+def dedup_key(s, d):
+    plain = F.regexp_replace(text.strip_accents(F.lower("text")), r"[^\x00-\x7F]", "")
+    return table(s, d, "documents").select("doc_id", text.dedup_key(plain).alias("key"))
+
+
+@query(r"SELECT doc_id, coalesce(regexp_replace(strip_accents(text), '[^\x00-\x7F]', ' ', 'g'), '') AS plain FROM documents")
+def ascii_clean(s, d):
+    return table(s, d, "documents").select("doc_id", text.ascii_clean(F.col("text")).alias("plain"))
+
+
+@query(r"SELECT doc_id, nullif(array_to_string(string_split_regex(trim(text, ' ' || chr(9) || chr(10) || chr(13)), '[ \t\n\x0B\f\r]+'), ' '), '') AS abstract FROM documents")
+def abstract_roundtrip(s, d):
+    index = text.inverted_index(F.trim(F.regexp_replace("text", r"[ \t\n\x0B\f\r]+", " ")), " ")
+    return table(s, d, "documents").select("doc_id", text.abstract_text(text.index_of(F.to_json(index))).alias("abstract"))
+
+
+def _nested(s: SparkSession, d: str) -> DataFrame:
+    """Orders as nested works, so that the flattening operators run on the driver's tables."""
+    place = F.struct(F.concat(F.lit("https://openalex.org/I"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("display_name"), F.upper(F.substring("n_name", 1, 2)).alias("country_code"),
+                     F.array(F.concat(F.lit("https://openalex.org/I"), F.col("n_nationkey").cast("string")), F.concat(F.lit("https://openalex.org/I"), (F.col("n_regionkey") + 1000).cast("string"))).alias("lineage"))
+    who = F.struct(F.concat(F.lit("https://openalex.org/A"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("display_name"))
+    people = table(s, d, "supplier").join(table(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", who.alias("author"), F.array(place).alias("institutions"))
+    lines = _lines(s, d).join(people, F.col("l_suppkey") == F.col("s_suppkey"))
+    one = F.struct("l_linenumber", "author", "institutions")
+    refs = F.sort_array(F.collect_list(F.struct("l_linenumber", F.concat(F.lit("https://openalex.org/W"), F.col("l_partkey").cast("string")).alias("ref"))))
+    held = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(one)).alias("a"), refs.alias("refs"))
+    works = _orders(s, d).join(held, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    from ..schemas import NESTED
+
+    auth = F.transform("a", lambda x: F.struct(x["author"].alias("author"), F.concat(F.lit("line "), x["l_linenumber"].cast("string")).alias("author_position"), F.lit(None).cast("string").alias("raw_author_name"), F.lit(False).alias("is_corresponding"), F.lit(None).cast("string").alias("raw_affiliation_string"), F.lit(None).cast("array<string>").alias("raw_affiliation_strings"), x["institutions"].alias("institutions")))
+    known = {
+        "id": F.concat(F.lit("https://openalex.org/W"), F.col("o_orderkey").cast("string")), "doi": F.concat(F.lit("https://doi.org/10.1/"), F.col("o_orderkey").cast("string")), "title": F.concat(F.lit("Order\\n"), F.col("o_orderpriority")),
+        "publication_year": F.year("o_orderdate"), "cited_by_count": F.col("o_custkey"), "is_retracted": F.when(F.col("o_orderstatus") == "F", "True").when(F.col("o_orderstatus") == "O", "false"), "authorships": auth, "referenced_works": F.transform("refs", lambda x: x["ref"]),
+    }
+    from pyspark.sql import types as T
+
+    return works.select(*[(known[f.name] if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(NESTED["works"])])
+
+
+@query("""
+    SELECT o_orderkey AS work_id, '10.1/' || o_orderkey AS doi, 'Order ' || o_orderpriority AS title, year(o_orderdate) AS publication_year, o_orderstatus = 'F' AS is_retracted,
+           (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_suppkey % 7 <> 0) AS num_authors,
+           (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_partkey % 10 <> 3) AS num_references,
+           (SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_suppkey % 7 <> 0) > 0 AS has_complete_institution_info
+    FROM orders o WHERE o_orderkey % 10 <> 3""")
+def flatten_works(s, d):
+    gone = {"authors": table(s, d, "supplier").where("s_suppkey % 7 = 0").select(F.col("s_suppkey").alias("id"))}
+    gone["works"] = _orders(s, d).select(F.col("o_orderkey").alias("id")).unionByName(_lines(s, d).select(F.col("l_partkey").alias("id"))).where("id % 10 = 3").distinct()
+    rows = fl.flatten_works(_nested(s, d), gone)["works"]
+    return rows.select("work_id", "doi", "title", "publication_year", "is_retracted", "num_authors", "num_references", "has_complete_institution_info")
+
+
+@query("""
+    SELECT l_orderkey AS work_id, l_partkey AS referenced_work_id FROM lineitem""")
+def flatten_references(s, d):
+    return fl.flatten_works(_nested(s, d))["works_referenced_works"]
+
+
+@query("""
+    WITH p AS (SELECT s_suppkey, n_nationkey, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+    SELECT DISTINCT l_orderkey AS work_id, 'line ' || l_linenumber AS author_position, l_suppkey AS author_id, x.level AS institution_lineage_level,
+           CASE x.level WHEN 0 THEN n_nationkey ELSE n_regionkey + 1000 END AS institution_id, x.level = 0 AS assigned_institution
+    FROM lineitem JOIN p ON l_suppkey = s_suppkey CROSS JOIN (VALUES (0), (1)) AS x(level)
+    WHERE NOT (x.level = 1 AND n_regionkey = 2)""")
+def lineage_expand(s, d):
+    skip = {"institutions": table(s, d, "region").where("r_regionkey = 2").select((F.col("r_regionkey") + 1000).cast("bigint").alias("id"))}
+    return fl.flatten_works(_nested(s, d), skip)["works_authorships"].select("work_id", "author_position", "author_id", "institution_lineage_level", "institution_id", "assigned_institution")
+
+
+@query("SELECT o_orderkey AS work_id, count(l_orderkey) AS n_children FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
+def counts_children(s, d):
+    one = _nested(s, d)
+    return one.select(ids.openalex_id(F.col("id")).alias("work_id"), F.coalesce(F.when(F.col("authorships").isNotNull(), F.size("authorships")), F.lit(0)).cast("bigint").alias("n_children"))
+
+
+@query("""
+    SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) = 1 AS is_primary FROM lineitem""")
+def primary_first(s, d):
+    held = _lines(s, d).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("x"))
+    return held.select("l_orderkey", F.posexplode("x").alias("pos", "e")).select("l_orderkey", "e.l_partkey", (F.col("pos") == 0).alias("is_primary"))
+
+
+@query("SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k, coalesce(try_cast(event_type AS BOOLEAN), false) AS flag FROM events")
+def props_parse(s, d):
+    return table(s, d, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"), values.to_bool(F.col("event_type")).alias("flag"))
+
+
+@query("SELECT user_id, event_type, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events) WHERE n = 1")
+def keep_first(s, d):
+    return r.keep_first(table(s, d, "events"), ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id", "ts")
+
+
+@query("SELECT user_id, event_type, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1")
+def keep_last(s, d):
+    return r.keep_first(table(s, d, "events"), ["user_id", "event_type"], F.desc("ts"), F.desc("event_id")).select("user_id", "event_type", "event_id", "ts")
+
+
+@query("""
+    SELECT cast(user_id AS VARCHAR) AS path FROM events WHERE event_type <> 'signup'
+    GROUP BY user_id HAVING count(DISTINCT event_type) = (SELECT count(DISTINCT event_type) FROM events WHERE event_type <> 'signup')""")
+def completed_inputs(s, d):
+    events = table(s, d, "events")
+    log = events.select(F.col("ts").alias("timestamp"), F.col("user_id").cast("string").alias("path"), F.col("event_type").alias("table"), F.col("event_id").alias("records"))
+    kinds = events.where("event_type <> 'signup'").agg(F.count_distinct("event_type")).first()[0]
+    return r.completed(log, kinds, ["signup"])
+
+
+@query("SELECT l_orderkey AS work, count(l_suppkey) AS n FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) GROUP BY l_orderkey")
+def authors_per_work(s, d):
+    return r.per_key(_authors(s, d), "work", "author")
+
+
+@query("SELECT l_suppkey AS author, string_agg(cast(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey) AS works FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) GROUP BY l_suppkey")
+def works_per_author(s, d):
+    return g.members(_authors(s, d), "author", "work").select("author", F.array_join(F.col("items").cast("array<string>"), ",").alias("works"))
+
+
+@query("SELECT l_quantity, count(*) AS n FROM lineitem GROUP BY l_quantity")
+def freq(s, d):
+    return r.frequencies(_lines(s, d), "l_quantity")
+
+
+@query("""
+    SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P"
+    FROM orders GROUP BY o_orderpriority""")
+def crosstab(s, d):
+    return r.crosstab(_orders(s, d), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+
+
+@query("SELECT DISTINCT l_returnflag, l_linestatus, year(l_shipdate) AS year FROM lineitem")
+def distinct_rows(s, d):
+    return _lines(s, d).select("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("year")).dropDuplicates()
+
+
+@query("""
+    WITH a AS (SELECT DISTINCT l_orderkey AS w, l_suppkey AS s FROM lineitem)
+    SELECT x.s AS a, y.s AS b, count(*) AS weight FROM a x JOIN a y ON x.w = y.w AND x.s < y.s GROUP BY x.s, y.s""")
+def coauthor_pairs(s, d):
+    return g.projection(_authors(s, d), "author", "work")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) <= 4)")
+def small_groups(s, d):
+    return r.small_groups(_lines(s, d), "l_orderkey", 4).select("l_orderkey", "l_linenumber")
+
+
+@query("""
+    WITH e AS (SELECT o_orderkey AS src, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS dst FROM orders),
+    n AS (SELECT l_orderkey AS k, count(DISTINCT l_suppkey) AS c FROM lineitem GROUP BY l_orderkey)
+    SELECT src, dst, a.c AS src_count, b.c AS dst_count, 1.0::DOUBLE / (a.c * b.c) AS weight FROM e JOIN n a ON a.k = src JOIN n b ON b.k = dst""")
+def citation_weight(s, d):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    edges = _orders(s, d).select(F.col("o_orderkey").alias("src"), F.lag("o_orderkey").over(w).alias("dst")).where("dst IS NOT NULL")
+    return g.citation_weights(edges, r.per_key(_authors(s, d), "work", "author"), "work", "n")
+
+
+@query("SELECT degree, count(*) AS n FROM (SELECT l_suppkey, count(DISTINCT l_orderkey) AS degree FROM lineitem GROUP BY l_suppkey UNION ALL SELECT l_orderkey, count(DISTINCT l_suppkey) FROM lineitem GROUP BY l_orderkey) GROUP BY degree")
+def degree_hist(s, d):
+    return g.degree_histogram(_authors(s, d).select((F.col("work") * 2).alias("src"), (F.col("author") * 2 + 1).alias("dst")))
+
+
+@query(f"WITH RECURSIVE {PARTS} SELECT id, component FROM parts")
+def components(s, d):
+    return connected_components(_edges(s, d))
+
+
+@query(f"""WITH RECURSIVE {PARTS}, t AS (SELECT component FROM parts GROUP BY component ORDER BY count(*) DESC, component LIMIT 1)
+    SELECT src, dst FROM e WHERE src IN (SELECT id FROM parts WHERE component IN (SELECT component FROM t))""")
+def lcc(s, d):
+    return g.largest_subgraph(_edges(s, d))
+
+
+@query(f"WITH RECURSIVE {PARTS} SELECT component, count(*) AS size FROM parts GROUP BY component ORDER BY size DESC, component LIMIT 10")
+def top_components(s, d):
+    return g.component_sizes(_edges(s, d)).orderBy(F.desc("size"), "component").limit(10)
+
+
+@query(f"WITH RECURSIVE {PARTS} SELECT count(DISTINCT component) = 1 AS connected FROM parts")
+def is_connected(s, d):
+    return g.is_connected(_edges(s, d))
+
+
+@query("SELECT true AS bipartite")
+def is_bipartite(s, d):
+    return g.is_bipartite(_edges(s, d))
+
+
+@query(f"""WITH e AS ({EDGES}), o AS (SELECT src AS id, string_agg(cast(dst AS VARCHAR), ',' ORDER BY dst) AS refs FROM e GROUP BY src), i AS (SELECT dst AS id, string_agg(cast(src AS VARCHAR), ',' ORDER BY src) AS cites FROM e GROUP BY dst)
+    SELECT coalesce(o.id, i.id) AS id, coalesce(refs, '') AS refs, coalesce(cites, '') AS cites FROM o FULL JOIN i ON o.id = i.id""")
+def refs_cites(s, d):
+    return g.references_and_citations(_edges(s, d)).select("id", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("refs", "cites")])
+
+
+@query(f"WITH e AS ({EDGES}) SELECT (SELECT count(*) FROM (SELECT src FROM e UNION SELECT dst FROM e)) AS vertices, (SELECT count(*) FROM e) AS edges")
+def graph_size(s, d):
+    return g.graph_size(_edges(s, d))
+
+
+@query(f"""WITH e AS ({EDGES}), k AS (SELECT src AS id FROM e WHERE src % 20 = 0)
+    SELECT DISTINCT dst AS id FROM e WHERE src IN (SELECT id FROM k) AND dst NOT IN (SELECT id FROM k)""")
+def one_hop(s, d):
+    edges = _edges(s, d)
+    return g.one_hop(edges, edges.where("src % 20 = 0").select("src").distinct())
+
+
+@query("""
+    SELECT l_partkey AS concept, string_agg(cast(l_orderkey AS VARCHAR), ',' ORDER BY q DESC, l_orderkey) AS works
+    FROM (SELECT l_partkey, l_orderkey, max(l_quantity) AS q FROM lineitem GROUP BY l_partkey, l_orderkey) GROUP BY l_partkey""")
+def works_best_first(s, d):
+    one = _lines(s, d).groupBy("l_partkey", "l_orderkey").agg(F.max("l_quantity").alias("q"))
+    return g.best_first(one, "l_partkey", "l_orderkey", "q").select(F.col("l_partkey").alias("concept"), F.array_join(F.transform("items", lambda x: x["item"].cast("string")), ",").alias("works"))
+
+
+ROLLING = """
+    WITH a AS (SELECT DISTINCT l_orderkey AS work, l_suppkey AS author FROM lineitem),
+    c AS (SELECT a.author, a.work, o_orderdate AS date, list_sort(list_distinct(list(b.author) FILTER (b.author <> a.author))) AS others
+          FROM a JOIN orders ON o_orderkey = a.work JOIN a b ON b.work = a.work GROUP BY ALL),
+    w AS (SELECT author, work, list(coalesce(others, [])) OVER ({frame}) AS sets FROM c),
+    x AS (SELECT author, work, list_reduce(sets, (p, q) -> list_intersect(p, q)) AS common, list_distinct(flatten(sets)) AS every FROM w)
+    SELECT author, work, len(common)::DOUBLE / greatest(1, len(every)) AS rolling_jaccard FROM x"""
+
+
+def _companions(s: SparkSession, d: str) -> DataFrame:
+    rows = _lines(s, d).join(_orders(s, d), F.col("l_orderkey") == F.col("o_orderkey"))
+    return r.companions(rows, "l_orderkey", "l_suppkey", "o_orderdate")
+
+
+@query(ROLLING.format(frame="PARTITION BY author ORDER BY date, work ROWS BETWEEN 4 PRECEDING AND CURRENT ROW"))
+def rolling_overlap(s, d):
+    return r.rolling_overlap(_companions(s, d), "l_suppkey", "l_orderkey", "o_orderdate").select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
+
+
+@query("""
+    WITH a AS (SELECT DISTINCT l_orderkey AS work, l_suppkey AS author FROM lineitem),
+    c AS (SELECT a.author, a.work, o_orderdate AS date, coalesce(list_distinct(list(b.author) FILTER (b.author <> a.author)), []) AS others
+          FROM a JOIN orders ON o_orderkey = a.work JOIN a b ON b.work = a.work GROUP BY ALL),
+    w AS (SELECT x.author, x.work, list(y.others) AS sets FROM c x JOIN c y ON y.author = x.author AND y.date > x.date - INTERVAL 30 DAY AND (y.date < x.date OR (y.date = x.date AND y.work <= x.work)) GROUP BY x.author, x.work),
+    z AS (SELECT author, work, list_reduce(sets, (p, q) -> list_intersect(p, q)) AS common, list_distinct(flatten(sets)) AS every FROM w)
+    SELECT author, work, len(common)::DOUBLE / greatest(1, len(every)) AS rolling_jaccard FROM z""")
+def rolling_overlap_days(s, d):
+    return r.rolling_overlap_days(_companions(s, d), "l_suppkey", "l_orderkey", "o_orderdate", days=30).select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS \"distinct\", count(*) AS rows, least(count(DISTINCT {c})::DOUBLE / count(*), 0.1) AS ratio, count(DISTINCT {c})::DOUBLE / count(*) < 0.05 AS categorise FROM orders" for c in ("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderkey")))
+def cardinality_profile(s, d):
+    return r.cardinality(_orders(s, d), ["o_custkey", "o_orderstatus", "o_orderpriority", "o_orderkey"])
+
+
+def _estimate_sql(half: str) -> str:
+    return f"SELECT o_orderpriority, count(*) AS n, round(avg(o_totalprice), 4) AS y, round(avg(o_totalprice) - {half}, 4) AS ymin, round(avg(o_totalprice) + {half}, 4) AS ymax FROM orders GROUP BY o_orderpriority"
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 4) for c in ("y", "ymin", "ymax")})
+
+
+@query(_estimate_sql("stddev_samp(o_totalprice)"))
+def estimate_sd(s, d):
+    return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", error="sd"))
+
+
+@query(_estimate_sql("stddev_samp(o_totalprice) / sqrt(count(*))"))
+def estimate_se(s, d):
+    return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", error="se"))
+
+
+@query("SELECT o_orderpriority, count(*) AS n, round(quantile_cont(o_totalprice, 0.5), 4) AS y, round(quantile_cont(o_totalprice, 0.025), 4) AS ymin, round(quantile_cont(o_totalprice, 0.975), 4) AS ymax FROM orders GROUP BY o_orderpriority")
+def estimate_median_pi(s, d):
+    return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", of="median", error="pi"))
+
+
+@query()
+def estimate_bootstrap(s, d):
+    return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", error="ci", replicates=200))
+
+
+@query("""
+    SELECT cast(o_orderkey AS VARCHAR) AS source_file, 'lineitem' AS missing FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+def missing_tables(s, d):
+    parents = _orders(s, d).select(F.col("o_orderkey").cast("string").alias("source_file"))
+    children = _lines(s, d).select(F.col("l_orderkey").cast("string").alias("source_file"), F.lit("lineitem").alias("table"))
+    return r.missing_tables(parents, children, ["lineitem"]).select("source_file", F.array_join("missing", ",").alias("missing"))
+
+
+@query("""
+    SELECT cast(o_orderkey AS VARCHAR) AS filename, 4 AS expected, count(l_orderkey) AS actual, 4 - count(l_orderkey) AS difference
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey HAVING abs(4 - count(l_orderkey)) > 2""")
+def validate_counts(s, d):
+    manifest = _orders(s, d).select(F.col("o_orderkey").cast("string").alias("filename"), F.lit(4).alias("records"))
+    counts = _lines(s, d).groupBy(F.col("l_orderkey").cast("string").alias("filename")).agg(F.count("*").alias("n"))
+    return r.validated(manifest, counts, 2)
+
+
+@query("SELECT l_orderkey AS key, 'repeated' AS problem FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1 UNION ALL SELECT l_orderkey, 'differs' FROM lineitem WHERE l_orderkey <> l_partkey")
+def key_check(s, d):
+    return r.inconsistent_keys(_lines(s, d), "l_orderkey", "l_partkey")
+
+
+@query("SELECT o_orderkey, n_name, r_name FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey")
+def lookup(s, d):
+    rows = _orders(s, d).join(table(s, d, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = r.looked_up(rows, "c_nationkey", table(s, d, "nation"), "n_nationkey", "n_name", "n_regionkey")
+    return r.looked_up(rows, "n_regionkey", table(s, d, "region"), "r_regionkey", "r_name").select("o_orderkey", "n_name", "r_name")
+
+
+@query("""
+    SELECT DISTINCT l_suppkey AS author, l_orderkey AS work FROM lineitem WHERE l_suppkey IN
+        (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 1 AND p_partkey % 50 = 0)))""")
+def concept_chain(s, d):
+    lines = _lines(s, d).select(F.col("l_orderkey").alias("work"), F.col("l_suppkey").alias("author"), F.col("l_partkey").alias("concept"))
+    parts = table(s, d, "part").where("p_size = 1 AND p_partkey % 50 = 0").select("p_partkey")
+    return r.concept_neighbourhood(lines, lines, parts, "concept", "work", "author")
+
 
-def filter_slice(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").where(F.year("o_orderdate").between(1996, 1998) & F.col("o_orderpriority").substr(1, 1).isin("1", "2"))
-    kept = table(spark, d, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
-    return kept.groupBy("l_orderkey").agg(F.count("*").alias("n_lines"))
+@query("SELECT least(3, floor((l_linenumber - lo) / ((hi - lo) / 4.0::DOUBLE)))::INT AS bin, count(*) AS n FROM lineitem, (SELECT min(l_linenumber) AS lo, max(l_linenumber) AS hi FROM lineitem) GROUP BY 1")
+def weight_histogram(s, d):
+    return g.weight_histogram(_lines(s, d).select(F.col("l_linenumber").cast("double").alias("weight")), bins=4).select("bin", "n")
 
 
-QUERIES = {"filter_slice": filter_slice}
-ORACLE_SQL = {
-    "filter_slice": """
-        SELECT l_orderkey, count(*) AS n_lines FROM lineitem
-        WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 AND o_orderpriority[1] IN ('1', '2'))
-        GROUP BY l_orderkey""",
-}
+@query("SELECT o_orderkey, CASE o_orderpriority[1] WHEN '1' THEN 1 WHEN '2' THEN 6 END AS code, upper(o_orderstatus[1]) AS initial FROM orders")
+def type_codes(s, d):
+    kind = F.when(F.substring("o_orderpriority", 1, 1) == "1", "journal-article").when(F.substring("o_orderpriority", 1, 1) == "2", "book").otherwise("no such type")
+    return values.encode_types(_orders(s, d).withColumn("kind", kind), "kind").select("o_orderkey", "code", values.position_initial(F.col("o_orderstatus")).alias("initial"))
