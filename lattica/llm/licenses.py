@@ -36,11 +36,11 @@ def shingles(text: Column) -> Column:
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
     def hashed(w: Column) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - (SHINGLE - 1)))
-        return F.transform(at, lambda i: F.xxhash64(F.slice(w, i, F.lit(SHINGLE))))
+        at = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(w) - SHINGLE))
+        return F.transform(at, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))
 
-    # the words are an argument of a lambda, so that they are split once
-    return F.element_at(F.transform(F.array(words), hashed), 1)
+    # the word hashes are an argument of a lambda, so that they are made once
+    return F.element_at(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), hashed), 1)
 
 
 def _mixed(h: Column, band: int) -> Column:
@@ -83,9 +83,13 @@ def license_matches(docs: DataFrame, templates: DataFrame | None = None, id_col:
     spark = docs.sparkSession
     given = prepared(templates if templates is not None else spark.createDataFrame(list(TEMPLATES.items()), "name string, text string"))
     long, short = ([t for t in given if (len(t["hashes"]) >= 2 * WINDOW - 1) == k] for k in (True, False))
-    rows = docs.select(F.col(id_col).alias("doc_id"), shingles(F.col(text_col).cast("string")).alias("hashes"))
+    # explode of one element: a filter on a column made so isn't pushed below it, where it would be made again for each use
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.array(shingles(F.col(text_col).cast("string")))).alias("hashes"))
+    # a window can only have a template window's MinHash if it holds the shingle that gives it: texts without any such shingle need no windows
+    rows = rows.where(F.arrays_overlap("hashes", _constant(sorted({h for t in given for h in t["hashes"]}))))
     bands = _minima(F.col("hashes"), _starts(F.col("hashes"), STEP)) if long else []
-    rows = rows.select("doc_id", "hashes", *[m.alias(f"band{i}") for i, m in enumerate(bands)])
+    if bands:
+        rows = rows.select("doc_id", "hashes", F.explode(F.array(F.struct(*[m.alias(f"band{i}") for i, m in enumerate(bands)]))).alias("b")).select("doc_id", "hashes", "b.*")
     met = [F.arrays_overlap(f"band{i}", _constant(sorted({v for t in long for v in t[f"band{i}"]}))) for i in range(len(bands))]
     met.append(F.arrays_overlap("hashes", _constant(sorted({v for t in short for v in t["hashes"]}))))
     any_met = met[0]
