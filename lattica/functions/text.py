@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -64,12 +64,16 @@ def index_of(c: Column) -> Column:
 def abstract_text(index: Column) -> Column:
     """Words of an inverted index (word to positions) in the order of positions; null for none. Of two words at a position the later entry's counts."""
     placed = F.flatten(F.transform(F.map_entries(index), lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("at"), i.alias("entry"), e["key"].alias("word")))))
-    held = F.array_sort(placed)
-    last = F.filter(held, lambda x, i: F.coalesce(F.get(held, i + 1)["at"] != x["at"], F.lit(True)))
-    return F.nullif(F.array_join(F.transform(last, lambda x: x["word"]), " "), F.lit(""))
 
+    def joined(held: Column) -> Column:
+        last = F.filter(held, lambda x, i: F.coalesce(F.get(held, i + 1)["at"] != x["at"], F.lit(True)))
+        return F.nullif(F.array_join(F.transform(last, lambda x: x["word"]), " "), F.lit(""))
 
-def inverted_index(text: Column, pattern: str = r"\s+") -> Column:
-    """The inverse of abstract_text: each word of a text with its positions."""
-    words = F.split(F.trim(text), pattern)
-    return F.map_from_entries(F.transform(F.array_distinct(words), lambda w: F.struct(w, F.filter(F.transform(words, lambda x, i: F.when(x == w, i)), lambda i: i.isNotNull()))))
+    return F.element_at(F.transform(F.array(F.array_sort(placed)), joined), 1)  # sorted once, as an argument
+
+
+def inverted_indexes(df: DataFrame, key: str, text: str, pattern: str = r"\s+") -> DataFrame:
+    """(key, index): the inverse of abstract_text, each word of a text with its positions. Keys must be unique; null and empty texts have no row."""
+    words = df.where(F.trim(F.col(text)) != "").select(key, F.posexplode(F.split(F.trim(F.col(text)), pattern)).alias("at", "word"))
+    held = words.groupBy(key, "word").agg(F.sort_array(F.collect_list("at")).alias("places"))
+    return held.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "places"))).alias("index"))

@@ -128,8 +128,8 @@ def ascii_clean(s, d):
 
 @query(r"SELECT doc_id, nullif(array_to_string(string_split_regex(trim(text, ' ' || chr(9) || chr(10) || chr(13)), '[ \t\n\x0B\f\r]+'), ' '), '') AS abstract FROM documents")
 def abstract_roundtrip(s, d):
-    index = text.inverted_index(F.trim(F.regexp_replace("text", r"[ \t\n\x0B\f\r]+", " ")), " ")
-    return table(s, d, "documents").select("doc_id", text.abstract_text(text.index_of(F.to_json(index))).alias("abstract"))
+    docs = table(s, d, "documents").select("doc_id", F.trim(F.regexp_replace("text", r"[ \t\n\x0B\f\r]+", " ")).alias("text"))
+    return text.inverted_indexes(docs, "doc_id", "text", " ").select("doc_id", text.abstract_text(text.index_of(F.to_json("index"))).alias("abstract"))
 
 
 def _nested(s: SparkSession, d: str) -> DataFrame:
