@@ -336,7 +336,7 @@ ROLLING = """
     c AS (SELECT a.author, a.work, o_orderdate AS date, list_sort(list_distinct(list(b.author) FILTER (b.author <> a.author))) AS others
           FROM a JOIN orders ON o_orderkey = a.work JOIN a b ON b.work = a.work GROUP BY ALL),
     w AS (SELECT author, work, list(coalesce(others, [])) OVER ({frame}) AS sets FROM c),
-    x AS (SELECT author, work, list_reduce(sets, (p, q) -> list_intersect(p, q)) AS common, list_distinct(flatten(sets)) AS every FROM w)
+    x AS (SELECT author, work, list_reduce(sets, lambda p, q: list_intersect(p, q)) AS common, list_distinct(flatten(sets)) AS every FROM w)
     SELECT author, work, len(common)::DOUBLE / greatest(1, len(every)) AS rolling_jaccard FROM x"""
 
 
@@ -355,7 +355,7 @@ def rolling_overlap(s, d):
     c AS (SELECT a.author, a.work, o_orderdate AS date, coalesce(list_distinct(list(b.author) FILTER (b.author <> a.author)), []) AS others
           FROM a JOIN orders ON o_orderkey = a.work JOIN a b ON b.work = a.work GROUP BY ALL),
     w AS (SELECT x.author, x.work, list(y.others) AS sets FROM c x JOIN c y ON y.author = x.author AND y.date > x.date - INTERVAL 30 DAY AND (y.date < x.date OR (y.date = x.date AND y.work <= x.work)) GROUP BY x.author, x.work),
-    z AS (SELECT author, work, list_reduce(sets, (p, q) -> list_intersect(p, q)) AS common, list_distinct(flatten(sets)) AS every FROM w)
+    z AS (SELECT author, work, list_reduce(sets, lambda p, q: list_intersect(p, q)) AS common, list_distinct(flatten(sets)) AS every FROM w)
     SELECT author, work, len(common)::DOUBLE / greatest(1, len(every)) AS rolling_jaccard FROM z""")
 def rolling_overlap_days(s, d):
     return r.rolling_overlap_days(_companions(s, d), "l_suppkey", "l_orderkey", "o_orderdate", days=30).select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
