@@ -425,10 +425,10 @@ def lookup(s, d):
 
 @query("""
     SELECT DISTINCT l_suppkey AS author, l_orderkey AS work FROM lineitem WHERE l_suppkey IN
-        (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 1 AND p_partkey % 50 = 0)))""")
+        (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_partkey % 400 = 7)))""")
 def concept_chain(s, d):
     lines = _lines(s, d).select(F.col("l_orderkey").alias("work"), F.col("l_suppkey").alias("author"), F.col("l_partkey").alias("concept"))
-    parts = table(s, d, "part").where("p_size = 1 AND p_partkey % 50 = 0").select("p_partkey")
+    parts = table(s, d, "part").where("p_partkey % 400 = 7").select("p_partkey")
     return r.concept_neighbourhood(lines, lines, parts, "concept", "work", "author")
 
 
