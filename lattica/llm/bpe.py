@@ -52,7 +52,7 @@ class Cache(dict):
 class Bpe:
     """Encoder for a tokenizer file: its normal form and case, its split, its merges. Ids are bytes, four little-endian ones each."""
 
-    def __init__(self, spec: dict, cache: int = 300_000) -> None:
+    def __init__(self, spec: dict, cache: int = 120_000) -> None:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
@@ -176,9 +176,9 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         bpe = encoder(spec.value)
         for b in batches:
             texts = b.column(1).to_pylist()
-            for k in range(0, len(texts), 256):  # ids need several times the text's memory
-                ids = [bpe.encode(t or "") for t in texts[k : k + 256]]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 256), pa.array([np.frombuffer(i, "<i4") for i in ids], pa.list_(pa.int32())), pa.array([bpe.decode(i) for i in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+            for k in range(0, len(texts), 128):  # ids need several times the text's memory
+                ids = [bpe.encode(t or "") for t in texts[k : k + 128]]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 128), pa.array([np.frombuffer(i, "<i4") for i in ids], pa.list_(pa.int32())), pa.array([bpe.decode(i) for i in ids], pa.string())], names=["doc_id", "ids", "decoded"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")

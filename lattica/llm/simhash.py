@@ -207,7 +207,9 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, spec.value) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], names=["id", "shingles"])
+            for k in range(0, b.num_rows, 128):  # sets need several times the text's memory
+                texts = b.column(1).slice(k, 128).to_pylist()
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 128), pa.array([shingle_set(t, spec.value) for t in texts], pa.list_(pa.int64()))], names=["id", "shingles"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(needed, "id", "left_semi")
     kind = texts.schema["id"].dataType.simpleString()
@@ -219,9 +221,9 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return docs.join(gone, docs[id_col] == gone["id"], "left_anti")
 
 
-def shingle_set(text: str | None, shingle: int) -> list[int]:
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; of the whole text if it is shorter; one for no words."""
     words = (text or "").encode().lower().split()
     of = xxhash.xxh64_intdigest
     found = {of(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))}
-    return np.sort(np.fromiter(found, np.uint64, len(found)).view(np.int64)).tolist()
+    return np.sort(np.fromiter(found, np.uint64, len(found)).view(np.int64))
