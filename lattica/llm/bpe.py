@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .batches import parts
+
 #: Fixed value: how byte-level files that name no pattern split a text.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -174,11 +176,9 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(spec.value)
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for k in range(0, len(texts), 128):  # ids need several times the text's memory
-                ids = [bpe.encode(t or "") for t in texts[k : k + 128]]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 128), pa.array([np.frombuffer(i, "<i4") for i in ids], pa.list_(pa.int32())), pa.array([bpe.decode(i) for i in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+        for b in parts(batches, 128):  # ids need several times the text's memory
+            ids = [bpe.encode(t or "") for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([np.frombuffer(i, "<i4") for i in ids], pa.list_(pa.int32())), pa.array([bpe.decode(i) for i in ids], pa.string())], names=["doc_id", "ids", "decoded"])
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded string")
@@ -191,7 +191,7 @@ def encoding_digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(spec.value)
-        for b in batches:
+        for b in parts(batches):
             counts, ids_sha, text_sha = [], [], []
             for t in b.column(1).to_pylist():
                 ids = bpe.encode(t or "")

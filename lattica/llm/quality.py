@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import parts
 from .labelled import sampled
 
 #: Slots of hashed terms: those of word shapes, then those of words.
@@ -43,7 +44,7 @@ class Terms:
         if found is None:
             low = word.lower()
             found = (crc32(shape(word).encode()) % (SHAPES - 128), SHAPES + crc32(low.encode()) % WORDS)
-            if len(self.known) < 200_000 and len(word) < 64:
+            if len(self.known) < 100_000 and len(word) < 64:
                 self.known[word] = found
         return found
 
@@ -80,7 +81,7 @@ def term_frequencies(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, df, n = Terms(), np.zeros(SLOTS + 1, dtype=np.int64), 0
-        for b in batches:
+        for b in parts(batches):
             for t in b.column(0).to_pylist():
                 df[terms(t or "")[0]] += 1
                 n += 1
@@ -102,7 +103,7 @@ def latent_vectors(docs: DataFrame, labels: DataFrame, label: str, learn: Column
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
-        for b in batches:
+        for b in parts(batches):
             pairs = [terms(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.list_(pa.int32())), pa.array([p[1] for p in pairs], pa.list_(pa.float32())), b.column(1)], names=["slots", "counts", "label"])
 
@@ -138,7 +139,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, label: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, project, voters, votes = model.value
         terms, k = Terms(), min(neighbours, len(voters))
-        for b in batches:
+        for b in parts(batches, 512):
             texts, scores = b.column(1).to_pylist(), np.full(b.num_rows, 0.5)
             for a in range(0, len(texts) if k else 0, 512):
                 z = np.zeros((len(texts[a : a + 512]), project.shape[1]), dtype=np.float32)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..runtime import broadcast_below, written
+from .batches import parts
 
 SEED = 42
 
@@ -45,7 +46,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp) with fp a signed 64-bit fingerprint; null and empty texts get 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             fps = np.array([simhash(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
@@ -206,10 +207,8 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spec = spark.sparkContext.broadcast(shingle)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(0, b.num_rows, 128):  # sets need several times the text's memory
-                texts = b.column(1).slice(k, 128).to_pylist()
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 128), pa.array([shingle_set(t, spec.value) for t in texts], pa.list_(pa.int64()))], names=["id", "shingles"])
+        for b in parts(batches, 128):  # sets need several times the text's memory
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, spec.value) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], names=["id", "shingles"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(needed, "id", "left_semi")
     kind = texts.schema["id"].dataType.simpleString()

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import parts
 from .bpe import Bpe, encoder, vocabulary
 
 LEAF = 64
@@ -139,7 +140,7 @@ def edited_counts(docs: DataFrame, path: str, edits: Column, id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(spec.value)
-        for b in batches:
+        for b in parts(batches):
             out: tuple[list, ...] = ([], [], [], [])
             for text, changes in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 tree = TokenTree(text or "", bpe)
