@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .batches import parts
 from .labelled import sampled
@@ -124,33 +125,40 @@ def latent_vectors(docs: DataFrame, labels: DataFrame, label: str, learn: Column
     return idf, project, z.astype(np.float32), np.array([r.label for r in rows], dtype=np.float32)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", per_class: int = 1200, dims: int = 48, neighbours: int = 15) -> DataFrame:
-    """(doc_id, score): one row per document, from 0 to 1, higher where label 1 is likelier.
+def with_quality(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality", per_class: int = 1200, dims: int = 48, neighbours: int = 15, score: str = "score") -> DataFrame:
+    """docs with a score from 0 to 1, higher where label 1 is likelier. Rows are not shuffled.
 
     Document frequencies come from all documents; the latent space and the voters from at most
     per_class labelled documents of each class, the bound that makes them fit for a broadcast.
     Each document is compared with all voters, in blocks, and the nearest ones vote with their
     similarity to the fourth power. Null and empty texts get the score that other texts without words would; without any
-    labels every score is 0.5; repeated rows and null ids pass through; other columns are not read.
+    labels every score is 0.5; repeated rows and null ids pass through. Reads doc_id and text; the
+    name of the score must be free.
     """
-    narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    model = docs.sparkSession.sparkContext.broadcast(latent_vectors(narrow, labels, label, learn, per_class, dims))
+    model = docs.sparkSession.sparkContext.broadcast(latent_vectors(docs, labels, label, learn, per_class, dims))
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, project, voters, votes = model.value
         terms, k = Terms(), min(neighbours, len(voters))
         for b in parts(batches, 512):
-            texts, scores = b.column(1).to_pylist(), np.full(b.num_rows, 0.5)
-            for a in range(0, len(texts) if k else 0, 512):
-                z = np.zeros((len(texts[a : a + 512]), project.shape[1]), dtype=np.float32)
-                for i, t in enumerate(texts[a : a + 512]):
+            texts, scores = b.column(at).to_pylist(), np.full(b.num_rows, 0.5)
+            if k:
+                z = np.zeros((len(texts), project.shape[1]), dtype=np.float32)
+                for i, t in enumerate(texts):
                     s, c = terms(t or "")
                     z[i] = weighted(s, c, idf) @ project[s]
                 z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
                 near = z @ voters.T
                 top = np.argpartition(near, -k, axis=1)[:, -k:]
                 w = np.maximum(np.take_along_axis(near, top, axis=1), 1e-3) ** 4
-                scores[a : a + 512] = (w * votes[top]).sum(axis=1) / w.sum(axis=1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.clip(scores, 0, 1))], names=["doc_id", "score"])
+                scores = (w * votes[top]).sum(axis=1) / w.sum(axis=1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.clip(scores, 0, 1).astype(np.float64))], names=[*b.schema.names, score])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score, DoubleType())]))
 
-    return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, score double")
+
+def quality_scores(docs: DataFrame, labels: DataFrame, learn: Column, **options) -> DataFrame:
+    """(doc_id, score): with_quality() without the documents' other columns."""
+    narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return with_quality(narrow, labels, learn, **options).select("doc_id", "score")
