@@ -164,16 +164,17 @@ def citation_weights(edges: DataFrame, author_counts: DataFrame, key: str, count
 
 def weight_histogram(edges: DataFrame, col: str = "weight", bins: int = 20) -> DataFrame:
     """(bin, low, high, n): equal bins between the least and the greatest value."""
-    ends = edges.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    width = (F.col("hi") - F.col("lo")) / bins
-    at = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col(col) - F.col("lo")) / width))).otherwise(0).cast("int")
-    return edges.select(col).crossJoin(F.broadcast(ends)).select(at.alias("bin"), "lo", width.alias("w")).groupBy("bin", "lo", "w").agg(F.count("*").alias("n")).select("bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("low"), (F.col("lo") + (F.col("bin") + 1) * F.col("w")).alias("high"), "n")
+    low, high = edges.agg(F.min(col), F.max(col)).first()
+    low, width = (low or 0.0), ((high or 0.0) - (low or 0.0)) / bins
+    at = F.least(F.lit(bins - 1), F.floor((F.col(col) - low) / width)).cast("int") if width else F.lit(0)
+    counted = edges.where(F.col(col).isNotNull()).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    return counted.select("bin", (low + F.col("bin") * width).alias("low"), (low + (F.col("bin") + 1) * width).alias("high"), "n")
 
 
 def graph_size(edges: DataFrame) -> DataFrame:
     """One row (vertices, edges)."""
-    n = vertices_of(edges).agg(F.count("*").alias("vertices"))
-    return n.join(edges.agg(F.count("*").alias("edges")), F.lit(True))
+    ones = vertices_of(edges).select(F.lit(1).alias("v"), F.lit(0).alias("e")).unionAll(edges.select(F.lit(0), F.lit(1)))
+    return ones.agg(F.coalesce(F.sum("v"), F.lit(0)).alias("vertices"), F.coalesce(F.sum("e"), F.lit(0)).alias("edges"))
 
 
 def related_concepts(concepts: DataFrame, ancestors: DataFrame, related: DataFrame) -> DataFrame:
