@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: fingerprints, sharded BK-trees, components.
+"""SimHash near-duplicates: fingerprints, sharded BK-trees, components; an exact join of shingle sets.
 
 Fingerprints are compared in shards. Two fingerprints within `radius` bits agree on at least one
 choice of blocks, so each is dealt to one shard per choice, and a shard holds those that agree on
@@ -10,13 +10,14 @@ of its own, so no task ever holds a hot shard.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -186,43 +187,114 @@ def hex_fingerprint(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, radius: int = 7, similarity: float = 0.8) -> DataFrame:
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, piece: int = 2048) -> DataFrame:
     """The rows of docs without near copies: of each group one stays, the one with the smallest id.
 
-    Candidates are documents whose fingerprints over `shingle` words differ in `radius` bits or
-    fewer, and documents with the same fingerprint; of those, pairs stay linked whose sets of
-    shingles have a Jaccard similarity of at least `similarity`, so fingerprints that meet by chance
-    remove nothing. Verified pairs span each group of candidates: every fingerprint with the nearest ones
-    met before it, and every document with the first of its fingerprint. Null and empty texts are
-    equal, so one stays; rows with a null id stay; all rows of a repeated id stay or go together.
+    Two documents are linked if their sets of word shingles have a Jaccard similarity of at least
+    `similarity`; groups are what links connect. The join is exact: sets that alike share one of
+    their first shingles in any common order (prefix filter), here one that puts shingles frequent
+    in a sample last. Within each shingle neighbours by size are checked first; then every pair
+    whose ends these checks left in different groups, shingles of over `piece` sets in parts.
+    Null and empty texts are equal, so one stays; a row with a null id stays only if its group has
+    no other; rows alike in id and text stay or go together.
     """
-    spark = docs.sparkSession
-    base = written(fingerprints(docs, id_col, text_col, shingle).where("doc_id IS NOT NULL"), "fingerprints")
-    first = written(base.groupBy("fp").agg(F.min("doc_id").alias("first")), "first")
-    links = written(simhash_links(base.select("fp").distinct(), radius), "links")
-    same = base.join(first, "fp").where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    near = links.join(first.select(F.col("fp").alias("src"), F.col("first").alias("a")), "src").join(first.select(F.col("fp").alias("dst"), F.col("first").alias("b")), "dst").select("a", "b")
-    pairs = written(same.unionByName(near).distinct(), "pairs")
-    needed = broadcast_below(written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "needed"), 4_000_000)
-    spec = spark.sparkContext.broadcast(shingle)
+    text, key = F.col(text_col).cast("string"), F.xxhash64(F.col(text_col).cast("string"))
+    narrow = docs.select(F.col(id_col).alias("id"), key.alias("h"), text.alias("text"))
+    kind = narrow.schema["id"].dataType.simpleString()
+    order = docs.sparkSession.sparkContext.broadcast(_frequent(narrow, shingle))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, counts = order.value
         for b in parts(batches, 128):  # sets need several times the text's memory
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, spec.value) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], names=["id", "shingles"])
+            sets = [shingle_set(t, shingle) for t in b.column(2).to_pylist()]
+            firsts = []
+            for s in sets:
+                at = np.minimum(np.searchsorted(frequent, s), max(0, len(frequent) - 1))
+                often = np.where(frequent[at] == s, counts[at], 0) if len(frequent) else np.zeros(len(s), np.int64)
+                firsts.append(s[np.lexsort((s, often))][: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1])
+            sizes = pa.array([len(s) for s in sets], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(_set_key, sets), pa.binary()), sizes, pa.array(firsts, pa.list_(pa.int64()))], names=["id", "h", "set", "n", "firsts"])
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(needed, "id", "left_semi")
-    kind = texts.schema["id"].dataType.simpleString()
-    held = written(texts.mapInArrow(sets, f"id {kind}, shingles array<long>"), "shingles")
-    both = pairs.join(held.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    alike = both.where(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
-    gone = connected_components(alike, "a", "b").where("id <> component").select("id")
-    return docs.join(gone, docs[id_col] == gone["id"], "left_anti")
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches, 128):
+            held = [shingle_set(t, shingle) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(map(_set_key, held), pa.binary()), pa.array(held, pa.list_(pa.int64()))], names=["set", "shingles"])
+
+    base = written(narrow.mapInArrow(sketch, f"id {kind}, h long, set binary, n int, firsts array<long>"), "sketches")
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
+    best = written(base.groupBy("set").agg(F.min(row).alias("best")), "best")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The pairs of sets that are alike."""
+        needed = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(best, "set").select("best.id", "best.h")
+        needed = broadcast_below(written(needed, "needed"), 4_000_000).alias("k")
+        texts = narrow.alias("d").join(needed, F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.h") == F.col("k.h")), "left_semi").select("text")
+        held = written(texts.mapInArrow(sets, "set binary, shingles array<long>"), "shingles")
+        both = pairs.join(held.select(F.col("set").alias("a"), F.col("shingles").alias("x")), "a").join(held.select(F.col("set").alias("b"), F.col("shingles").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return written(both.where(common / (F.size("x") + F.size("y") - common) >= similarity).select("a", "b"), "alike")
+
+    def fits(x: str, y: str) -> Column:
+        """Whether sets that first meet at this shingle can be alike, from sizes and places."""
+        c = lambda side, name: F.col(f"{side}.{name}")
+        most = F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
+        sizes = F.least(c(x, "n"), c(y, "n")) >= similarity * F.greatest(c(x, "n"), c(y, "n")) - 1e-6
+        return sizes & (most >= similarity / (1 + similarity) * (c(x, "n") + c(y, "n")) - 1e-6)
+
+    one = F.struct("set", "n", "pos")
+    around = Window.partitionBy("token").orderBy("n", "set")
+    firsts = base.select("set", "n", F.posexplode("firsts").alias("pos", "token"))
+    seen = firsts.select("token", one.alias("me"), F.lag(one).over(around).alias("last"), F.first(one).over(around).alias("least"), F.lead("n").over(around).alias("more"))
+    met = written(seen.where("(last IS NULL AND more IS NOT NULL) OR last.set <> me.set"), "met")
+    near = [met.where("last IS NOT NULL").where(fits("me", other)).select(F.col("me.set").alias("a"), F.col(f"{other}.set").alias("b")).where("a <> b") for other in ("last", "least")]
+    tried = written(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    alike = checked(tried)
+
+    groups = broadcast_below(written(connected_components(alike, "a", "b").select(F.col("id").alias("set"), "component"), "groups"), 1_000_000)
+    left = met.select("token", "me.*").join(groups, "set", "left").select("token", "set", "n", "pos", F.coalesce("component", "set").alias("group"))
+    mixed = left.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count("*") / piece).cast("int").alias("k")).where("low <> high").select("token", "k")
+    rows = written(left.join(mixed, "token").withColumn("own", F.pmod(F.xxhash64("set"), F.col("k")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")), "rows")
+    met_at = (F.col("x.token") == F.col("y.token")) & (F.col("x.own") == F.col("y.other")) & (F.col("x.other") == F.col("y.own"))
+    found = rows.alias("x").join(rows.alias("y"), met_at & (F.col("x.set") < F.col("y.set")) & (F.col("x.group") != F.col("y.group")) & fits("x", "y"))
+    rest = written(found.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
+    alike = alike.unionByName(checked(rest))
+
+    component = written(connected_components(alike, "a", "b").withColumnRenamed("id", "set"), "components")
+    stays = best.join(component, "set", "left").groupBy(F.coalesce("component", "set").alias("component")).agg(F.min("best").alias("stays"))
+    gone = base.select("set", row.alias("row")).join(component, "set", "left").withColumn("component", F.coalesce("component", "set")).join(stays, "component").where(~F.col("row").eqNullSafe(F.col("stays")))
+    gone = written(gone.select(F.col("row.id").alias("gone_id"), F.col("row.h").alias("gone_h")).distinct(), "gone")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_h")), "left_anti")
+
+
+def _frequent(texts: DataFrame, shingle: int, sample: int = 20_000, at_most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles found five times or more in about `sample` texts, sorted, and their counts. Only the
+    order of the prefix filter depends on them, not its result."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches, 128):
+            for t in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, shingle))], names=["token"])
+
+    share = int(min(1.0, sample / max(1, texts.count())) * 1_000_000)
+    some = texts.where(F.pmod(F.xxhash64("id", "h"), F.lit(1_000_000)) < share).select("text")
+    often = some.mapInArrow(tokens, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n >= 5")
+    found = often.orderBy(F.desc("n"), "token").limit(at_most).toArrow()
+    token, n = found["token"].to_numpy(), found["n"].to_numpy()
+    by = np.argsort(token)
+    return token[by], n[by]
+
+
+def _set_key(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; of the whole text if it is shorter; one for no words."""
     words = (text or "").encode().lower().split()
     of = xxhash.xxh64_intdigest
-    found = {of(b" ".join(words[i : i + shingle]), SEED) for i in range(max(1, len(words) - shingle + 1))}
-    return np.sort(np.fromiter(found, np.uint64, len(found)).view(np.int64))
+    if len(words) <= shingle:
+        return np.array([of(b" ".join(words), SEED)], np.uint64).view(np.int64)
+    joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    spans = zip(starts.tolist(), ends[shingle - 1 :].tolist(), strict=False)
+    return np.unique(np.array([of(joined[a:b], SEED) for a, b in spans], np.uint64).view(np.int64))

@@ -95,6 +95,33 @@ def test_distinct_documents(spark, docs, none):
     assert simhash.distinct_documents(none).count() == 0
 
 
+def jaccard_sets(texts, k=5):
+    split = {i: (t or "").encode().lower().split() for i, t in texts.items()}
+    return {i: {b" ".join(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} for i, w in split.items()}
+
+
+def test_distinct_documents_by_brute_force(spark):
+    """Copies at similarities from 0.75 to 0.97, hot phrases, short texts."""
+    rng = random.Random(11)
+    texts, hot = {}, " ".join(f"hot{i}" for i in range(12))
+    for g in range(60):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(rng.choice([8, 30, 150]))]
+        texts[len(texts)] = " ".join(words)
+        for _ in range(3):
+            new = list(words)
+            for _ in range(rng.randint(0, max(1, len(words) // 40))):
+                new[rng.randrange(len(new))] = f"n{rng.randint(0, 10**6)}"
+            texts[len(texts)] = " ".join(new) + (" " + hot if g % 3 == 0 else "")
+    for i in range(40):
+        texts[len(texts)] = hot + " " + " ".join(f"c{rng.randint(0, 3)}" for _ in range(3))
+    sets = jaccard_sets(texts)
+    linked = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    want = sorted({components(sets, linked)[i] for i in sets})
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.distinct_documents(df).collect()) == want
+    assert sorted(r.doc_id for r in simhash.distinct_documents(df, piece=4).collect()) == want
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_bpe(spark, docs, none, name):
     from tokenizers import Tokenizer
