@@ -122,6 +122,22 @@ def test_distinct_documents_by_brute_force(spark):
     assert sorted(r.doc_id for r in simhash.distinct_documents(df, piece=4).collect()) == want
 
 
+def test_distinct_documents_between_dissimilar_copies(spark):
+    """Fingerprints of A and B, C and A are near, only C and B are alike: A must not hide the pair.
+    Among equal fingerprints too, copies are found that are unlike the smallest id."""
+    rng = random.Random(6)
+    common = [f"w{i}" for i in range(300)]
+    change = lambda words, n: [f"n{rng.randint(0, 10**6)}" if i in set(rng.sample(range(300), n)) else w for i, w in enumerate(words)]
+    base = change(common, 1)
+    texts = {1: " ".join(common)}
+    for i in range(2, 40):
+        texts[i] = " ".join(change(base, 6))
+    sets = jaccard_sets(texts)
+    linked = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.distinct_documents(df).collect()) == sorted({components(sets, linked)[i] for i in sets})
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_bpe(spark, docs, none, name):
     from tokenizers import Tokenizer
