@@ -126,3 +126,19 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("first").isNull() | same).alias("kept"),
     )
+
+
+def distinct_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 4_000_000) -> DataFrame:
+    """The rows of docs that duplicate_groups() keeps, one of each group of equal texts, with all their columns.
+
+    A row is known by its id and its text, so rows of one id with different texts are judged apart,
+    rows with a null id too; of rows alike in both one stays. Only members of groups are joined back.
+    """
+    members = duplicate_groups(docs, id_col, text_col).where("group_size > 1").groupBy("doc_id", "sha")
+    members = written(members.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).select(F.col("doc_id").alias("m_id"), F.col("sha").alias("m_sha"), "kept", "n"), "members")
+    sha = F.unhex(F.sha2(normalised(F.col(text_col)), 256))
+    marked = docs.join(broadcast_below(members, broadcast_rows), F.col(id_col).eqNullSafe(F.col("m_id")) & (sha == F.col("m_sha")), "left")
+    alone = marked.where("n IS NULL OR (kept AND n = 1)").select(*docs.columns)
+    if members.where("kept AND n > 1").isEmpty():
+        return alone
+    return alone.unionByName(marked.where("kept AND n > 1").dropDuplicates(["m_id", "m_sha"]).select(*docs.columns))

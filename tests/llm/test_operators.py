@@ -182,6 +182,15 @@ def test_exact(spark, docs, none):
     assert exact.duplicate_groups(none).count() == 0
 
 
+def test_exact_dedup_stage_with_repeated_and_null_ids(spark):
+    import corpus_pipeline as p
+
+    rows = [(1, "a b"), (1, "a b"), (None, "only here"), (2, "x"), (2, "y"), (None, "a \n b"), (3, "y"), (None, "z"), (None, "z"), (4, None), (5, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in p.keep_one_copy(spark, df, "").collect()), key=str)
+    assert got == sorted([(1, "a b"), (None, "only here"), (2, "x"), (2, "y"), (None, "z"), (4, None)], key=str)
+
+
 def water(sizes):
     order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
     weight = {s: i % 3 + 1 for i, s in enumerate(order)}
