@@ -297,6 +297,14 @@ def test_pii(spark, docs, none):
     assert out.text == "mail [email] now"
 
 
+def test_pii_zero_octets_and_hints(spark):
+    texts = ["10.0.0.1", "at 127.0.0.1 and 192.168.00.5", "0.0.0.0", "0256.1.1.1", "+15551234567", "+15551234567, x", "+15551234567\nx", "+15551234567x", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.personal_data(df).collect():
+        assert [tuple(s) for s in r.base] == base_spans(texts[r.doc_id]), texts[r.doc_id]
+        assert bool(r.base) == (r.doc_id != 3)
+
+
 def fold(i, n):
     return zlib.crc32(str(i).encode()) % n
 
