@@ -9,6 +9,7 @@ evidence is the highest difference of log-likelihoods per word, so it does not g
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -27,6 +28,7 @@ SLOT_BITS = 21
 SHARED, OWN = 4, (6, 9)
 #: Weight of the lower order on top of what discounting frees, in counts; the least likelihood of a byte.
 SHARED_PRIOR, OWN_PRIOR, FLOOR = 0.5, 80.0, 1 / 60
+#: Longer words count as overlapping pieces of this size.
 MAX_BYTES = 32
 SIGNS = "\"'`.,;:!?()[]{}<>*#$%&|/\\-_=+~^@"
 
@@ -36,6 +38,19 @@ def core(word: str) -> str:
     return word.lower().strip(SIGNS)
 
 
+def pieces(word: str) -> list[str]:
+    """The word itself; one over MAX_BYTES as what lies between its signs, and what is still longer as
+    pieces of that many bytes, each half over the one before, so that every sequence and every
+    character lies whole in one of them."""
+    if len(word.encode()) <= MAX_BYTES:
+        return [word]
+    out, step = [], MAX_BYTES // 2
+    for part in re.split(f"[{re.escape(SIGNS)}]+", word):
+        data = part.encode()
+        out += [part] if len(data) <= MAX_BYTES else [data[a : a + MAX_BYTES].decode(errors="ignore") for a in range(0, len(data) - step, step)]
+    return out
+
+
 #: Odd factors of the hash, and the first one's inverse: sums of bytes times its powers wrap at 2**64.
 FACTOR, SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 INVERSE = pow(FACTOR, -1, 1 << 64)
@@ -47,7 +62,7 @@ def sequences(words: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray, np
     All words are hashed at once: the hash of any stretch of the joined bytes is the difference of
     two prefix sums, shifted to its beginning.
     """
-    spelt = [b"^" + w.encode()[:MAX_BYTES] + b"$" for w in words]
+    spelt = [b"^" + w.encode() + b"$" for w in words]
     sizes = np.fromiter(map(len, spelt), np.int64, len(spelt))
     data = np.frombuffer(b"".join(spelt), np.uint8).astype(np.uint64) + np.uint64(1)
     n = len(data)
@@ -131,10 +146,12 @@ class Evidence:
             new = [w for w in set().union(*held) if w not in known]
             for b in range(0, len(new), 20_000):
                 some = new[b : b + 20_000]
-                cores = [core(w) for w in some]
-                kinds = list(set(cores))
-                ratio = dict(zip(kinds, self.model.ratios(kinds).tolist(), strict=True))
-                known.update(zip(some, map(ratio.__getitem__, cores), strict=True))
+                spelt = [pieces(core(w)) for w in some]
+                kinds = list(set().union(*spelt))
+                ratio: dict[str, float] = {}
+                for c in range(0, len(kinds), 20_000):
+                    ratio.update(zip(kinds[c : c + 20_000], self.model.ratios(kinds[c : c + 20_000]).tolist(), strict=True))
+                known.update(zip(some, (max(map(ratio.__getitem__, s)) for s in spelt), strict=True))
             out += [max(map(known.__getitem__, words), default=0.0) for words in held]
         return out
 
@@ -149,9 +166,9 @@ def shared_order(docs: DataFrame) -> Order:
             for t in b.column(0).to_pylist():
                 raw.update((t or "").split())
             if len(raw) > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list({core(w)[:MAX_BYTES] for w in raw}))], names=["word"])
+                yield pa.RecordBatch.from_arrays([pa.array(list({p for w in raw for p in pieces(core(w))}))], names=["word"])
                 raw = set()
-        yield pa.RecordBatch.from_arrays([pa.array(list({core(w)[:MAX_BYTES] for w in raw}), pa.string())], names=["word"])
+        yield pa.RecordBatch.from_arrays([pa.array(list({p for w in raw for p in pieces(core(w))}), pa.string())], names=["word"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, of = np.zeros(1 << SLOT_BITS, np.int64), np.zeros(1 << SLOT_BITS, np.int64)
@@ -179,7 +196,7 @@ def class_orders(docs: DataFrame, labels: DataFrame, label: str, learn: Column,
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for b in parts(batches):
             for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                counts[k].update({core(w) for w in t.split()})
+                counts[k].update({p for w in t.split() for p in pieces(core(w))})
         for k, c in counts.items():
             yield pa.RecordBatch.from_arrays([pa.array([k] * len(c), pa.int32()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["label", "word", "n"])
 

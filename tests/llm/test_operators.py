@@ -332,6 +332,24 @@ def test_quality_and_toxicity(spark, none):
         assert len(scores(df, labels.where("false"), labelled.fold("doc_id", n) != out).collect()) == 403
 
 
+def test_toxicity_reads_long_words_to_the_end(spark):
+    rng = random.Random(3)
+    rows, marks = [], []
+    for i in range(400):
+        words = [rng.choice(WORDS) for _ in range(60)]
+        if i % 5 == 0:
+            words[10:10] = [rng.choice(["vilest", "vilely", "vileness"])]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(i % 5 == 0)))
+    clean = "-".join(WORDS)
+    more = [(1000, clean), (1001, clean + "-vilest"), (1002, clean + "_vileness_" + clean), (1003, "é" * 40 + "/vilely/" + clean)]
+    df, labels = spark.createDataFrame([*rows, *more], "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.toxicity_scores(df, labels, F.lit(True)).collect()}
+    assert [got[i] >= 0.5 for i, _ in more] == [False, True, True, True]
+    word = "".join(rng.choice("aé中x") for _ in range(200))
+    assert toxicity.pieces("short") == ["short"] and all(any(word[k : k + 3] in p for p in toxicity.pieces(word)) for k in range(197))
+
+
 def test_token_counts(spark, docs, none):
     from tokenizers import Tokenizer
 
