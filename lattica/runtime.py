@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; where that is unset (tests), a local one is made and set."""
+    """The folder named in spark.checkpoint.dir; where that is unset and Spark runs in this process
+    (tests), one is made and set. A cluster without it is an error: its executors share no other folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="lattica-")
         spark.conf.set("spark.checkpoint.dir", folder)
         spark.sparkContext.setCheckpointDir(folder)
@@ -36,10 +39,13 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def broadcast_below(df: DataFrame, max_rows: int) -> DataFrame:
-    """df with a broadcast hint if it has at most max_rows rows; otherwise as it is, so that the
-    join shuffles. df must be cheap to count, such as a written() table."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_below(df: DataFrame, max_rows: int, max_bytes: int = 128 << 20) -> DataFrame:
+    """df with a broadcast hint if it has at most max_rows rows and max_bytes bytes of values;
+    otherwise as it is, so that the join shuffles. df must be cheap to count, such as a written() table."""
+    wide = [c for c, t in df.dtypes if t in ("string", "binary")]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(16 * len(df.columns)))
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and held <= max_bytes else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
