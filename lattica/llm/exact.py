@@ -62,11 +62,11 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The row with the smallest id stays; among repeats of that id one of them does, and rows with a
     null id stay only if the group has no other. Null and empty texts are equal; an empty table
     gives no rows; other columns are not read. owners: parts of the hash range, by default the
-    session's shuffle partitions. Hashes of suspects are broadcast up to broadcast_rows (8 bytes
+    session's shuffle partitions, or more for so many rows that an owner would get over two million. Hashes of suspects are broadcast up to broadcast_rows (8 bytes
     each) and joined by shuffle beyond.
     """
     spark = docs.sparkSession
-    parts = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = owners or max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // 2_000_000)
     texts = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))
     kind = texts.schema["doc_id"].dataType.simpleString()
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import written
+from ..runtime import broadcast_below, written
 
-#: Ranges of the sampling key within a source; only the one that holds the budget's end is sorted.
+#: Ranges of the sampling key within a source, or a multiple for many documents; only the one that holds the budget's end is sorted.
 BUCKETS = 1024
+#: Copies that one task makes of a row.
+COPIES = 4096
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -47,17 +49,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """(doc_id, size, source_size, target, times, taken, rid): one row per input row; taken is size * times.
 
     Each source is taken in whole epochs as often as its target allows; for the rest its documents
-    are ordered by -ln(u) / weight, u a hash of id and text, and taken while the middle of the next
+    are ordered by -ln(u) / weight, u a hash of id, source, text and number of the copy, and taken while the middle of the next
     one is within the budget, so the total is off by at most half a document. A null source is a
     source of its own, a null text has size 0, a null id is hashed like a value; repeated rows are
     sampled as rows, equal keys stand in the order of id and size; an empty table gives no rows.
-    rid tells repeated rows apart by a hash of id, source and text.
+    rid is a hash of id, source and text, the same for repeated rows.
     """
     text = F.col(text_col).cast("string")
     rid = F.xxhash64(F.col(id_col), F.col(source_col), text, F.lit(seed))
-    chance = (F.shiftrightunsigned(F.xxhash64(rid, F.lit(seed)), 11).cast("double") + 0.5) / F.lit(2.0**53)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"), (weight if weight is not None else word_length_weight(text)).cast("double").alias("w"), rid.alias("rid"), chance.alias("u"))
-    base = written(base.withColumn("key", -F.log("u") / F.greatest("w", F.lit(1e-6))).drop("u"), "sizes")
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text).alias("size"), (weight if weight is not None else word_length_weight(text)).cast("double").alias("w"), rid.alias("rid"))
+    # repeated rows are counted before the shuffle and numbered after it, so each has a chance of its own
+    base = repeated(base.groupBy("doc_id", "source", "size", "w", "rid").agg(F.count("*").alias("copies")), "copies", "copy")
+    chance = (F.shiftrightunsigned(F.xxhash64("rid", "copy", F.lit(seed)), 11).cast("double") + 0.5) / F.lit(2.0**53)
+    base = written(base.withColumn("key", -F.log(chance) / F.greatest("w", F.lit(1e-6))), "sizes")
     sources = written(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.avg("w").alias("mean")), "sources")
     plan = targets(sources.drop("mean")).join(sources.select(F.col("source").alias("s"), "mean"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     plan = written(plan, "plan")
@@ -65,7 +69,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     def planned(rows: DataFrame, with_plan: DataFrame) -> DataFrame:
         return rows.join(with_plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
 
-    bucket = F.least(F.lit(BUCKETS - 1), F.floor(BUCKETS * (1 - F.exp(-F.col("key") * F.col("mean"))))).cast("int")
+    buckets = BUCKETS * max(1, base.count() // (BUCKETS * 100_000))
+    bucket = F.least(F.lit(buckets - 1), F.floor(buckets * (1 - F.exp(-F.col("key") * F.col("mean"))))).cast("int")
     dealt = planned(base, plan).withColumn("bucket", bucket)
     totals = dealt.groupBy("source", "bucket", "budget").agg(F.sum("size").alias("in_bucket"))
     up_to = Window.partitionBy("source").orderBy("bucket")
@@ -75,20 +80,35 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     ends = written(ends, "ends")
     rows = planned(base, ends).withColumn("bucket", bucket)
     at_end = rows.where("bucket = last")
-    run = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), "rid", "size").rowsBetween(Window.unboundedPreceding, 0)
+    run = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_last(), "rid", "copy").rowsBetween(Window.unboundedPreceding, 0)
     middle = F.col("before") + F.sum("size").over(run) - F.col("size") / 2
     chosen = at_end.withColumn("more", (middle <= F.col("budget")).cast("long")).unionByName(rows.where("last IS NULL OR bucket <> last").withColumn("more", F.coalesce(F.col("bucket") < F.col("last"), F.lit(True)).cast("long")))
     times = F.when(F.col("size") > 0, F.col("epochs") + F.col("more")).otherwise(F.col("epochs"))
     return chosen.select("doc_id", "size", "source_size", "target", times.alias("times"), (F.col("size") * times).alias("taken"), "rid")
 
 
+def repeated(df: DataFrame, n: str, number: str) -> DataFrame:
+    """Each row as many times as column n says, without n, numbered from 1. Large numbers are dealt out first."""
+    few, many = df.where(F.col(n) <= COPIES), df.where(F.col(n) > COPIES)
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / COPIES)))
+    many = many.select("*", chunk.alias("_chunk")).repartition("_chunk")
+    made = many.select(*df.columns, F.explode(F.sequence(F.col("_chunk") * COPIES + 1, F.least(F.col(n), (F.col("_chunk") + 1) * COPIES))).alias(number))
+    return few.where(F.col(n) > 0).select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col(n).cast("long"))).alias(number)).unionByName(made).drop(n)
+
+
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7) -> DataFrame:
     """The documents of the mix, each as many times as it is taken, with all columns of docs.
-    Texts are not shuffled where the list of taken rows is small enough for Spark to broadcast."""
+
+    Rows alike in id, source and text are copies of one document: they are taken together as often as
+    mix() takes them, with the other columns of one of them. Texts are not shuffled but for these
+    copies, where the list of taken rows is small enough to be broadcast. Nulls, empty texts and
+    tables as in mix().
+    """
     rid = F.xxhash64(F.col(id_col), F.col(source_col), F.col(text_col).cast("string"), F.lit(seed))
-    times = mix(docs, id_col, text_col, source_col, seed=seed).groupBy(F.col("rid").alias("mix_rid")).agg(F.sum("times").alias("n"), F.count("*").alias("copies"))
-    # equal rows share a rid and split its total as evenly as whole times allow
-    share = F.ceil(F.col("n") / F.col("copies")).cast("int")
-    held = docs.select(F.struct("*").alias("row"), rid.alias("mix_rid"))
-    joined = held.join(written(times, "times").where("n > 0"), "mix_rid")
-    return joined.select("row", F.explode(F.sequence(F.lit(1), share))).select("row.*")
+    times = mix(docs, id_col, text_col, source_col, seed=seed).groupBy(F.col("rid").alias("_rid")).agg(F.sum("times").alias("_times"), F.count("*").alias("_copies"))
+    times = broadcast_below(written(times.where("_times > 0"), "times"), 2_000_000)
+    joined = docs.select(F.struct("*").alias("_row"), rid.alias("_rid")).join(times, "_rid")
+    once = joined.where("_copies = 1")
+    if not times.where("_copies > 1").isEmpty():
+        once = once.unionByName(joined.where("_copies > 1").dropDuplicates(["_rid"]))
+    return repeated(once.select("_row", "_times"), "_times", "_number").select("_row.*")

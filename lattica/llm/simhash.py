@@ -111,15 +111,20 @@ def _spanning(tree_of: list[int], queries: list[int] | None, radius: int) -> Ite
             tree.add(v)
 
 
-def blocks_for(radius: int) -> tuple[int, int]:
-    """Blocks and how many of them must agree: up to 3 bits, one block of 16 bits; beyond, three blocks."""
-    return (radius + 1, 1) if radius <= 3 else (radius + 3, 3)
+def blocks_for(radius: int, n: int) -> tuple[int, int]:
+    """Blocks, and how many of them must agree, for n fingerprints. Fingerprints that differ in `radius`
+    bits agree on all but `radius` blocks; the more must agree, the longer the key and the smaller its
+    shard, but the more shards each fingerprint is dealt to. The key is to have as many bits as n."""
+    agree = 1
+    while agree < 4 and 64 * agree // (radius + agree) < math.log2(max(n, 2)) - 6:
+        agree += 1
+    return radius + agree, agree
 
 
-def simhash_links(fps: DataFrame, radius: int = 3, piece: int = 2048) -> DataFrame:
+def simhash_links(fps: DataFrame, radius: int = 3, piece: int = 2048, agree: int | None = None) -> DataFrame:
     """(src, dst, bits) between distinct values of column fp, enough of them to connect all that
-    are linked by `radius` or fewer differing bits."""
-    n, agree = blocks_for(radius)
+    are linked by `radius` or fewer differing bits. agree: blocks that must, by default from the number of fingerprints."""
+    n, agree = (radius + agree, agree) if agree else blocks_for(radius, fps.count())
     cuts = [64 * i // n for i in range(n + 1)]
     keys = []
     for k, chosen in enumerate(combinations(range(n), agree)):
@@ -176,9 +181,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     base = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     first = base.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    parts = connected_components(simhash_links(base.select("fp").distinct(), radius)).withColumnRenamed("id", "fp")
-    linked = written(parts.join(first, "fp"), "linked")
-    label = linked.join(linked.groupBy("component").agg(F.min("first").alias("low")), "component").select("fp", "low")
+    first = written(first, "first")
+    found = connected_components(simhash_links(first.select("fp"), radius)).withColumnRenamed("id", "fp")
+    linked = written(found.join(first, "fp"), "linked")
+    lowest = written(linked.groupBy("component").agg(F.min("first").alias("low")), "lowest")  # a table, so that AQE can split a giant component
+    label = linked.join(lowest, "component").select("fp", "low")
     labels = written(first.join(label, "fp", "left").select("fp", F.coalesce("low", "first").alias("component_id")), "labels")
     return base.join(labels, "fp", "left").select("doc_id", "fp", "component_id")
 
@@ -193,8 +200,10 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Two documents are linked if their sets of word shingles have a Jaccard similarity of at least
     `similarity`; groups are what links connect. The join is exact: sets that alike share one of
     their first shingles in any common order (prefix filter), here one that puts shingles frequent
-    in a sample last. Within each shingle neighbours by size are checked first; then every pair
-    whose ends these checks left in different groups, shingles of over `piece` sets in parts.
+    in a sample last. Within each shingle neighbours by size are checked first. What these checks
+    left in different groups is compared within its task by sketches of 16 bits a shingle, which
+    can only overrate what sets share; shingles of over `piece` sets in parts. Only pairs that join two
+    groups leave the task and are checked by their sets; if one fails, all such pairs are checked.
     Null and empty texts are equal, so one stays; a row with a null id stays only if its group has
     no other; rows alike in id and text stay or go together.
     """
@@ -203,7 +212,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = narrow.schema["id"].dataType.simpleString()
     order = docs.sparkSession.sparkContext.broadcast(_frequent(narrow, shingle))
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = order.value
         for b in parts(batches, 128):  # sets need several times the text's memory
             sets = [shingle_set(t, shingle) for t in b.column(2).to_pylist()]
@@ -220,16 +229,23 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             held = [shingle_set(t, shingle) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(map(_set_key, held), pa.binary()), pa.array(held, pa.list_(pa.int64()))], names=["set", "shingles"])
 
-    base = written(narrow.mapInArrow(sketch, f"id {kind}, h long, set binary, n int, firsts array<long>"), "sketches")
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches, 128):
+            held = [shingle_set(t, shingle) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(map(_set_key, held), pa.binary()), pa.array(map(sketch, held), pa.binary())], names=["set", "sketch"])
+
+    base = written(narrow.mapInArrow(prefixes, f"id {kind}, h long, set binary, n int, firsts array<long>"), "sketches")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
     best = written(base.groupBy("set").agg(F.min(row).alias("best")), "best")
 
+    def texts_of(sets_: DataFrame) -> DataFrame:
+        """The texts of sets, one each, from documents again: few sets need their shingles."""
+        needed = broadcast_below(written(sets_.distinct().join(best, "set").select("best.id", "best.h"), "needed"), 4_000_000).alias("k")
+        return narrow.alias("d").join(needed, F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.h") == F.col("k.h")), "left_semi").select("text")
+
     def checked(pairs: DataFrame) -> DataFrame:
         """The pairs of sets that are alike."""
-        needed = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(best, "set").select("best.id", "best.h")
-        needed = broadcast_below(written(needed, "needed"), 4_000_000).alias("k")
-        texts = narrow.alias("d").join(needed, F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.h") == F.col("k.h")), "left_semi").select("text")
-        held = written(texts.mapInArrow(sets, "set binary, shingles array<long>"), "shingles")
+        held = written(texts_of(pairs.select(F.col("a").alias("set")).union(pairs.select("b"))).mapInArrow(sets, "set binary, shingles array<long>").dropDuplicates(["set"]), "shingles")
         both = pairs.join(held.select(F.col("set").alias("a"), F.col("shingles").alias("x")), "a").join(held.select(F.col("set").alias("b"), F.col("shingles").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
         return written(both.where(common / (F.size("x") + F.size("y") - common) >= similarity).select("a", "b"), "alike")
@@ -241,31 +257,138 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sizes = F.least(c(x, "n"), c(y, "n")) >= similarity * F.greatest(c(x, "n"), c(y, "n")) - 1e-6
         return sizes & (most >= similarity / (1 + similarity) * (c(x, "n") + c(y, "n")) - 1e-6)
 
+    def grouped(links: DataFrame, name: str) -> DataFrame:
+        return written(connected_components(links, "a", "b").withColumnRenamed("id", "set"), name)
+
     one = F.struct("set", "n", "pos")
     around = Window.partitionBy("token").orderBy("n", "set")
     firsts = base.select("set", "n", F.posexplode("firsts").alias("pos", "token"))
     seen = firsts.select("token", one.alias("me"), F.lag(one).over(around).alias("last"), F.first(one).over(around).alias("least"), F.lead("n").over(around).alias("more"))
     met = written(seen.where("(last IS NULL AND more IS NOT NULL) OR last.set <> me.set"), "met")
     near = [met.where("last IS NOT NULL").where(fits("me", other)).select(F.col("me.set").alias("a"), F.col(f"{other}.set").alias("b")).where("a <> b") for other in ("last", "least")]
-    tried = written(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    alike = checked(tried)
-
-    groups = broadcast_below(written(connected_components(alike, "a", "b").select(F.col("id").alias("set"), "component"), "groups"), 1_000_000)
-    left = met.select("token", "me.*").join(groups, "set", "left").select("token", "set", "n", "pos", F.coalesce("component", "set").alias("group"))
-    mixed = left.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count("*") / piece).cast("int").alias("k")).where("low <> high").select("token", "k")
-    rows = written(left.join(mixed, "token").withColumn("own", F.pmod(F.xxhash64("set"), F.col("k")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")), "rows")
-    met_at = (F.col("x.token") == F.col("y.token")) & (F.col("x.own") == F.col("y.other")) & (F.col("x.other") == F.col("y.own"))
-    found = rows.alias("x").join(rows.alias("y"), met_at & (F.col("x.set") < F.col("y.set")) & (F.col("x.group") != F.col("y.group")) & fits("x", "y"))
-    rest = written(found.select(F.col("x.set").alias("a"), F.col("y.set").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
-    alike = alike.unionByName(checked(rest))
-
-    component = written(connected_components(alike, "a", "b").withColumnRenamed("id", "set"), "components")
+    alike = checked(written(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
+    component = grouped(alike, "groups")
+
+    def rest(whole: bool) -> DataFrame:
+        """Pairs of different groups that can be alike by their sketches: enough to connect all, or with whole each one."""
+        left = met.select("token", "me.set").join(broadcast_below(component, 1_000_000), "set", "left").select("token", "set", F.coalesce("component", "set").alias("group"))
+        mixed = left.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count("*") / piece).cast("int").alias("k")).where("low <> high").select("token", "k")
+        rows = written(left.join(mixed, "token").distinct(), "rows")
+        small = written(texts_of(rows.select("set")).mapInArrow(sketches, "set binary, sketch binary").dropDuplicates(["set"]), "small")
+        rows = rows.join(small, "set").withColumn("own", F.pmod(F.xxhash64("set"), F.col("k")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+        rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "group", "sketch")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for held in _runs(batches):
+                i, j = held[0][1:3]
+                mine, theirs = ([r[4:] for r in held if r[3] == side] for side in (i, j))
+                found = list(sketch_links(mine, None if i == j else theirs, similarity, whole))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+        dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "set")
+        return written(dealt.mapInArrow(run, "a binary, b binary").distinct(), "rest")
+
+    for whole in (False, True):
+        pairs = rest(whole)
+        more = checked(pairs)
+        linked, asked = more.count(), pairs.count()
+        if linked:
+            alike = alike.unionByName(more)
+            component = grouped(alike, "groups")
+        if linked == asked:
+            break  # what the sketches linked is alike, so no other pair joins two groups
+
     stays = best.join(component, "set", "left").groupBy(F.coalesce("component", "set").alias("component")).agg(F.min("best").alias("stays"))
     gone = base.select("set", row.alias("row")).join(component, "set", "left").withColumn("component", F.coalesce("component", "set")).join(stays, "component").where(~F.col("row").eqNullSafe(F.col("stays")))
-    gone = written(gone.select(F.col("row.id").alias("gone_id"), F.col("row.h").alias("gone_h")).distinct(), "gone")
+    gone = broadcast_below(written(gone.select(F.col("row.id").alias("gone_id"), F.col("row.h").alias("gone_h")).distinct(), "gone"), 4_000_000)
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_h")), "left_anti")
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows in runs that agree on the first three columns; runs of one row are left out."""
+    held: list[tuple] = []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if held and held[0][:3] != row[:3]:
+                if len(held) > 1:
+                    yield held
+                held = []
+            held.append(row)
+    if len(held) > 1:
+        yield held
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """The last 16 bits of each shingle, sorted: as a multiset it has at least what two sets have in common."""
+    return np.sort(shingles.astype(np.uint16)).tobytes()
+
+
+class Postings:
+    """Which of some multisets hold an element; equal elements of a multiset are numbered, so that they count one by one."""
+
+    def __init__(self, codes: list[np.ndarray]) -> None:
+        every, of = np.concatenate(codes), np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+        order = np.argsort(every, kind="stable")
+        self.n, self.of = len(codes), of[order]
+        self.keys, self.starts, self.sizes = np.unique(every[order], return_index=True, return_counts=True)
+
+    def common(self, codes: np.ndarray) -> np.ndarray:
+        """Size of the intersection with each."""
+        at = np.minimum(np.searchsorted(self.keys, codes), len(self.keys) - 1)
+        at = at[self.keys[at] == codes]
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        where = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return np.bincount(self.of[where], minlength=self.n)
+
+    @staticmethod
+    def codes(held: bytes) -> np.ndarray:
+        v = np.frombuffer(held, np.uint16).astype(np.int64)
+        new = np.flatnonzero(np.diff(v, prepend=-1))
+        return v << 32 | np.arange(len(v)) - np.repeat(new, np.diff(np.append(new, len(v))))
+
+
+def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: float, whole: bool, block: int = 1_000_000) -> Iterator[tuple[bytes, bytes]]:
+    """Pairs (set, set) of rows (set, group, sketch) in different groups whose sketches have enough in
+    common: within mine, or with theirs between the two. whole: each pair, else as many as connect them."""
+    rows = mine + (theirs or [])
+    size: dict[bytes, int] = {}
+    for r in rows:
+        size[r[1]] = size.get(r[1], 0) + 1
+    most = max(size, key=size.__getitem__)
+    if len(size) == 1:
+        return
+    parent = {g: g for g in size}
+
+    def top(g: bytes) -> bytes:
+        while parent[g] != g:
+            parent[g] = g = parent[parent[g]]
+        return g
+
+    number = {g: k for k, g in enumerate(size)}
+    groups = np.array([number[r[1]] for r in rows])
+    n = np.array([len(r[2]) // 2 for r in rows])
+    asked = [k for k in range(len(rows)) if rows[k][1] != most]  # of each pair in two groups one is not in the largest
+    side, is_asked = np.arange(len(rows)) < len(mine), groups != number[most]
+    cuts = np.flatnonzero(np.diff(np.cumsum(n) // block, prepend=-1)).tolist() + [len(rows)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        postings = Postings([Postings.codes(r[2]) for r in rows[a:b]])
+        at = np.arange(a, b)
+        for k in asked:
+            can = (groups[a:b] != groups[k]) & ((at > k) | ~is_asked[a:b])
+            if theirs is not None:
+                can &= side[a:b] != side[k]
+            if not can.any():
+                continue
+            enough = postings.common(Postings.codes(rows[k][2])) >= similarity / (1 + similarity) * (n[a:b] + n[k]) - 1e-6
+            for m in (np.flatnonzero(can & enough) + a).tolist():
+                x, y = top(rows[k][1]), top(rows[m][1])
+                if whole or x != y:
+                    parent[x] = y
+                    yield min(rows[k][0], rows[m][0]), max(rows[k][0], rows[m][0])
+
+
 def _frequent(texts: DataFrame, shingle: int, sample: int = 20_000, at_most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
     """Shingles found five times or more in about `sample` texts, sorted, and their counts. Only the
     order of the prefix filter depends on them, not its result."""

@@ -69,8 +69,8 @@ def test_simhash(spark, docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
-@pytest.mark.parametrize("radius,piece", [(3, 2048), (3, 8), (7, 8)])
-def test_links_connect_all_within_radius(spark, radius, piece):
+@pytest.mark.parametrize("radius,piece,agree", [(3, 2048, None), (3, 8, None), (3, 8, 3), (7, 8, 3), (7, 8, None)])
+def test_links_connect_all_within_radius(spark, radius, piece, agree):
     rng = random.Random(radius)
     values = {rng.getrandbits(64) for _ in range(40)}
     for v in list(values)[:20]:
@@ -79,7 +79,7 @@ def test_links_connect_all_within_radius(spark, radius, piece):
     values |= {(1 << 63) | i for i in range(30)}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     df = spark.createDataFrame([(v,) for v in signed], "fp long")
-    found = [(r.src % 2**64, r.dst % 2**64) for r in simhash.simhash_links(df, radius, piece).collect()]
+    found = [(r.src % 2**64, r.dst % 2**64) for r in simhash.simhash_links(df, radius, piece, agree).collect()]
     assert all((a ^ b).bit_count() <= radius for a, b in found)
     all_links = [(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= radius]
     assert components(values, found) == components(values, all_links)
@@ -138,6 +138,22 @@ def test_distinct_documents_between_dissimilar_copies(spark):
     assert sorted(r.doc_id for r in simhash.distinct_documents(df).collect()) == sorted({components(sets, linked)[i] for i in sets})
 
 
+def test_sketch_links(spark):
+    """Pairs in two groups as a plain comparison of multisets finds them, over blocks and between two sides."""
+    rng = random.Random(9)
+    sets = [simhash.shingle_set(" ".join(rng.choice(WORDS[: 4 + k % 5]) for _ in range(rng.choice([3, 9, 40]))), 2) for k in range(40)]
+    rows = [(bytes([k]), bytes([k % 25]), simhash.sketch(s)) for k, s in enumerate(sets)]
+    alike = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 25 != b % 25 and len(set(sets[a]) & set(sets[b])) >= 0.5 / 1.5 * (len(sets[a]) + len(sets[b])) - 1e-6}
+    for block in (30, 1_000_000):
+        got = [(a[0], b[0]) for a, b in simhash.sketch_links(rows, None, 0.5, True, block)]
+        assert set(got) == alike and len(got) == len(alike)
+        got = {(a[0], b[0]) for a, b in simhash.sketch_links(rows[:15], rows[15:], 0.5, True, block)}
+        assert got == {(a, b) for a, b in alike if a < 15 <= b}
+        spanning = [(a[0], b[0]) for a, b in simhash.sketch_links(rows, None, 0.5, False, block)]
+        own = [(k, k % 25) for k in range(40)]
+        assert set(spanning) <= alike and components(range(40), spanning + own) == components(range(40), list(alike) + own)
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_bpe(spark, docs, none, name):
     from tokenizers import Tokenizer
@@ -225,6 +241,11 @@ def test_mixing(spark, docs, none):
     for s in sizes:
         assert abs(taken[s] - want[s]) <= largest[s] / 2 + 1
     assert sorted(map(str, rows)) == sorted(map(str, mixing.mix(docs.repartition(7)).collect()))
+    more = docs.unionByName(docs.where("doc_id % 3 = 0")).unionByName(docs.where("doc_id = 21").crossJoin(spark.range(9)).drop("id"))
+    sums = lambda df, n: {r.k: r.n for r in df.groupBy(F.coalesce("source", F.lit("none")).alias("k")).agg(F.sum(n).alias("n")).collect()}
+    whole = mixing.mix(more).join(more.select("doc_id", "source").distinct(), "doc_id")
+    assert sums(mixing.mixed_rows(more).where("doc_id IS NOT NULL"), mixing.word_count(F.col("text"))) == {k: v for k, v in sums(whole, "taken").items() if v}
+    assert mixing.repeated(spark.createDataFrame([(1, 10000), (2, 3), (3, 0)], "a long, n long"), "n", "k").groupBy("a").agg(F.count("*"), F.max("k")).orderBy("a").collect() == [(1, 10000, 10000), (2, 3, 3)]
     mixed = mixing.mixed_rows(docs)
     assert mixed.columns == docs.columns and mixing.mixed_rows(none).count() == 0 and mixing.mix(none).count() == 0
 
