@@ -1,25 +1,56 @@
-"""Connected components by alternating star contraction."""
+"""Connected components by alternating star contraction, or in one task where edges are few."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import dropped, written
 
+#: Edges up to which one task joins them.
+FEW = 200_000
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, component) of edges (u, v), by union-find with the smallest vertex on top."""
+    parent: dict = {}
+
+    def top(x):
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[p]
+        return x
+
+    kind = None
+    for b in batches:
+        kind = b.schema.field(0).type
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            low, high = sorted((top(u), top(v)))
+            parent[high] = low
+    if kind is not None:
+        ids = list(parent)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(map(top, ids), kind)], names=["id", "component"])
+
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", few: int = FEW) -> DataFrame:
     """(id, component) for each vertex of the undirected graph; component is its smallest vertex.
 
     Each round points every larger neighbour of a vertex to the smallest one around it (large
     star), then every smaller one (small star); a round roughly halves the depth, so rounds grow
     with the logarithm of the diameter. Minima are aggregated before the shuffle and written as a
-    table, so a hub's edges meet them in a join that AQE can split. Self loops give a vertex of
-    its own; rows with a null end are ignored; repeated edges count once; an empty input gives no rows.
+    table, so a hub's edges meet them in a join that AQE can split. At most `few` edges are joined in
+    one task. Self loops give a vertex of its own; rows with a null end are ignored; repeated edges
+    count once; an empty input gives no rows. Vertices are integers or binary; text orders by its bytes.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    alone = pairs.where("u = v").select("u", "v")
-    now = written(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    once = written(pairs.distinct(), "edges")
+    if once.count() <= few:
+        kind = once.schema["u"].dataType.simpleString()
+        return written(once.coalesce(1).mapInArrow(_joined, f"id {kind}, component {kind}"), "components")
+    alone = once.where("u = v").select("u", "v")
+    now = written(once.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     while (state := now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != before:
         before = state

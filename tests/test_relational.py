@@ -32,9 +32,13 @@ def test_log(spark):
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (7, 7), (200, 200)]
     edges = spark.createDataFrame(chain, "src long, dst long")
-    found = {x.id: x.component for x in connected_components(edges).collect()}
-    assert {found[i] for i in range(1, 41)} == {1} and found[101] == 100 and found[200] == 200
-    assert connected_components(edges.where("src < 0")).count() == 0
+    for few in (0, 1000):
+        found = {x.id: x.component for x in connected_components(edges, few=few).collect()}
+        assert {found[i] for i in range(1, 41)} == {1} and found[101] == 100 and found[200] == 200 and len(found) == 43
+        assert connected_components(edges.where("src < 0"), few=few).count() == 0
+    wide = edges.selectExpr("cast(src AS binary) AS a", "cast(dst AS binary) AS b")
+    one, other = ({bytes(x.id): bytes(x.component) for x in connected_components(wide, "a", "b", few=few).collect()} for few in (0, 1000))
+    assert one == other
     odd = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "src long, dst long")
     assert g.is_bipartite(odd).first().bipartite is False and g.is_bipartite(edges.where("src <> dst")).first().bipartite is True
 
