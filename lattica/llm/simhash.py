@@ -201,8 +201,8 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     `similarity`; groups are what links connect. The join is exact: sets that alike share one of
     their first shingles in any common order (prefix filter), here one that puts shingles frequent
     in a sample last. Within each shingle neighbours by size are checked first. What these checks
-    left in different groups is compared within its task by sketches of 16 bits a shingle, which
-    can only overrate what sets share; shingles of over `piece` sets in parts. Only pairs that join two
+    left in different groups is compared within its task by counts of shingles in buckets, which can
+    only overrate what sets share; shingles of over `piece` sets in parts. Only pairs that join two
     groups leave the task and are checked by their sets; if one fails, all such pairs are checked.
     Null and empty texts are equal, so one stays; a row with a null id stays only if its group has
     no other; rows alike in id and text stay or go together.
@@ -221,34 +221,41 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 at = np.minimum(np.searchsorted(frequent, s), max(0, len(frequent) - 1))
                 often = np.where(frequent[at] == s, counts[at], 0) if len(frequent) else np.zeros(len(s), np.int64)
                 firsts.append(s[np.lexsort((s, often))][: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1])
-            sizes = pa.array([len(s) for s in sets], pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(map(_set_key, sets), pa.binary()), sizes, pa.array(firsts, pa.list_(pa.int64()))], names=["id", "h", "set", "n", "firsts"])
+            made = [pa.array(map(_set_key, sets), pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array(firsts, pa.list_(pa.int64())), pa.array(map(sketch, sets), pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=["id", "h", "key", "n", "firsts", "sketch"])
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches, 128):
-            held = [shingle_set(t, shingle) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(map(_set_key, held), pa.binary()), pa.array(held, pa.list_(pa.int64()))], names=["set", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, shingle) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], names=["set", "shingles"])
 
-    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches, 128):
-            held = [shingle_set(t, shingle) for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(map(_set_key, held), pa.binary()), pa.array(map(sketch, held), pa.binary())], names=["set", "sketch"])
-
-    base = written(narrow.mapInArrow(prefixes, f"id {kind}, h long, set binary, n int, firsts array<long>"), "sketches")
+    # equal sets are one, known by a number; the table keeps it
+    base = written(narrow.mapInArrow(prefixes, f"id {kind}, h long, key binary, n int, firsts array<long>, sketch binary"), "prefixes")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
-    best = written(base.groupBy("set").agg(F.min(row).alias("best")), "best")
-
-    def texts_of(sets_: DataFrame) -> DataFrame:
-        """The texts of sets, one each, from documents again: few sets need their shingles."""
-        needed = broadcast_below(written(sets_.distinct().join(best, "set").select("best.id", "best.h"), "needed"), 4_000_000).alias("k")
-        return narrow.alias("d").join(needed, F.col("d.id").eqNullSafe(F.col("k.id")) & (F.col("d.h") == F.col("k.h")), "left_semi").select("text")
+    sets = base.groupBy("key").agg(F.min(row).alias("best"), *[F.first(c).alias(c) for c in ("n", "firsts", "sketch")])
+    sets = written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
+    repeats = not base.groupBy("id", "h").count().where("count > 1").isEmpty()
 
     def checked(pairs: DataFrame) -> DataFrame:
-        """The pairs of sets that are alike."""
-        held = written(texts_of(pairs.select(F.col("a").alias("set")).union(pairs.select("b"))).mapInArrow(sets, "set binary, shingles array<long>").dropDuplicates(["set"]), "shingles")
-        both = pairs.join(held.select(F.col("set").alias("a"), F.col("shingles").alias("x")), "a").join(held.select(F.col("set").alias("b"), F.col("shingles").alias("y")), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        return written(both.where(common / (F.size("x") + F.size("y") - common) >= similarity).select("a", "b"), "alike")
+        """The pairs of sets that are alike: those whose sketches have enough in common are compared shingle by shingle."""
+
+        def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in parts(batches, 4096):
+                x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
+                enough = [overlap(p, q) >= similarity / (1 + similarity) * n - 1e-6 for p, q, n in zip(x, y, b.column(4).to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(enough, pa.bool_()))
+
+        ends = broadcast_below(written(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "ends"), 4_000_000)
+        held = sets.join(ends, "set", "left_semi")
+        side = lambda df, c, what: df.select(F.col("set").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in what])
+        both = pairs.join(side(held, "a", ["sketch", "n"]), "a").join(side(held, "b", ["sketch", "n"]), "b")
+        left = written(both.select("a", "b", "sketch_a", "sketch_b", F.col("n_a") + F.col("n_b")).mapInArrow(possible, "a long, b long"), "possible")
+        ends = left.select(F.col("a").alias("set")).union(left.select("b")).distinct().join(sets, "set").select("set", F.col("best.id").alias("k_id"), F.col("best.h").alias("k_h"))
+        ends = broadcast_below(written(ends, "ends"), 4_000_000)
+        texts = narrow.join(ends, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select("set", "text").mapInArrow(shingles, "set long, shingles array<long>")
+        held = written(texts.dropDuplicates(["set"]) if repeats else texts, "shingles")
+        both = left.join(side(held, "a", ["shingles"]), "a").join(side(held, "b", ["shingles"]), "b")
+        common = F.size(F.array_intersect("shingles_a", "shingles_b"))
+        return written(both.where(common / (F.size("shingles_a") + F.size("shingles_b") - common) >= similarity).select("a", "b"), "alike")
 
     def fits(x: str, y: str) -> Column:
         """Whether sets that first meet at this shingle can be alike, from sizes and places."""
@@ -257,50 +264,57 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sizes = F.least(c(x, "n"), c(y, "n")) >= similarity * F.greatest(c(x, "n"), c(y, "n")) - 1e-6
         return sizes & (most >= similarity / (1 + similarity) * (c(x, "n") + c(y, "n")) - 1e-6)
 
-    def grouped(links: DataFrame, name: str) -> DataFrame:
-        return written(connected_components(links, "a", "b").withColumnRenamed("id", "set"), name)
+    def grouped(links: DataFrame) -> DataFrame:
+        return written(connected_components(links, "a", "b").withColumnRenamed("id", "set"), "groups")
 
     one = F.struct("set", "n", "pos")
     around = Window.partitionBy("token").orderBy("n", "set")
-    firsts = base.select("set", "n", F.posexplode("firsts").alias("pos", "token"))
+    firsts = sets.select("set", "n", F.posexplode("firsts").alias("pos", "token"))
     seen = firsts.select("token", one.alias("me"), F.lag(one).over(around).alias("last"), F.first(one).over(around).alias("least"), F.lead("n").over(around).alias("more"))
-    met = written(seen.where("(last IS NULL AND more IS NOT NULL) OR last.set <> me.set"), "met")
-    near = [met.where("last IS NOT NULL").where(fits("me", other)).select(F.col("me.set").alias("a"), F.col(f"{other}.set").alias("b")).where("a <> b") for other in ("last", "least")]
+    met = written(seen.where("last IS NOT NULL OR more IS NOT NULL"), "met")
+    near = [met.where("last IS NOT NULL").where(fits("me", other)).select(F.col(f"{other}.set").alias("a"), F.col("me.set").alias("b")) for other in ("last", "least")]
     alike = checked(written(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
-    component = grouped(alike, "groups")
+    component = grouped(alike)
 
-    def rest(whole: bool) -> DataFrame:
-        """Pairs of different groups that can be alike by their sketches: enough to connect all, or with whole each one."""
-        left = met.select("token", "me.set").join(broadcast_below(component, 1_000_000), "set", "left").select("token", "set", F.coalesce("component", "set").alias("group"))
-        mixed = left.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.ceil(F.count("*") / piece).cast("int").alias("k")).where("low <> high").select("token", "k")
-        rows = written(left.join(mixed, "token").distinct(), "rows")
-        small = written(texts_of(rows.select("set")).mapInArrow(sketches, "set binary, sketch binary").dropDuplicates(["set"]), "small")
-        rows = rows.join(small, "set").withColumn("own", F.pmod(F.xxhash64("set"), F.col("k")).cast("int")).select("*", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-        rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "group", "sketch")
+    def rest(left: DataFrame, whole: bool) -> DataFrame:
+        """(token, a, b): pairs of different groups that can be alike by their sketches, found in the lists
+        left (token, set, n, group, k): enough to connect all in a list, or with whole each one."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for held in _runs(batches):
-                i, j = held[0][1:3]
+                token, i, j = held[0][:3]
                 mine, theirs = ([r[4:] for r in held if r[3] == side] for side in (i, j))
                 found = list(sketch_links(mine, None if i == j else theirs, similarity, whole))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in ([token] * len(found), *zip(*found, strict=True))], names=["token", "a", "b"])
 
-        dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "set")
-        return written(dealt.mapInArrow(run, "a binary, b binary").distinct(), "rest")
+        own = F.pmod(F.xxhash64("set"), F.col("k")).cast("int").alias("own")
+        rows = left.join(sets.select("set", "sketch"), "set").select("*", own, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+        rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "n", "group", "sketch")
+        return written(rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "set").mapInArrow(run, "token long, a long, b long"), "rest")
 
+    def in_groups(rows: DataFrame) -> DataFrame:
+        return rows.join(broadcast_below(component, 1_000_000), "set", "left").withColumn("group", F.coalesce("component", "set")).drop("component")
+
+    lists = in_groups(met.select("token", "me.set", "me.n"))
+    facts = lists.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("sets"), *[F.bit_xor(F.xxhash64("set", F.lit(i))).alias(f"of{i}") for i in (0, 1)])
+    # shingles with the same sets are compared once
+    mixed = facts.where("low <> high").groupBy("sets", "of0", "of1").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("sets") / piece).cast("int").alias("k"))
+    lists = written(lists.join(mixed, "token"), "lists")
     for whole in (False, True):
-        pairs = rest(whole)
-        more = checked(pairs)
-        linked, asked = more.count(), pairs.count()
-        if linked:
-            alike = alike.unionByName(more)
-            component = grouped(alike, "groups")
-        if linked == asked:
-            break  # what the sketches linked is alike, so no other pair joins two groups
-
-    stays = best.join(component, "set", "left").groupBy(F.coalesce("component", "set").alias("component")).agg(F.min("best").alias("stays"))
-    gone = base.select("set", row.alias("row")).join(component, "set", "left").withColumn("component", F.coalesce("component", "set")).join(stays, "component").where(~F.col("row").eqNullSafe(F.col("stays")))
+        pairs = rest(lists, whole)
+        more = checked(pairs.select("a", "b").distinct())
+        alike = alike.unionByName(more)
+        component = grouped(alike)
+        # where all that the sketches linked is alike no other pair joins two groups; in other lists every pair is tried
+        failed = written(pairs.join(more, ["a", "b"], "left_anti").select("token").distinct(), "failed")
+        if failed.isEmpty():
+            break
+        lists = written(in_groups(lists.drop("group")).join(failed, "token"), "lists")
+
+    stays = sets.join(component, "set", "left").groupBy(F.coalesce("component", "set").alias("component")).agg(F.min("best").alias("stays"))
+    gone = base.select("key", row.alias("row")).join(sets.select("key", "set"), "key").join(component, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    gone = gone.join(stays, "component").where(~F.col("row").eqNullSafe(F.col("stays")))
     gone = broadcast_below(written(gone.select(F.col("row.id").alias("gone_id"), F.col("row.h").alias("gone_h")).distinct(), "gone"), 4_000_000)
     return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_h")), "left_anti")
 
@@ -320,77 +334,71 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """The last 16 bits of each shingle, sorted: as a multiset it has at least what two sets have in common."""
-    return np.sort(shingles.astype(np.uint16)).tobytes()
-
-
-class Postings:
-    """Which of some multisets hold an element; equal elements of a multiset are numbered, so that they count one by one."""
-
-    def __init__(self, codes: list[np.ndarray]) -> None:
-        every, of = np.concatenate(codes), np.repeat(np.arange(len(codes)), [len(c) for c in codes])
-        order = np.argsort(every, kind="stable")
-        self.n, self.of = len(codes), of[order]
-        self.keys, self.starts, self.sizes = np.unique(every[order], return_index=True, return_counts=True)
-
-    def common(self, codes: np.ndarray) -> np.ndarray:
-        """Size of the intersection with each."""
-        at = np.minimum(np.searchsorted(self.keys, codes), len(self.keys) - 1)
-        at = at[self.keys[at] == codes]
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        where = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return np.bincount(self.of[where], minlength=self.n)
-
-    @staticmethod
-    def codes(held: bytes) -> np.ndarray:
-        v = np.frombuffer(held, np.uint16).astype(np.int64)
-        new = np.flatnonzero(np.diff(v, prepend=-1))
-        return v << 32 | np.arange(len(v)) - np.repeat(new, np.diff(np.append(new, len(v))))
-
-
-def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: float, whole: bool, block: int = 1_000_000) -> Iterator[tuple[bytes, bytes]]:
-    """Pairs (set, set) of rows (set, group, sketch) in different groups whose sketches have enough in
-    common: within mine, or with theirs between the two. whole: each pair, else as many as connect them."""
-    rows = mine + (theirs or [])
-    size: dict[bytes, int] = {}
-    for r in rows:
-        size[r[1]] = size.get(r[1], 0) + 1
-    most = max(size, key=size.__getitem__)
-    if len(size) == 1:
+    """How many shingles fall in each of half as many buckets, to the next power of two, by the
+    last bits; 255 stands for more. The sum of the smaller counts is at least what two sets have in common."""
+    buckets = 1 << max(3, (len(shingles) - 1).bit_length() - 1)
+    counts = np.bincount((shingles & (buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _counts(held: bytes, buckets: int) -> np.ndarray:
+    """A sketch's counts, folded to fewer buckets."""
+    x = np.frombuffer(held, np.uint8)
+    x = np.where(x == 255, 1 << 14, x).astype(np.uint16)
+    return np.minimum(x.reshape(-1, buckets).sum(axis=0), 1 << 14).astype(np.uint16)
+
+
+def overlap(a: bytes, b: bytes) -> int:
+    """At least what the sets of two sketches have in common."""
+    buckets = min(len(a), len(b))
+    return int(np.minimum(_counts(a, buckets), _counts(b, buckets)).sum(dtype=np.int64))
+
+
+def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: float, whole: bool, block: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Pairs (set, set) of rows (set, n, group, sketch) in different groups whose sketches have enough in
+    common: within mine, or with theirs between the two. whole: each pair, else as many as connect them.
+    Sets are compared with larger ones, in the buckets of the smaller one; at most `block` counts are held at once."""
+    rows = sorted(((r[1], r[0], r[2], r[3], side) for side, given in enumerate((mine, theirs or [])) for r in given))
+    parent = {r[2]: r[2] for r in rows}
+    if len(parent) == 1:
         return
-    parent = {g: g for g in size}
 
-    def top(g: bytes) -> bytes:
+    def top(g: int) -> int:
         while parent[g] != g:
             parent[g] = g = parent[parent[g]]
         return g
 
-    number = {g: k for k, g in enumerate(size)}
-    groups = np.array([number[r[1]] for r in rows])
-    n = np.array([len(r[2]) // 2 for r in rows])
-    asked = [k for k in range(len(rows)) if rows[k][1] != most]  # of each pair in two groups one is not in the largest
-    side, is_asked = np.arange(len(rows)) < len(mine), groups != number[most]
-    cuts = np.flatnonzero(np.diff(np.cumsum(n) // block, prepend=-1)).tolist() + [len(rows)]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        postings = Postings([Postings.codes(r[2]) for r in rows[a:b]])
-        at = np.arange(a, b)
-        for k in asked:
-            can = (groups[a:b] != groups[k]) & ((at > k) | ~is_asked[a:b])
-            if theirs is not None:
-                can &= side[a:b] != side[k]
-            if not can.any():
-                continue
-            enough = postings.common(Postings.codes(rows[k][2])) >= similarity / (1 + similarity) * (n[a:b] + n[k]) - 1e-6
-            for m in (np.flatnonzero(can & enough) + a).tolist():
-                x, y = top(rows[k][1]), top(rows[m][1])
-                if whole or x != y:
-                    parent[x] = y
-                    yield min(rows[k][0], rows[m][0]), max(rows[k][0], rows[m][0])
-
-
-def _frequent(texts: DataFrame, shingle: int, sample: int = 20_000, at_most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles found five times or more in about `sample` texts, sorted, and their counts. Only the
+    groups, n, side = np.array([r[2] for r in rows]), np.array([r[0] for r in rows]), np.array([r[4] for r in rows])
+    ends = np.searchsorted(n, n / similarity + 1e-6, side="right")  # no larger set can be alike
+    widths = np.array([len(r[3]) for r in rows])
+    a = 0
+    while a < len(rows):
+        buckets = int(widths[a])
+        b = int(np.searchsorted(widths, buckets, side="right"))
+        step = max(1, block // buckets)
+        for c in range(a, int(ends[b - 1]), step):
+            d = min(c + step, int(ends[b - 1]))
+            held = np.stack([_counts(r[3], buckets) for r in rows[c:d]])
+            for k in range(a, min(b, d)):
+                x, y = max(c, k + 1), min(d, int(ends[k]))
+                can = groups[x:y] != groups[k]
+                if theirs is not None:
+                    can &= side[x:y] != side[k]
+                at = np.flatnonzero(can) + x
+                if not len(at):
+                    continue
+                mine_ = held[k - c] if k >= c else _counts(rows[k][3], buckets)
+                common = np.minimum(held[at - c], mine_).sum(axis=1, dtype=np.int64)
+                for m in at[common >= similarity / (1 + similarity) * (n[at] + n[k]) - 1e-6].tolist():
+                    g, h = top(rows[k][2]), top(rows[m][2])
+                    if whole or g != h:
+                        parent[g] = h
+                        yield min(rows[k][1], rows[m][1]), max(rows[k][1], rows[m][1])
+        a = b
+
+
+def _frequent(texts: DataFrame, shingle: int, sample: int = 5_000, at_most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles found three times or more in about `sample` texts, sorted, and their counts. Only the
     order of the prefix filter depends on them, not its result."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -400,7 +408,7 @@ def _frequent(texts: DataFrame, shingle: int, sample: int = 20_000, at_most: int
 
     share = int(min(1.0, sample / max(1, texts.count())) * 1_000_000)
     some = texts.where(F.pmod(F.xxhash64("id", "h"), F.lit(1_000_000)) < share).select("text")
-    often = some.mapInArrow(tokens, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n >= 5")
+    often = some.mapInArrow(tokens, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n >= 3")
     found = often.orderBy(F.desc("n"), "token").limit(at_most).toArrow()
     token, n = found["token"].to_numpy(), found["n"].to_numpy()
     by = np.argsort(token)
