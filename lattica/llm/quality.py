@@ -26,7 +26,7 @@ def shape(word: str) -> str:
     if word.isalpha():
         return "a" if word.islower() else "A" if word.isupper() and len(word) > 1 else "Aa"
     out, last = [], ""
-    for c in word[:64]:
+    for c in word:
         k = "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c
         if k != last or not k.isalnum():
             out.append(k)
@@ -131,10 +131,13 @@ def with_quality(docs: DataFrame, labels: DataFrame, learn: Column, label: str =
     Document frequencies come from all documents; the latent space and the voters from at most
     per_class labelled documents of each class, the bound that makes them fit for a broadcast.
     Each document is compared with all voters, in blocks, and the nearest ones vote with their
-    similarity to the fourth power. Null and empty texts get the score that other texts without words would; without any
-    labels every score is 0.5; repeated rows and null ids pass through. Reads doc_id and text; the
-    name of the score must be free.
+    similarity to the fourth power; of neighbours at equal similarity any may vote, the same for equal
+    texts. Null and empty texts get the score that other texts without words would; texts of any
+    length are read whole; without any labels every score is 0.5; repeated rows and null ids pass
+    through; an empty table gives no rows. Reads doc_id and text; a column with the name of the
+    score is replaced.
     """
+    docs = docs.drop(score)
     model = docs.sparkSession.sparkContext.broadcast(latent_vectors(docs, labels, label, learn, per_class, dims))
     at = docs.columns.index("text")
 

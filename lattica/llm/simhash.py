@@ -203,7 +203,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     in a sample last. Within each shingle neighbours by size are checked first. What these checks
     left in different groups is compared within its task by counts of shingles in buckets, which can
     only overrate what sets share; shingles of over `piece` sets in parts. Only pairs that join two
-    groups leave the task and are checked by their sets; if one fails, all such pairs are checked.
+    groups leave the task and are checked by their sets; where one fails, finer counts follow, then all pairs.
     Null and empty texts are equal, so one stays; a row with a null id stays only if its group has
     no other; rows alike in id and text stay or go together.
     """
@@ -228,6 +228,10 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         for b in parts(batches, 128):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t, shingle) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))], names=["set", "shingles"])
 
+    def fine_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches, 128):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fine_sketch(shingle_set(t, shingle)) for t in b.column(1).to_pylist()], pa.binary())], names=["set", "sketch"])
+
     # equal sets are one, known by a number; the table keeps it
     base = written(narrow.mapInArrow(prefixes, f"id {kind}, h long, key binary, n int, firsts array<long>, sketch binary"), "prefixes")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
@@ -235,6 +239,12 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
     repeats = not base.groupBy("id", "h").count().where("count > 1").isEmpty()
 
+    def texts_of(some: DataFrame) -> DataFrame:
+        """(set, text) of some sets, one text each, from the documents again: few sets need theirs."""
+        ends = broadcast_below(written(some.join(sets, "set").select("set", F.col("best.id").alias("k_id"), F.col("best.h").alias("k_h")), "ends"), 4_000_000)
+        texts = narrow.join(ends, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select("set", "text")
+        return texts.dropDuplicates(["set"]) if repeats else texts
+
     def checked(pairs: DataFrame) -> DataFrame:
         """The pairs of sets that are alike: those whose sketches have enough in common are compared shingle by shingle."""
 
@@ -249,10 +259,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         side = lambda df, c, what: df.select(F.col("set").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in what])
         both = pairs.join(side(held, "a", ["sketch", "n"]), "a").join(side(held, "b", ["sketch", "n"]), "b")
         left = written(both.select("a", "b", "sketch_a", "sketch_b", F.col("n_a") + F.col("n_b")).mapInArrow(possible, "a long, b long"), "possible")
-        ends = left.select(F.col("a").alias("set")).union(left.select("b")).distinct().join(sets, "set").select("set", F.col("best.id").alias("k_id"), F.col("best.h").alias("k_h"))
-        ends = broadcast_below(written(ends, "ends"), 4_000_000)
-        texts = narrow.join(ends, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("h") == F.col("k_h"))).select("set", "text").mapInArrow(shingles, "set long, shingles array<long>")
-        held = written(texts.dropDuplicates(["set"]) if repeats else texts, "shingles")
+        held = written(texts_of(left.select(F.col("a").alias("set")).union(left.select("b")).distinct()).mapInArrow(shingles, "set long, shingles array<long>"), "shingles")
         both = left.join(side(held, "a", ["shingles"]), "a").join(side(held, "b", ["shingles"]), "b")
         common = F.size(F.array_intersect("shingles_a", "shingles_b"))
         return written(both.where(common / (F.size("shingles_a") + F.size("shingles_b") - common) >= similarity).select("a", "b"), "alike")
@@ -276,7 +283,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     alike = checked(written(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
     component = grouped(alike)
 
-    def rest(left: DataFrame, whole: bool) -> DataFrame:
+    def rest(left: DataFrame, held_by: DataFrame, fine: bool, whole: bool) -> DataFrame:
         """(token, a, b): pairs of different groups that can be alike by their sketches, found in the lists
         left (token, set, n, group, k): enough to connect all in a list, or with whole each one."""
 
@@ -284,12 +291,12 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             for held in _runs(batches):
                 token, i, j = held[0][:3]
                 mine, theirs = ([r[4:] for r in held if r[3] == side] for side in (i, j))
-                found = list(sketch_links(mine, None if i == j else theirs, similarity, whole))
+                found = list(sketch_links(mine, None if i == j else theirs, similarity, fine, whole))
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in ([token] * len(found), *zip(*found, strict=True))], names=["token", "a", "b"])
 
         own = F.pmod(F.xxhash64("set"), F.col("k")).cast("int").alias("own")
-        rows = left.join(sets.select("set", "sketch"), "set").select("*", own, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
+        rows = left.join(held_by, "set").select("*", own, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
         rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "n", "group", "sketch")
         return written(rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "set").mapInArrow(run, "token long, a long, b long"), "rest")
 
@@ -301,12 +308,16 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # shingles with the same sets are compared once
     mixed = facts.where("low <> high").groupBy("sets", "of0", "of1").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("sets") / piece).cast("int").alias("k"))
     lists = written(lists.join(mixed, "token"), "lists")
-    for whole in (False, True):
-        pairs = rest(lists, whole)
+    held_by = sets.select("set", "sketch")
+    for fine, whole in ((False, False), (True, False), (True, True)):
+        if fine and not whole:
+            held_by = written(texts_of(lists.select("set").distinct()).mapInArrow(fine_sketches, "set long, sketch binary"), "fine")
+        pairs = rest(lists, held_by, fine, whole)
         more = checked(pairs.select("a", "b").distinct())
         alike = alike.unionByName(more)
         component = grouped(alike)
-        # where all that the sketches linked is alike no other pair joins two groups; in other lists every pair is tried
+        # where all that the sketches linked is alike no other pair joins two groups; other lists are compared
+        # again, by finer sketches, and if these fail too pair by pair
         failed = written(pairs.join(more, ["a", "b"], "left_anti").select("token").distinct(), "failed")
         if failed.isEmpty():
             break
@@ -354,10 +365,52 @@ def overlap(a: bytes, b: bytes) -> int:
     return int(np.minimum(_counts(a, buckets), _counts(b, buckets)).sum(dtype=np.int64))
 
 
-def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: float, whole: bool, block: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Pairs (set, set) of rows (set, n, group, sketch) in different groups whose sketches have enough in
-    common: within mine, or with theirs between the two. whole: each pair, else as many as connect them.
-    Sets are compared with larger ones, in the buckets of the smaller one; at most `block` counts are held at once."""
+def fine_sketch(shingles: np.ndarray) -> bytes:
+    """The last 16 bits of each shingle, sorted: as a multiset it has at least, and seldom more than, what two sets have in common."""
+    return np.sort((shingles & 0xFFFF).astype(np.uint16)).tobytes()
+
+
+class Buckets:
+    """Sketches to be compared in so many buckets."""
+
+    def __init__(self, sketches: list[bytes], buckets: int) -> None:
+        self.buckets, self.counts = buckets, np.stack([_counts(x, buckets) for x in sketches])
+
+    def common(self, sketch: bytes, at: np.ndarray) -> np.ndarray:
+        return np.minimum(self.counts[at], _counts(sketch, self.buckets)).sum(axis=1, dtype=np.int64)
+
+
+class Postings:
+    """Which of some fine sketches hold a value; equal values of a sketch are numbered, so that they count one by one."""
+
+    def __init__(self, sketches: list[bytes]) -> None:
+        codes = [self.codes(x) for x in sketches]
+        every, of = np.concatenate(codes), np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+        order = np.argsort(every, kind="stable")
+        self.n, self.of = len(codes), of[order]
+        self.keys, self.starts, self.sizes = np.unique(every[order], return_index=True, return_counts=True)
+
+    def common(self, sketch: bytes, at: np.ndarray) -> np.ndarray:
+        codes = self.codes(sketch)
+        found = np.minimum(np.searchsorted(self.keys, codes), len(self.keys) - 1)
+        found = found[self.keys[found] == codes]
+        sizes = self.sizes[found]
+        ends = np.cumsum(sizes)
+        where = np.repeat(self.starts[found] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return np.bincount(self.of[where], minlength=self.n)[at]
+
+    @staticmethod
+    def codes(sketch: bytes) -> np.ndarray:
+        v = np.frombuffer(sketch, np.uint16).astype(np.int64)
+        new = np.flatnonzero(np.diff(v, prepend=-1))
+        return v << 32 | np.arange(len(v)) - np.repeat(new, np.diff(np.append(new, len(v))))
+
+
+def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: float, fine: bool, whole: bool, block: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Pairs (set, set) of rows (set, n, group, sketch) in different groups whose sketches, all fine or
+    none, have enough in common: within mine, or with theirs between the two. whole: each pair, else
+    as many as connect them. Sets are compared with larger ones, in the buckets of the smaller one; at
+    most about `block` counts are held at once."""
     rows = sorted(((r[1], r[0], r[2], r[3], side) for side, given in enumerate((mine, theirs or [])) for r in given))
     parent = {r[2]: r[2] for r in rows}
     if len(parent) == 1:
@@ -370,15 +423,16 @@ def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: floa
 
     groups, n, side = np.array([r[2] for r in rows]), np.array([r[0] for r in rows]), np.array([r[4] for r in rows])
     ends = np.searchsorted(n, n / similarity + 1e-6, side="right")  # no larger set can be alike
-    widths = np.array([len(r[3]) for r in rows])
+    widths = np.array([0 if fine else len(r[3]) for r in rows])
     a = 0
     while a < len(rows):
-        buckets = int(widths[a])
-        b = int(np.searchsorted(widths, buckets, side="right"))
-        step = max(1, block // buckets)
-        for c in range(a, int(ends[b - 1]), step):
-            d = min(c + step, int(ends[b - 1]))
-            held = np.stack([_counts(r[3], buckets) for r in rows[c:d]])
+        b = int(np.searchsorted(widths, widths[a], side="right"))
+        last = int(ends[b - 1])
+        step = max(1, block // max(len(r[3]) for r in rows[a:last]))
+        for c in range(a, last, step):
+            d = min(c + step, last)
+            held = [r[3] for r in rows[c:d]]
+            index = Postings(held) if fine else Buckets(held, int(widths[a]))
             for k in range(a, min(b, d)):
                 x, y = max(c, k + 1), min(d, int(ends[k]))
                 can = groups[x:y] != groups[k]
@@ -387,8 +441,7 @@ def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: floa
                 at = np.flatnonzero(can) + x
                 if not len(at):
                     continue
-                mine_ = held[k - c] if k >= c else _counts(rows[k][3], buckets)
-                common = np.minimum(held[at - c], mine_).sum(axis=1, dtype=np.int64)
+                common = index.common(rows[k][3], at - c)
                 for m in at[common >= similarity / (1 + similarity) * (n[at] + n[k]) - 1e-6].tolist():
                     g, h = top(rows[k][2]), top(rows[m][2])
                     if whole or g != h:

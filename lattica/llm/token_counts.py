@@ -16,25 +16,28 @@ from pyspark.sql import functions as F
 from .batches import parts
 from .bpe import Bpe, encoder, vocabulary
 
-LEAF = 64
-#: Characters past its end that a match may look at: white space leaves its last one to a word, "'re" is one pre-token.
+LEAF = 256
+#: Characters past its end that a match may look at: white space leaves its last one to a word, "'re" is one
+#: pre-token. Special tokens, which cut a text before it is split, may reach further: the longest's length counts then.
 AHEAD = 2
 
 
 class TokenTree:
-    """Pre-tokens of one text. The split must cover the text and look at most AHEAD characters past a match."""
+    """Pre-tokens and special tokens of one text. The split must cover the text and look at most AHEAD characters past a match."""
 
     def __init__(self, text: str, bpe: Bpe) -> None:
         self.bpe, self.encoded = bpe, 0
+        self.ahead = max([AHEAD, *map(len, bpe.special)])
         self.build(self.resplit(text))
 
     def resplit(self, text: str) -> list[str]:
         self.encoded += len(text)
-        return self.bpe.split.findall(text)
+        if not any(map(text.__contains__, self.bpe.special)):
+            return self.bpe.pieces(text)
+        return [p for part in self.bpe.cut.split(text) for p in ((part,) if part in self.bpe.special else self.bpe.pieces(part))]
 
     def sums(self, pieces: list[str]) -> tuple[int, int]:
-        cache = self.bpe.cache
-        return sum(map(len, pieces)), sum(len(cache[p]) for p in pieces) // 4
+        return sum(map(len, pieces)), sum(map(self.bpe.counts.__getitem__, pieces))
 
     def build(self, pieces: list[str]) -> None:
         self.leaves = [pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
@@ -72,10 +75,10 @@ class TokenTree:
         """Replace the characters from start to end; offsets beyond the text are brought within it."""
         start = min(max(start, 0), self.n_chars)
         end = min(max(end, start), self.n_chars)
-        leaf, at = self.leaf_at(start - AHEAD + 1)
+        leaf, at = self.leaf_at(start - self.ahead + 1)
         index = 0
         for piece in self.leaves[leaf]:
-            if at + len(piece) > start - AHEAD:
+            if at + len(piece) > start - self.ahead:
                 break
             at += len(piece)
             index += 1
@@ -103,7 +106,7 @@ class TokenTree:
             least, met = start - first_at + len(new), None
             for n, piece in enumerate(pieces, start=1):
                 b += len(piece)
-                if b >= least and b + AHEAD <= len(region) and b in ends:
+                if b >= least and b + self.ahead <= len(region) and b in ends:
                     met = (n, ends[b])
                     break
             if met or whole:
@@ -133,8 +136,10 @@ def edited_counts(docs: DataFrame, path: str, edits: Column, id_col: str = "doc_
     """(doc_id, n_tokens, edited_tokens, edited_chars, encoded_chars): one row per input row, no shuffle.
 
     edits: a column array<struct<start:int,end:int,new:string>>, applied in order, offsets in code points of the text
-    as it is then. encoded_chars counts the characters that edits had re-encoded. A null text counts as empty, null
-    edits as none, a null start as 0, a null end as start, a null new as empty; other columns are not read.
+    as it is then. Special tokens, in the text or made by an edit, count as one. encoded_chars counts the characters that edits
+    had re-encoded. A null text counts as empty, null edits as none, a null start as 0, a null end as start, a null new as
+    empty; texts of any length are held whole; null ids and repeated rows pass through; an empty table gives no rows;
+    other columns are not read.
     """
     spec = vocabulary(docs.sparkSession, path)
 

@@ -142,14 +142,25 @@ def test_sketch_links(spark):
     """Pairs in two groups as a plain comparison of multisets finds them, over blocks and between two sides."""
     rng = random.Random(9)
     sets = [simhash.shingle_set(" ".join(rng.choice(WORDS[: 4 + k % 5]) for _ in range(rng.choice([3, 9, 40]))), 2) for k in range(40)]
-    rows = [(bytes([k]), bytes([k % 25]), simhash.sketch(s)) for k, s in enumerate(sets)]
-    alike = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 25 != b % 25 and len(set(sets[a]) & set(sets[b])) >= 0.5 / 1.5 * (len(sets[a]) + len(sets[b])) - 1e-6}
-    for block in (30, 1_000_000):
-        got = [(a[0], b[0]) for a, b in simhash.sketch_links(rows, None, 0.5, True, block)]
+    rows = [(k, len(s), k % 25, simhash.sketch(s)) for k, s in enumerate(sets)]
+
+    def bound(a, b):
+        buckets = min(len(rows[a][3]), len(rows[b][3]))
+        x, y = (np.bincount(sets[k] & (buckets - 1), minlength=buckets) for k in (a, b))
+        assert np.minimum(x, y).sum() == simhash.overlap(rows[a][3], rows[b][3])
+        return np.minimum(x, y).sum()
+
+    sure = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 25 != b % 25 and len(set(sets[a]) & set(sets[b])) >= 0.5 / 1.5 * (len(sets[a]) + len(sets[b])) - 1e-6}
+    alike = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 25 != b % 25 and min(len(sets[a]), len(sets[b])) >= 0.5 * max(len(sets[a]), len(sets[b])) - 1e-6 and bound(a, b) >= 0.5 / 1.5 * (len(sets[a]) + len(sets[b])) - 1e-6}
+    assert sure <= alike
+    for fine, block in ((False, 30), (False, 1_000_000), (True, 300), (True, 1_000_000)):
+        if fine:
+            alike, rows = sure, [(*r[:3], simhash.fine_sketch(sets[r[0]])) for r in rows]
+        got = list(simhash.sketch_links(rows, None, 0.5, fine, True, block))
         assert set(got) == alike and len(got) == len(alike)
-        got = {(a[0], b[0]) for a, b in simhash.sketch_links(rows[:15], rows[15:], 0.5, True, block)}
+        got = set(simhash.sketch_links(rows[:15], rows[15:], 0.5, fine, True, block))
         assert got == {(a, b) for a, b in alike if a < 15 <= b}
-        spanning = [(a[0], b[0]) for a, b in simhash.sketch_links(rows, None, 0.5, False, block)]
+        spanning = list(simhash.sketch_links(rows, None, 0.5, fine, False, block))
         own = [(k, k % 25) for k in range(40)]
         assert set(spanning) <= alike and components(range(40), spanning + own) == components(range(40), list(alike) + own)
 
@@ -161,7 +172,11 @@ def test_bpe(spark, docs, none, name):
     path = queries.tokenizer_path(name)
     theirs, ours = Tokenizer.from_file(path), bpe.Bpe(json.load(open(path)), cache=50)
     rng = random.Random(2)
-    letters = [*map(chr, range(0x20, 0x250)), "Σ", "ς", "İ", "́", " ", "中", "😀", "<|startoftext|>", "<|endoftext|>", "'s", " the", "   ", "\n"]
+    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(every), 40_000):
+        texts = [f"a{chr(c)}b 1{chr(c)}?!{chr(c)} {chr(c)}" for c in every[i : i + 40_000]]
+        assert [t for t, e in zip(texts, theirs.encode_batch(texts, add_special_tokens=False), strict=True) if np.frombuffer(ours.encode(t), "<u4").tolist() != e.ids] == []
+    letters = [*map(chr, range(0x250)), *(chr(c) for c in (0x558, 0x88F, 0x1C89, 0xA7CB, 0x10D50, 0x16EA0, 0x16EBB, 0x85, 0x2028, 0x1E9E, 0x130)), "Σ", "ς", "İ", "́", " ", "中", "😀", "<|startoftext|>", "<|endoftext|>", "'s", " the", "   ", "\n"]
     for _ in range(3000):
         t = "".join(rng.choice(letters) for _ in range(rng.randint(0, 15)))
         ids = np.frombuffer(ours.encode(t), "<u4").tolist()
@@ -326,6 +341,56 @@ def test_pii_zero_octets_and_hints(spark):
         assert bool(r.base) == (r.doc_id != 3)
 
 
+def test_pii_running(spark):
+    for n in (0, 1, 255, 256, 257, 1500):
+        x = [(7 * i) % 11 for i in range(n)]
+        got = spark.createDataFrame([(x,)], "x array<int>").select(pii.running(F.col("x")).alias("y")).first().y
+        assert got == np.cumsum(x, dtype=int).tolist()
+
+
+def test_pii_learns_disguises(spark, none):
+    """Planted disguised data among prose, versions and dates: precision and recall of the added spans."""
+    rng = random.Random(12)
+    num = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card(sep):
+        d = num(15)
+        d += next(str(x) for x in range(10) if luhn(d + str(x)))
+        return sep.join(d[i : i + 4] for i in range(0, 16, 4))
+
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    ip = lambda dot: dot.join(str(rng.randint(0, 255)) for _ in range(4))
+    plain = (lambda: f"{name()}@{name()}.com", lambda: ip("."), lambda: card(" "), lambda: f"+1 ({num(3)}) {num(3)}-{num(4)}")
+    hidden = (lambda: f"{name()} [at] {name()} [dot] com", lambda: ip("[.]"), lambda: card("."), lambda: f"({num(3)}) {num(3)}-{num(4)}")
+    clean = (lambda: f"version {rng.randint(0, 9)}.{rng.randint(0, 20)}.{rng.randint(300, 900)}.{rng.randint(300, 999)}", lambda: f"20{num(2)}-0{rng.randint(1, 9)}-1{num(1)}", lambda: f"{num(4)}.{num(4)}", lambda: f"order {num(13)}x")
+    texts, planted = [], {}
+    for i in range(900):
+        text = ""
+        for _ in range(4):
+            text += " ".join(rng.choice(WORDS) for _ in range(6)) + " "
+            made = rng.choice(rng.choice((plain, plain, hidden, clean)))
+            what = made()
+            if made in hidden:
+                planted.setdefault(i, set()).add((len(text), len(text) + len(what)))
+            text += what + " "
+        texts.append(text)
+    df = spark.createDataFrame([*enumerate(texts), (None, "write a [at] b [dot] com"), (None, None), (5000, ""), *list(enumerate(texts))[:2]], "doc_id long, text string").withColumn("kind", F.lit(1)).withColumn("spans", F.lit("x"))
+    rows = pii.personal_data(df).collect()
+    assert len(rows) == df.count() and pii.personal_data(none).count() == 0
+    hits = found = want = 0
+    for r in {x.doc_id: x for x in rows if x.doc_id is not None and x.doc_id < 900}.values():
+        base = base_spans(texts[r.doc_id])
+        assert [tuple(s) for s in r.base] == base
+        more = sorted(set(map(tuple, r.spans)) - set(base))
+        assert all(not (a[0] < b[2] and b[0] < a[2]) for a in more for b in base) and all(a[2] <= b[0] for a, b in zip(more, more[1:], strict=False))
+        got = {(s[0], s[2]) for s in more}
+        hits += len(got & planted.get(r.doc_id, set()))
+        found += len(got)
+        want += len(planted.get(r.doc_id, ()))
+    print(f"added spans: precision {hits / max(1, found):.3f}, recall {hits / want:.3f} of {want}")
+    assert hits >= 0.9 * found and hits >= 0.7 * want
+
+
 def fold(i, n):
     return zlib.crc32(str(i).encode()) % n
 
@@ -353,6 +418,64 @@ def test_quality_and_toxicity(spark, none):
         assert len(scores(df, labels.where("false"), labelled.fold("doc_id", n) != out).collect()) == 403
 
 
+def test_quality_clashing_column_and_repeated_rows(spark):
+    rows = [(i, "w " * (i + 1) if i % 2 else "@@ && " * (i + 1)) for i in range(20)]
+    df = spark.createDataFrame([*rows, rows[3], (3, "other text"), (None, None)], "doc_id long, text string").withColumn("score", F.lit("x"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(3, 1)], "doc_id long, quality int")
+    got = quality.with_quality(df, labels, F.lit(True)).collect()
+    assert len(got) == 23 and len({r.score for r in got if r.doc_id == 3 and r.text == rows[3][1]}) == 1 and all(0 <= r.score <= 1 for r in got)
+    assert labelled.sampled(df, labels, "quality", F.lit(True), 100).count() == 20
+    assert quality.shape("a" * 70 + "!" + "B" * 70) == "a!A"
+
+
+def test_toxicity_likelihoods():
+    """The orders' likelihoods as their formula gives them with plain dictionaries; they sum to 1 over all bytes that follow."""
+    rng = random.Random(2)
+    words = [sorted({"".join(rng.choice("abé") for _ in range(rng.randint(0, 7))) for _ in range(n)}) for n in (80, 50, 120)]
+    times = [{w: rng.randint(1, 4) for w in ws} for ws in words]
+
+    def count(ws, order, weigh):
+        total = {}
+        for w in ws:
+            s = b"^" + w.encode() + b"$"
+            for e in range(1, len(s)):
+                g = s[max(0, e + 1 - order) : e + 1]
+                total[g] = total.get(g, 0) + (ws[w] if weigh else 1)
+        return total
+
+    plain = [(count(times[2], toxicity.SHARED, False), toxicity.SHARED_PRIOR, None)]
+    for k in (0, 1):
+        plain += [(count(times[k], o, i == 1), toxicity.OWN_PRIOR, k) for i, o in enumerate(toxicity.OWN)]
+
+    def likelihood(s, k):
+        p = toxicity.FLOOR
+        for (counts, prior, of), order in zip(plain, (toxicity.SHARED, *toxicity.OWN, *toxicity.OWN), strict=True):
+            if of not in (None, k):
+                continue
+            off = toxicity.discounts(np.array(list(counts.values()), float))
+            g = s[-order:]
+            here = [n for x, n in counts.items() if x[:-1] == g[:-1]]
+            n = counts.get(g, 0)
+            p = (max(n - off[min(n, 3)], 0) + (prior + sum(off[min(x, 3)] for x in here)) * p) / (prior + sum(here))
+        return p
+
+    def table(ws, order, i, weigh):
+        g, c, sizes = toxicity.sequences(list(ws), (order,))
+        return toxicity.counted(g[0], c[0], np.repeat([float(ws[w]) if weigh else 1.0 for w in ws], sizes))
+
+    model = toxicity.Model(toxicity.Order([table(times[2], toxicity.SHARED, 0, False)], toxicity.SHARED_PRIOR), [toxicity.Order([table(times[k], o, i, i == 1) for k in (0, 1)], toxicity.OWN_PRIOR) for i, o in enumerate(toxicity.OWN)])
+    for w in (*words[0][:10], *words[1][:10], "zzz", ""):
+        p, sizes = model.likelihoods([w])
+        s = b"^" + w.encode() + b"$"
+        assert sizes.tolist() == [len(s) - 1]
+        for e in range(1, len(s)):
+            for k in (0, 1):
+                assert p[e - 1, k] == pytest.approx(likelihood(s[: e + 1], k), rel=1e-4)
+    assert sum(likelihood(b"^ab" + bytes([b]), 1) for b in range(256)) == pytest.approx(1)
+    h = np.sort(np.random.default_rng(1).integers(0, 2**64 - 1, 5000, dtype=np.uint64))
+    assert (toxicity.Lookup(h)(h) == np.arange(5000)).all() and (toxicity.Lookup(h)(h + np.uint64(1)) == 5000).all() and (toxicity.Lookup(h[:0])(h) == 0).all()
+
+
 def test_toxicity_reads_long_words_to_the_end(spark):
     rng = random.Random(3)
     rows, marks = [], []
@@ -378,17 +501,29 @@ def test_token_counts(spark, docs, none):
     theirs, ours = Tokenizer.from_file(path), bpe.Bpe(json.load(open(path)))
     rng = random.Random(5)
     for _ in range(60):
-        t = "".join(rng.choice(["the", "  ", "\n", " a", "it's", " 12", "!!", "é", " ", "x"]) for _ in range(rng.choice([0, 3, 30, 700])))
+        special = rng.random() < 0.4
+        t = "".join(rng.choice([*(["<|endoftext|>", "<|end", "oftext|>"] if special else []), "the", "  ", "\n", " a", "it's", " 12", "!!", "é", " ", "x"]) for _ in range(rng.choice([0, 3, 30, 700])))
         tree = token_counts.TokenTree(t, ours)
         for _ in range(20):
             a = rng.randint(0, len(t) + 2)
             b = a + rng.choice([0, 0, 1, 5, 50, 400])
-            new = "".join(rng.choice([" ", "the", "\n", "'", "s", "9", "é!"]) for _ in range(rng.choice([0, 1, 4, 40, 300])))
+            new = "".join(rng.choice([*(["<|", "|>", "<|endof", "text|>"] if special else []), " ", "the", "\n", "'", "s", "9", "é!"]) for _ in range(rng.choice([0, 1, 4, 40, 300])))
             p = min(a, len(t))
             t = t[:p] + new + t[min(max(b, p), len(t)) :]
             tree.edit(a, b, new)
             assert tree.text() == t and tree.n_tokens == len(theirs.encode(t, add_special_tokens=False).ids)
+    assert token_counts.TokenTree("hello <|endoftext|> world", ours).n_tokens == 4
     rows = token_counts.edited_counts(docs, path, token_counts.three_edits(F.col("text"))).collect()
+    texts = {r.doc_id: (r.text or "", r.edits) for r in docs.withColumn("edits", token_counts.three_edits(F.col("text"))).collect()}
+    for r in rows:
+        if r.doc_id is None:
+            continue
+        t, edits = texts[r.doc_id]
+        assert r.n_tokens == len(theirs.encode(t, add_special_tokens=False).ids)
+        for e in edits:
+            a = min(max(e.start, 0), len(t))
+            t = t[:a] + e.new + t[min(max(e.end, a), len(t)) :]
+        assert (r.edited_tokens, r.edited_chars) == (len(theirs.encode(t, add_special_tokens=False).ids), len(t))
     assert len(rows) == docs.count() and token_counts.edited_counts(none, path, token_counts.three_edits(F.col("text"))).count() == 0
     edits = spark.createDataFrame([(1, 0, 0, 0, "ab"), (1, 1, 2, None, None)], "doc_id long, seq int, start int, end int, new string")
     assert token_counts.collected_edits(edits).first().edits[0].new == "ab"
