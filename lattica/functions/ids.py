@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: URL prefixes of the snapshot.
-SITE, DOI, ORCID = "https://openalex.org/", "https://doi.org/", "https://orcid.org/"
+#: Prefixes of registered identifiers.
+DOI, ORCID = "https://doi.org/", "https://orcid.org/"
 
 
 def without_prefix(c: Column, prefix: str) -> Column:
@@ -14,16 +14,14 @@ def without_prefix(c: Column, prefix: str) -> Column:
     return F.replace(c, F.lit(prefix), F.lit(""))
 
 
-def openalex_id(c: Column) -> Column:
-    """'https://openalex.org/W12' to 12; null, empty and malformed to null."""
-    return F.substring(without_prefix(F.trim(c), SITE), 2, 40).try_cast("bigint")
+def entity_id(c: Column) -> Column:
+    """'https://any.site/W12' and 'W12' to 12; null, empty and malformed to null."""
+    return F.substring(F.substring_index(F.trim(c), "/", -1), 2, 40).try_cast("bigint")
 
 
 def topic_id(c: Column) -> Column:
     """Topics, fields and domains, of the older form '.../T1' and the newer '.../topics/T1', '.../domains/4'."""
-    tail = without_prefix(F.trim(c), SITE)
-    last = F.element_at(F.split(tail, "/"), -1)
-    return F.when(F.instr(tail, "/") == 0, F.substring(tail, 2, 40).try_cast("bigint")).otherwise(F.regexp_extract(last, r"^[Tt]?(\d+)$", 1).try_cast("bigint"))
+    return F.regexp_extract(F.substring_index(F.trim(c), "/", -1), r"^[A-Za-z]?(\d+)$", 1).try_cast("bigint")
 
 
 def first_id(c: Column) -> Column:
@@ -31,8 +29,9 @@ def first_id(c: Column) -> Column:
     return F.regexp_extract(c, r"[WAICV](\d{2,})", 1).try_cast("bigint")
 
 
-def id_url(letter: str, c: Column) -> Column:
-    return F.concat(F.lit(SITE + letter), c.cast("string"))
+def id_url(site: str, letter: str, c: Column) -> Column:
+    """site ends with a slash."""
+    return F.concat(F.lit(site + letter), c.cast("string"))
 
 
 def vertex_name(letter: str, c: Column) -> Column:

@@ -15,9 +15,30 @@ def _decomposed(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x if x.isascii() else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn"))
 
 
+def _latin() -> tuple[str, str]:
+    """Precomposed Latin letters and the letters that they have without their marks, by the rule of decomposition."""
+    letters = [chr(i) for a, z in ((0xC0, 0x250), (0x1E00, 0x1F00)) for i in range(a, z)]
+    bare = {x: "".join(y for y in unicodedata.normalize("NFD", x) if unicodedata.category(y) != "Mn") for x in letters}
+    return "".join(x for x in letters if bare[x] != x and len(bare[x]) == 1), "".join(y for x, y in bare.items() if y != x and len(y) == 1)
+
+
 def strip_accents(c: Column) -> Column:
-    """Canonical decomposition without its non-spacing marks. ASCII texts do not leave the JVM."""
-    return F.when(c.rlike(r"[^\x00-\x7F]"), _decomposed(c)).otherwise(c)
+    """Canonical decomposition without its non-spacing marks. Only texts with other letters than Latin ones leave the JVM."""
+    plain = F.translate(c, *_latin())
+    return F.coalesce(_decomposed(F.when(plain.rlike(r"[^\x00-\x7F\u00A1-\u00BF\u00DF]"), plain)), plain)
+
+
+#: Latin spelling of lower-case Greek and Cyrillic letters and of Latin ones that do not decompose.
+ONE_LETTER = ("αβγδεζηικλμνξοπρσςτυωабвгдезийклмнопрстуфыэієґøđłı", "abgdezeiklmnxoprsstuoabvgdeziiklmnoprstufyeieg" + "odli")
+MORE_LETTERS = {"θ": "th", "φ": "ph", "χ": "kh", "ψ": "ps", "ж": "zh", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ю": "iu", "я": "ia", "ъ": "'", "ь": "'", "ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d"}
+
+
+def transliterated(c: Column) -> Column:
+    """Lower-case text with accents removed and Greek, Cyrillic and special Latin letters in plain ones; other scripts stay."""
+    plain = F.translate(strip_accents(c), *ONE_LETTER)
+    for letter, spelt in MORE_LETTERS.items():
+        plain = F.replace(plain, F.lit(letter), F.lit(spelt))
+    return F.when(c.rlike(r"[^\x00-\x7F]"), plain).otherwise(c)
 
 
 def ascii_clean(c: Column) -> Column:
@@ -35,9 +56,9 @@ def without_punctuation(c: Column) -> Column:
 
 
 def dedup_key(c: Column, decode: bool = True) -> Column:
-    """Lower case without accents, tags, punctuation, articles, 'and' and white space; null for nothing to start from."""
+    """Lower case in Latin letters without accents, tags, punctuation, articles, 'and' and white space; null for nothing to start from."""
     low = F.lower(c)
-    plain = without_punctuation(without_html(strip_accents(low) if decode else low))
+    plain = without_punctuation(without_html(transliterated(low) if decode else low))
     return F.when(F.length(c) > 0, F.regexp_replace(F.regexp_replace(plain, r"(?U)\b(?:an?|the|and)\b", ""), r"(?U)\s+", ""))
 
 

@@ -2,32 +2,34 @@
 
 Each table is a list of SQL expressions over the parent row (id and name already made) and, for a
 child table, over the element `e` of one of its arrays; an empty or null array gives no rows. All
-tables come from one parsed DataFrame and none needs a shuffle of it: what must go because an id
-was merged or deleted is attached to the row as a (mostly empty) array by a join with the skipped ids only.
+tables come from one parsed DataFrame. Ids that were merged or deleted are attached to the works
+that name them, as arrays: these works alone are written and joined back, by broadcast while they are few.
+Where the parsed rows have a source_file, so has each row of each table.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ids import DOI, ORCID, openalex_id, topic_id
+from ..functions.ids import DOI, ORCID, entity_id, topic_id
 from ..functions.text import abstract_text, affiliation_text, clean_title, index_of
 from ..functions.values import to_bool
+from ..runtime import broadcast_below, written
 
 #: Placeholder ids of deleted entities.
 DELETED = {"works": 4285719527, "authors": 5317838346, "institutions": 4389424196, "sources": 4317411217}
 
 
 def oid(path: str) -> str:
-    return f"try_cast(substring(replace(trim({path}), 'https://openalex.org/', ''), 2) AS BIGINT)"
+    return f"try_cast(substring(substring_index(trim({path}), '/', -1), 2) AS BIGINT)"
 
 
 def tid(path: str) -> str:
-    tail = f"replace(trim({path}), 'https://openalex.org/', '')"
-    return f"CASE WHEN instr({tail}, '/') = 0 THEN try_cast(substring({tail}, 2) AS BIGINT) ELSE try_cast(regexp_extract({tail}, '/[Tt]?([0-9]+)$', 1) AS BIGINT) END"
+    return f"try_cast(regexp_extract(substring_index(trim({path}), '/', -1), '^[A-Za-z]?([0-9]+)$', 1) AS BIGINT)"
 
 
 def boolean(path: str) -> str:
@@ -78,12 +80,12 @@ ENTITIES = {
     }),
     "sources": Entity("source_id", "source_name", {
         "sources": Table(f"source_id, source_name, issn_l, {text('issn')} AS issn, publisher, {_TOTALS}, {boolean('is_oa')} AS is_oa, {boolean('is_in_doaj')} AS is_in_doaj, homepage_url, works_api_url, updated_date"),
-        "sources_ids": _ids("source", f"ids.openalex, ids.issn_l, {text('ids.issn')} AS issn, ids.mag, ids.wikidata, ids.fatcat"),
+        "sources_ids": _ids("source", f"ids.own_id, ids.issn_l, {text('ids.issn')} AS issn, ids.mag, ids.wikidata, ids.fatcat"),
         "sources_counts_by_year": _years("source"),
     }),
     "venues": Entity("venue_id", "venue_name", {
         "venues": Table(f"venue_id, issn_l, {text('issn')} AS issn, venue_name, type, publisher, {_TOTALS}, {boolean('is_oa')} AS is_oa, {boolean('is_in_doaj')} AS is_in_doaj, homepage_url, updated_date"),
-        "venues_ids": _ids("venue", f"ids.openalex, ids.issn_l, {text('ids.issn')} AS issn, ids.mag"),
+        "venues_ids": _ids("venue", f"ids.own_id, ids.issn_l, {text('ids.issn')} AS issn, ids.mag"),
         "venues_counts_by_year": Table("venue_id, venue_name, e.year, e.works_count, e.cited_by_count", "counts_by_year"),
     }),
     "topics": Entity("topic_id", "topic_name", {
@@ -93,7 +95,7 @@ ENTITIES = {
     }, tid("id")),
     "concepts": Entity("concept_id", "concept_name", {
         "concepts": Table(f"concept_id, concept_name, wikidata, level, description, {_TOTALS}, updated_date"),
-        "concepts_ids": _ids("concept", f"ids.openalex, ids.wikidata, ids.wikipedia, {text('ids.umls_aui')} AS umls_aui, {text('ids.umls_cui')} AS umls_cui, ids.mag"),
+        "concepts_ids": _ids("concept", f"ids.own_id, ids.wikidata, ids.wikipedia, {text('ids.umls_aui')} AS umls_aui, {text('ids.umls_cui')} AS umls_cui, ids.mag"),
         "concepts_ancestors": Table(f"concept_id, {oid('e.id')} AS ancestor_id", "ancestors", "e.id IS NOT NULL"),
         "concepts_counts_by_year": _years("concept"),
         "concepts_related_concepts": Table(f"concept_id, {oid('e.id')} AS related_concept_id, e.score", "related_concepts", "e.id IS NOT NULL"),
@@ -124,7 +126,7 @@ def skip_ids(merged: DataFrame | None, kind: str, spark) -> DataFrame:
 
 def merged_ids(rows: DataFrame) -> DataFrame:
     """(id, merge_into_id) as distinct integers, from the CSV files of a kind."""
-    return rows.select(openalex_id(F.col("id")).alias("id"), openalex_id(F.col("merge_into_id")).alias("merge_into_id")).distinct()
+    return rows.select(entity_id(F.col("id")).alias("id"), entity_id(F.col("merge_into_id")).alias("merge_into_id")).distinct()
 
 
 def first_rows(df: DataFrame, key: str, *order: Column) -> DataFrame:
@@ -148,10 +150,14 @@ def flatten(entity: str, nested: DataFrame, skip: DataFrame | None = None, disti
     out = {}
     for name, table in ENTITIES[entity].tables.items():
         rows = base.withColumn("e", F.explode(F.expr(table.each))) if table.each else base
-        out[name] = (rows.where(table.where) if table.where else rows).selectExpr(*_split(table.columns))
+        out[name] = (rows.where(table.where) if table.where else rows).selectExpr(*_split(table.columns), *_origin(base))
     return out
 
 
+def _origin(rows: DataFrame) -> list[str]:
+    return ["source_file"] if "source_file" in rows.columns else []
+
+
 def _split(columns: str) -> list[str]:
     """At commas outside brackets and quotes."""
     parts, depth, quoted, last = [], 0, False, 0
@@ -165,16 +171,21 @@ def _split(columns: str) -> list[str]:
     return [p.strip() for p in [*parts, columns[last:]]]
 
 
-def _with_skipped(rows: DataFrame, key: str, ids: Column, skip: DataFrame | None, name: str) -> DataFrame:
-    """rows with those of their ids that are skipped, as an array; null where there is none."""
-    if skip is None:
-        return rows.withColumn(name, F.lit(None).cast("array<bigint>"))
-    met = rows.select(F.col(key).alias("_key"), F.explode(ids).alias("id")).join(skip.select("id"), "id", "left_semi")
-    return rows.join(met.groupBy("_key").agg(F.collect_set("id").alias(name)), F.col(key) == F.col("_key"), "left").drop("_key")
+def _with_skipped(rows: DataFrame, key: str, ids: dict[str, Column], skip: dict[str, DataFrame]) -> DataFrame:
+    """rows with those of their ids of each kind that are skipped, as arrays _no_<kind>; null or empty where there is none."""
+    kinds = [k for k in ids if k in skip]
+    if not kinds:
+        return rows.withColumns({f"_no_{k}": F.lit(None).cast("array<bigint>") for k in ids})
 
+    def marked(i: int) -> Column:
+        return F.transform(F.coalesce(ids[kinds[i]], F.array().cast("array<bigint>")), lambda x: F.struct(F.lit(i).alias("kind"), x.alias("id")))
 
-def _without(array: Column, skipped: str) -> Column:
-    return F.when(F.col(skipped).isNull(), array).otherwise(F.array_except(array, F.col(skipped)))
+    gone = [skip[k].select(F.lit(i).alias("kind"), "id") for i, k in enumerate(kinds)]
+    named = rows.select(F.col(key).alias("_key"), F.explode(F.concat(*map(marked, range(len(kinds))))).alias("x")).select("_key", "x.*")
+    met = named.join(reduce(DataFrame.unionByName, gone), ["kind", "id"], "left_semi").groupBy("_key")
+    met = written(met.agg(*[F.collect_set(F.when(F.col("kind") == i, F.col("id"))).alias(f"_no_{k}") for i, k in enumerate(kinds)]), "skipped")
+    out = rows.join(broadcast_below(met, 200_000), F.col(key) == F.col("_key"), "left").drop("_key")
+    return out.withColumns({f"_no_{k}": F.lit(None).cast("array<bigint>") for k in ids if k not in kinds})
 
 
 def _kept(x: Column, skipped: str) -> Column:
@@ -184,25 +195,26 @@ def _kept(x: Column, skipped: str) -> Column:
 def work_parents(nested: DataFrame, skip: dict[str, DataFrame] | None = None, latest_only: bool = False) -> DataFrame:
     """works with integer ids in place of URLs, skipped ids removed from the arrays, and the derived counts and flags."""
     skip = skip or {}
-    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn("work_id", openalex_id(F.col("id")))
+    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn("work_id", entity_id(F.col("id")))
     if "works" in skip:
         rows = rows.join(skip["works"].select(F.col("id").alias("_skip")), F.col("work_id") == F.col("_skip"), "left_anti")
     if latest_only:
         rows = first_rows(rows, "work_id", F.desc_nulls_last("created_date"), F.xxhash64("title", "id"))
-    ints = lambda c: F.filter(F.transform(c, openalex_id), lambda x: x.isNotNull())
+    ints = lambda c: F.filter(F.transform(c, entity_id), lambda x: x.isNotNull())
     none = F.array().cast("array<bigint>")
     refs, related = F.coalesce(ints("referenced_works"), none), F.coalesce(ints("related_works"), none)
     rows = rows.withColumn("_refs", refs).withColumn("_related", related)
-    rows = _with_skipped(rows, "work_id", F.concat("_refs", "_related"), skip.get("works"), "_no_works")
-    rows = _with_skipped(rows, "work_id", ints(F.transform("authorships", lambda a: a["author"]["id"])), skip.get("authors"), "_no_authors")
     lineages = F.flatten(F.transform("authorships", lambda a: F.flatten(F.transform(a["institutions"], lambda i: F.concat(F.array(i["id"]), F.coalesce(i["lineage"], F.array().cast("array<string>")))))))
-    rows = _with_skipped(rows, "work_id", ints(lineages), skip.get("institutions"), "_no_institutions")
     places = F.concat(F.coalesce("locations", F.array().cast(nested.schema["locations"].dataType)), F.array("primary_location", "best_oa_location"))
-    rows = _with_skipped(rows, "work_id", ints(F.transform(places, lambda p: p["source"]["id"])), skip.get("sources"), "_no_sources")
-
-    authors = F.filter("authorships", lambda a: openalex_id(a["author"]["id"]).isNotNull() & _kept(openalex_id(a["author"]["id"]), "_no_authors"))
-    named = lambda a: F.filter(a["institutions"], lambda i: openalex_id(i["id"]).isNotNull() & _kept(openalex_id(i["id"]), "_no_institutions"))
-    located = F.filter("locations", lambda p: openalex_id(p["source"]["id"]).isNotNull() & _kept(openalex_id(p["source"]["id"]), "_no_sources"))
+    named_ids = {
+        "works": F.concat("_refs", "_related"), "authors": ints(F.transform("authorships", lambda a: a["author"]["id"])), "institutions": ints(lineages),
+        "sources": ints(F.transform(places, lambda p: p["source"]["id"])),
+    }
+    rows = _with_skipped(rows, "work_id", named_ids, skip)
+
+    authors = F.filter("authorships", lambda a: entity_id(a["author"]["id"]).isNotNull() & _kept(entity_id(a["author"]["id"]), "_no_authors"))
+    named = lambda a: F.filter(a["institutions"], lambda i: entity_id(i["id"]).isNotNull() & _kept(entity_id(i["id"]), "_no_institutions"))
+    located = F.filter("locations", lambda p: entity_id(p["source"]["id"]).isNotNull() & _kept(entity_id(p["source"]["id"]), "_no_sources"))
     refs_kept = lambda c: F.filter(c, lambda x: _kept(x, "_no_works"))
     rows = rows.withColumns({"authors_kept": F.coalesce(authors, F.array().cast(nested.schema["authorships"].dataType)), "locations_kept": located, "refs_kept": refs_kept("_refs"), "related_kept": refs_kept("_related")})
     return rows.withColumns({
@@ -216,7 +228,7 @@ def work_parents(nested: DataFrame, skip: dict[str, DataFrame] | None = None, la
         "has_complete_institution_info": (F.size("authors_kept") > 0) & F.forall("authors_kept", lambda a: F.coalesce(F.size(named(a)), F.lit(0)) > 0),
         "has_grant_info": F.coalesce(F.size("grants"), F.lit(0)) > 0,
         "has_keywords": F.coalesce(F.size("keywords"), F.lit(0)) > 0,
-    })
+    }).drop("authorships", "locations", "referenced_works", "related_works", "_refs", "_related")
 
 
 def authorships(works: DataFrame, institutions: DataFrame | None = None, compat: bool = False) -> DataFrame:
@@ -229,14 +241,14 @@ def authorships(works: DataFrame, institutions: DataFrame | None = None, compat:
     institutions' ids, names, countries and lineages, and calls a null institution assigned.
     """
     one = F.posexplode("authors_kept").alias("author_no", "a")
-    rows = works.select("work_id", "publication_year", "_no_institutions", one)
-    kept = F.filter(F.col("a.institutions"), lambda i: openalex_id(i["id"]).isNotNull() & _kept(openalex_id(i["id"]), "_no_institutions"))
-    lineage = lambda i: F.coalesce(F.transform(i["lineage"], openalex_id), F.array(F.lit(None).cast("bigint")))
-    pairs = F.transform(kept, lambda i: F.struct(openalex_id(i["id"]).alias("own"), lineage(i).alias("lineage")))
+    rows = works.select("work_id", "publication_year", "_no_institutions", *_origin(works), one)
+    kept = F.filter(F.col("a.institutions"), lambda i: entity_id(i["id"]).isNotNull() & _kept(entity_id(i["id"]), "_no_institutions"))
+    lineage = lambda i: F.coalesce(F.transform(i["lineage"], entity_id), F.array(F.lit(None).cast("bigint")))
+    pairs = F.transform(kept, lambda i: F.struct(entity_id(i["id"]).alias("own"), lineage(i).alias("lineage")))
     if compat:
         present = lambda f: F.filter(F.transform(kept, lambda i: i[f]), lambda x: x.isNotNull())
         n = F.least(F.size(pairs), F.size(present("display_name")), F.size(present("country_code")), F.size(present("lineage")))
-        lineages = F.transform(present("lineage"), lambda x: F.transform(x, openalex_id))
+        lineages = F.transform(present("lineage"), lambda x: F.transform(x, entity_id))
         cut = F.slice(F.zip_with(pairs, lineages, lambda p, x: F.struct(p["own"].alias("own"), x.alias("lineage"))), F.lit(1), F.greatest(n, F.lit(0)))
         pairs = F.when(F.size(kept) > 0, cut)
     empty = F.array(F.struct(F.lit(None).cast("bigint").alias("own"), F.array(F.lit(None).cast("bigint")).alias("lineage")))
@@ -245,16 +257,16 @@ def authorships(works: DataFrame, institutions: DataFrame | None = None, compat:
     rows = rows.where(F.col("institution_id").isNull() | _kept(F.col("institution_id"), "_no_institutions"))
     same = F.col("p.own").eqNullSafe(F.col("institution_id")) if compat else F.coalesce(F.col("p.own") == F.col("institution_id"), F.lit(False))
     out = rows.select(
-        "work_id", F.col("a.author_position").alias("author_position"), openalex_id(F.col("a.author.id")).alias("author_id"), F.col("a.author.display_name").alias("author_name"),
+        "work_id", F.col("a.author_position").alias("author_position"), entity_id(F.col("a.author.id")).alias("author_id"), F.col("a.author.display_name").alias("author_name"),
         F.col("a.raw_author_name").alias("raw_author_name"), "institution_lineage_level", same.alias("assigned_institution"), "institution_id",
-        affiliation_text(F.col("a.raw_affiliation_strings"), F.col("a.raw_affiliation_string")).alias("raw_affiliation_string"), "publication_year", F.col("a.is_corresponding").alias("is_corresponding"),
+        affiliation_text(F.col("a.raw_affiliation_strings"), F.col("a.raw_affiliation_string")).alias("raw_affiliation_string"), "publication_year", F.col("a.is_corresponding").alias("is_corresponding"), *_origin(works),
     )
     if institutions is None:
         return out.withColumns({"institution_name": F.lit(None).cast("string"), "country_code": F.lit(None).cast("string")})
     return out.join(institutions.select("institution_id", "institution_name", "country_code"), "institution_id", "left")
 
 
-_PLACE = "publication_year, try_cast(substring(replace(trim({p}.source.id), 'https://openalex.org/', ''), 2) AS BIGINT) AS source_id, {p}.source.display_name AS source_name, {p}.source.type AS source_type, {p}.version, {p}.license, {p}.landing_page_url, {p}.pdf_url, coalesce(try_cast({p}.is_oa AS BOOLEAN), false) AS is_oa, coalesce(try_cast({p}.is_accepted AS BOOLEAN), false) AS is_accepted, coalesce(try_cast({p}.is_published AS BOOLEAN), false) AS is_published"
+_PLACE = "publication_year, " + oid("{p}.source.id") + " AS source_id, {p}.source.display_name AS source_name, {p}.source.type AS source_type, {p}.version, {p}.license, {p}.landing_page_url, {p}.pdf_url, coalesce(try_cast({p}.is_oa AS BOOLEAN), false) AS is_oa, coalesce(try_cast({p}.is_accepted AS BOOLEAN), false) AS is_accepted, coalesce(try_cast({p}.is_published AS BOOLEAN), false) AS is_published"
 _PLACED = oid("{p}.source.id") + " IS NOT NULL AND NOT coalesce(array_contains(_no_sources, " + oid("{p}.source.id") + "), false)"
 WORKS = {
     "works": Table("work_id, doi, title, publication_year, publication_date, type, type_crossref, cited_by_count, num_authors, num_locations, num_references, language, has_complete_institution_info, has_grant_info, has_keywords, is_retracted, is_paratext, created_date"),
@@ -267,7 +279,7 @@ WORKS = {
     "works_open_access": Table(f"work_id, {boolean('open_access.is_oa')} AS is_oa, open_access.oa_status, open_access.oa_url, {boolean('open_access.any_repository_has_fulltext')} AS any_repository_has_fulltext", where="open_access IS NOT NULL"),
     "works_biblio": Table("work_id, biblio.*", where="biblio IS NOT NULL"),
     "works_concepts": Table(f"work_id, publication_year, {oid('e.id')} AS concept_id, e.display_name AS concept_name, e.level, e.score", "concepts", "e.id IS NOT NULL"),
-    "works_ids": Table("work_id, ids.openalex, doi, ids.mag, ids.pmid, ids.pmcid", where="ids IS NOT NULL"),
+    "works_ids": Table("work_id, ids.own_id, doi, ids.mag, ids.pmid, ids.pmcid", where="ids IS NOT NULL"),
     "works_mesh": Table("work_id, e.*", "mesh"),
     "works_referenced_works": Table("work_id, e AS referenced_work_id", "refs_kept"),
     "works_related_works": Table("work_id, e AS related_work_id", "related_kept"),
@@ -278,23 +290,27 @@ WORKS = {
 
 def work_topics(works: DataFrame, topics: DataFrame) -> DataFrame:
     """Topics of works with their hierarchy; the first one is primary. Unknown topics have null names."""
-    rows = works.select("work_id", "publication_year", F.posexplode("topics").alias("pos", "t")).select("work_id", "publication_year", (F.col("pos") == 0).alias("is_primary_topic"), F.col("t.score").alias("score"), topic_id(F.col("t.id")).alias("topic_id"))
+    rows = works.select("work_id", "publication_year", *_origin(works), F.posexplode("topics").alias("pos", "t")).select("work_id", "publication_year", *_origin(works), (F.col("pos") == 0).alias("is_primary_topic"), F.col("t.score").alias("score"), topic_id(F.col("t.id")).alias("topic_id"))
     return rows.join(topics.select("topic_id", "topic_name", *[f"{g}_{x}" for g in ("subfield", "field", "domain") for x in ("id", "name")]), "topic_id", "left")
 
 
 def work_abstracts(works: DataFrame) -> DataFrame:
-    return works.where("abstract_inverted_index IS NOT NULL").select("work_id", "title", "publication_year", abstract_text(index_of(F.col("abstract_inverted_index"))).alias("abstract"))
+    return works.where("abstract_inverted_index IS NOT NULL").select("work_id", "title", "publication_year", abstract_text(index_of(F.col("abstract_inverted_index"))).alias("abstract"), *_origin(works))
 
 
-def flatten_works(nested: DataFrame, skip: dict[str, DataFrame] | None = None, topics: DataFrame | None = None, institutions: DataFrame | None = None, latest_only: bool = False, compat: bool = False) -> dict[str, DataFrame]:
-    """Table name to rows. Persist nested, or the parsed text, before writing many of them."""
-    base = work_parents(nested, skip, latest_only)
+def work_tables(base: DataFrame, topics: DataFrame | None = None, institutions: DataFrame | None = None, compat: bool = False) -> dict[str, DataFrame]:
+    """Table name to rows, of work_parents(). Write base before writing many of them."""
     out = {}
     for name, table in WORKS.items():
         rows = base.withColumn("e", F.explode(table.each)) if table.each else base
-        out[name] = (rows.where(table.where) if table.where else rows).selectExpr(*_split(table.columns))
+        out[name] = (rows.where(table.where) if table.where else rows).selectExpr(*_split(table.columns), *_origin(base))
     out["works_authorships"] = authorships(base, institutions, compat).distinct()
     out["works_abstracts"] = work_abstracts(base)
     if topics is not None:
         out["works_topics"] = work_topics(base, topics).distinct()
     return out
+
+
+def flatten_works(nested: DataFrame, skip: dict[str, DataFrame] | None = None, topics: DataFrame | None = None, institutions: DataFrame | None = None, latest_only: bool = False, compat: bool = False) -> dict[str, DataFrame]:
+    """Table name to rows. To write many of them, write work_parents() and take work_tables() of it."""
+    return work_tables(work_parents(nested, skip, latest_only), topics, institutions, compat)

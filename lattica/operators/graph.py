@@ -48,8 +48,14 @@ def out_neighbours(edges: DataFrame, vertex) -> DataFrame:
     return edges.where(F.col("src") == vertex).select("dst").distinct()
 
 
+def neighbours(edges: DataFrame) -> DataFrame:
+    """(id, kind, other): whom each vertex points to (refs) and who points to it (cites), one row each, so that hubs stay spread."""
+    one = edges.select("src", "dst").distinct()
+    return one.select(F.col("src").alias("id"), F.lit("refs").alias("kind"), F.col("dst").alias("other")).unionAll(one.select("dst", F.lit("cites"), "src"))
+
+
 def references_and_citations(edges: DataFrame) -> DataFrame:
-    """(id, refs, cites): whom each vertex points to and who points to it, as sorted sets; empty where there is none."""
+    """(id, refs, cites): the same as sorted sets, empty where there is none. A row holds all of a vertex, so take neighbours() where hubs are large."""
     out = edges.groupBy(F.col("src").alias("id")).agg(F.collect_set("dst").alias("refs"))
     back = edges.groupBy(F.col("dst").alias("id")).agg(F.collect_set("src").alias("cites"))
     none = F.array().cast(out.schema["refs"].dataType)

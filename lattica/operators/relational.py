@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import jaccard
+from ..sources.sinks import write_parquet
 
 
 # selections
@@ -149,7 +150,7 @@ def estimate(df: DataFrame, key: str, value: str, of: str = "mean", error: str =
 
     error: sd or se times level (1), pi the percentiles of the level (95), ci those of `replicates`
     bootstrap estimates, for which each row has Poisson(1) weights made from a hash of group, value,
-    seed and replicate. Groups of one value have no bar. distances gives lengths in place of bounds.
+    number among equal values, seed and replicate. Groups of one value have no bar. distances gives lengths in place of bounds.
     """
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))
     middle = F.avg("v") if of == "mean" else F.percentile("v", F.lit(0.5))
@@ -171,7 +172,7 @@ def estimate(df: DataFrame, key: str, value: str, of: str = "mean", error: str =
 
 def _bootstrap(rows: DataFrame, of: str, replicates: int, seed: int) -> DataFrame:
     """(k, v): estimates by replicate. Rows are multiplied by replicates in the map side of one aggregate."""
-    numbered = rows.withColumn("i", F.monotonically_increasing_id()).select("k", "v", "i", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
+    numbered = rows.groupBy("k", "v").agg(F.count("*").alias("copies")).select("k", "v", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("i")).select("k", "v", "i", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
     u = (F.shiftrightunsigned(F.xxhash64("k", "v", "i", "r", F.lit(seed)), 11).cast("double") + 0.5) / F.lit(2.0**53)
     chances, total, p = [], 0.0, 0.36787944117144233
     for k in range(1, 9):  # Poisson(1): the weight is the number of thresholds passed
@@ -241,6 +242,16 @@ def required(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def write_slice(works: DataFrame, children: dict[str, DataFrame], target: str, work: str = "work_id", key: str = "work_id", edge: tuple[str, str, str] | None = None) -> dict[str, DataFrame]:
+    """The whole slice job: works to target/works, then each child table (its work in column key) cut to them. Returns what was written."""
+    write_parquet(works, f"{target}/works")
+    spark = works.sparkSession
+    ids = spark.read.parquet(f"{target}/works").select(F.col(work).alias(key))
+    for name, df in slice_tables(ids, children, key, edge).items():
+        write_parquet(df, f"{target}/{name}")
+    return {name: spark.read.parquet(f"{target}/{name}") for name in ("works", *children)}
+
+
 def slice_tables(works: DataFrame, children: dict[str, DataFrame], work: str = "work_id", edge: tuple[str, str, str] | None = None) -> dict[str, DataFrame]:
     """Child tables cut to the works; edge (table, src, dst) keeps edges with both ends. Ids stay on the cluster."""
     ids = works.select(work)

@@ -6,6 +6,8 @@ lineage = nation and region, publication date = order date, authorship = lineite
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,12 @@ from ..operators import flatten as fl
 from ..operators import graph as g
 from ..operators import relational as r
 from ..operators.components import connected_components
-from ..runtime import table
+from ..runtime import shared_dir, table
+from ..sources import scans, sinks
+from . import entities
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict = dict(entities.QUERIES)
+ORACLE_SQL: dict[str, str] = dict(entities.ORACLE_SQL)
 
 
 def query(sql: str | None = None):
@@ -46,17 +50,26 @@ def _authors(s: SparkSession, d: str) -> DataFrame:
 
 
 def _edges(s: SparkSession, d: str) -> DataFrame:
-    """Order to part for large quantities; parts get odd ids, orders even ones."""
-    rows = _lines(s, d).where("l_quantity >= 50")
-    return rows.select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst")).distinct()
+    """Orders to their parts; parts get odd ids, orders even ones."""
+    return _lines(s, d).select((F.col("l_orderkey") * 2).alias("src"), (F.col("l_partkey") * 2 + 1).alias("dst")).distinct()
+
+
+def _rare_edges(s: SparkSession, d: str) -> DataFrame:
+    """Customers to the days on which they gave an urgent order: a graph of many components."""
+    day = F.datediff(F.col("o_orderdate"), F.lit("1990-01-01")) * 2 + 1
+    return _orders(s, d).where("o_orderpriority = '1-URGENT'").select((F.col("o_custkey") * 2).alias("src"), day.cast("bigint").alias("dst")).distinct()
 
 
-EDGES = "SELECT DISTINCT l_orderkey * 2 AS src, l_partkey * 2 + 1 AS dst FROM lineitem WHERE l_quantity >= 50"
-PARTS = f"""
-    e AS ({EDGES}), v AS (SELECT src AS id FROM e UNION SELECT dst FROM e),
-    b AS (SELECT src AS x, dst AS y FROM e UNION SELECT dst, src FROM e),
-    reach AS (SELECT id, id AS seen FROM v UNION SELECT reach.id, b.y FROM reach JOIN b ON b.x = reach.seen),
-    parts AS (SELECT id, min(seen) AS component FROM reach GROUP BY id)"""
+EDGES = "SELECT DISTINCT l_orderkey * 2 AS src, l_partkey * 2 + 1 AS dst FROM lineitem"
+RARE = "SELECT DISTINCT o_custkey * 2 AS src, date_diff('day', DATE '1990-01-01', o_orderdate::DATE) * 2 + 1 AS dst FROM orders WHERE o_orderpriority = '1-URGENT'"
+#: Each vertex takes the smallest label among its neighbours that changed, until none does.
+PARTS = """
+    e AS ({edges}), v AS (SELECT src AS id FROM e UNION SELECT dst FROM e), b AS (SELECT src AS x, dst AS y FROM e UNION SELECT dst, src FROM e),
+    parts(id, component) USING KEY (id) AS (
+        SELECT id, id FROM v
+        UNION (SELECT DISTINCT ON (u.id) u.id, n.component FROM recurring.parts AS u, b, parts AS n
+               WHERE b.x = u.id AND b.y = n.id AND n.component < u.component ORDER BY u.id, n.component))"""
+WHOLE, SPARSE = PARTS.format(edges=EDGES), PARTS.format(edges=RARE)
 
 
 @query("""
@@ -98,13 +111,13 @@ def skip_ids(s, d):
 
 @query("""
     SELECT c_custkey, c_custkey AS work_id, CASE WHEN c_custkey % 3 = 0 THEN c_nationkey ELSE c_custkey END AS topic_id,
-           'https://openalex.org/A' || c_custkey AS url, CASE WHEN c_custkey >= 10 THEN c_custkey END AS found, 'W' || c_custkey AS vertex
+           'https://example.org/A' || c_custkey AS url, CASE WHEN c_custkey >= 10 THEN c_custkey END AS found, 'W' || c_custkey AS vertex
     FROM customer""")
 def id_parse(s, d):
     key = F.col("c_custkey").cast("string")
-    url = F.concat(F.lit("  https://openalex.org/W"), key, F.lit(" "))
-    topic = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("https://openalex.org/domains/"), F.col("c_nationkey").cast("string"))).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("https://openalex.org/topics/T"), key)).otherwise(F.concat(F.lit("https://openalex.org/T"), key))
-    return table(s, d, "customer").select("c_custkey", ids.openalex_id(url).alias("work_id"), ids.topic_id(topic).alias("topic_id"), ids.id_url("A", F.col("c_custkey")).alias("url"), ids.first_id(F.concat(F.lit("see W"), key)).alias("found"), ids.vertex_name("W", F.col("c_custkey")).alias("vertex"))
+    url = F.concat(F.lit("  https://example.org/W"), key, F.lit(" "))
+    topic = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("https://example.org/domains/"), F.col("c_nationkey").cast("string"))).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("https://example.org/topics/T"), key)).otherwise(F.concat(F.lit("https://example.org/T"), key))
+    return table(s, d, "customer").select("c_custkey", ids.entity_id(url).alias("work_id"), ids.topic_id(topic).alias("topic_id"), ids.id_url("https://example.org/", "A", F.col("c_custkey")).alias("url"), ids.first_id(F.concat(F.lit("see W"), key)).alias("found"), ids.vertex_name("W", F.col("c_custkey")).alias("vertex"))
 
 
 @query("SELECT page_id, regexp_replace(html, '<[^\\n]*?>', '', 'g') AS plain, replace(url, 'https://', '') AS short FROM pages")
@@ -114,11 +127,10 @@ def html_clean(s, d):
 
 @query(r"""
     SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(strip_accents(lower(text)),
-        '[^\x00-\x7F]', '', 'g'), '<[^\n]*?>', '', 'g'), '[^\pL\pN\s]', '', 'g'), '\b(an?|the|and)\b', '', 'g'), '\s+', '', 'g'), '^$', '') AS key
+        'ß', 'ss', 'g'), '<[^\n]*?>', '', 'g'), '[^\pL\pN\s]', '', 'g'), '\b(an?|the|and)\b', '', 'g'), '\s+', '', 'g'), '^$', '') AS key
     FROM documents""")
 def dedup_key(s, d):
-    plain = F.regexp_replace(text.strip_accents(F.lower("text")), r"[^\x00-\x7F]", "")
-    return table(s, d, "documents").select("doc_id", text.dedup_key(plain).alias("key"))
+    return table(s, d, "documents").select("doc_id", text.dedup_key(F.col("text")).alias("key"))
 
 
 @query(r"SELECT doc_id, coalesce(regexp_replace(strip_accents(text), '[^\x00-\x7F]', ' ', 'g'), '') AS plain FROM documents")
@@ -134,20 +146,20 @@ def abstract_roundtrip(s, d):
 
 def _nested(s: SparkSession, d: str) -> DataFrame:
     """Orders as nested works, so that the flattening operators run on the driver's tables."""
-    place = F.struct(F.concat(F.lit("https://openalex.org/I"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("display_name"), F.upper(F.substring("n_name", 1, 2)).alias("country_code"),
-                     F.array(F.concat(F.lit("https://openalex.org/I"), F.col("n_nationkey").cast("string")), F.concat(F.lit("https://openalex.org/I"), (F.col("n_regionkey") + 1000).cast("string"))).alias("lineage"))
-    who = F.struct(F.concat(F.lit("https://openalex.org/A"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("display_name"))
+    place = F.struct(F.concat(F.lit("https://example.org/I"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("display_name"), F.upper(F.substring("n_name", 1, 2)).alias("country_code"),
+                     F.array(F.concat(F.lit("https://example.org/I"), F.col("n_nationkey").cast("string")), F.concat(F.lit("https://example.org/I"), (F.col("n_regionkey") + 1000).cast("string"))).alias("lineage"))
+    who = F.struct(F.concat(F.lit("https://example.org/A"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("display_name"))
     people = table(s, d, "supplier").join(table(s, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", who.alias("author"), F.array(place).alias("institutions"))
     lines = _lines(s, d).join(people, F.col("l_suppkey") == F.col("s_suppkey"))
     one = F.struct("l_linenumber", "author", "institutions")
-    refs = F.sort_array(F.collect_list(F.struct("l_linenumber", F.concat(F.lit("https://openalex.org/W"), F.col("l_partkey").cast("string")).alias("ref"))))
+    refs = F.sort_array(F.collect_list(F.struct("l_linenumber", F.concat(F.lit("https://example.org/W"), F.col("l_partkey").cast("string")).alias("ref"))))
     held = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(one)).alias("a"), refs.alias("refs"))
     works = _orders(s, d).join(held, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     from ..schemas import NESTED
 
     auth = F.transform("a", lambda x: F.struct(x["author"].alias("author"), F.concat(F.lit("line "), x["l_linenumber"].cast("string")).alias("author_position"), F.lit(None).cast("string").alias("raw_author_name"), F.lit(False).alias("is_corresponding"), F.lit(None).cast("string").alias("raw_affiliation_string"), F.lit(None).cast("array<string>").alias("raw_affiliation_strings"), x["institutions"].alias("institutions")))
     known = {
-        "id": F.concat(F.lit("https://openalex.org/W"), F.col("o_orderkey").cast("string")), "doi": F.concat(F.lit("https://doi.org/10.1/"), F.col("o_orderkey").cast("string")), "title": F.concat(F.lit("Order\\n"), F.col("o_orderpriority")),
+        "id": F.concat(F.lit("https://example.org/W"), F.col("o_orderkey").cast("string")), "doi": F.concat(F.lit("https://doi.org/10.1/"), F.col("o_orderkey").cast("string")), "title": F.concat(F.lit("Order\\n"), F.col("o_orderpriority")),
         "publication_year": F.year("o_orderdate"), "cited_by_count": F.col("o_custkey"), "is_retracted": F.when(F.col("o_orderstatus") == "F", "True").when(F.col("o_orderstatus") == "O", "false"), "authorships": auth, "referenced_works": F.transform("refs", lambda x: x["ref"]),
     }
     from pyspark.sql import types as T
@@ -188,7 +200,7 @@ def lineage_expand(s, d):
 @query("SELECT o_orderkey AS work_id, count(l_orderkey) AS n_children FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def counts_children(s, d):
     one = _nested(s, d)
-    return one.select(ids.openalex_id(F.col("id")).alias("work_id"), F.coalesce(F.when(F.col("authorships").isNotNull(), F.size("authorships")), F.lit(0)).cast("bigint").alias("n_children"))
+    return one.select(ids.entity_id(F.col("id")).alias("work_id"), F.coalesce(F.when(F.col("authorships").isNotNull(), F.size("authorships")), F.lit(0)).cast("bigint").alias("n_children"))
 
 
 @query("""
@@ -279,30 +291,47 @@ def degree_hist(s, d):
     return g.degree_histogram(_authors(s, d).select((F.col("work") * 2).alias("src"), (F.col("author") * 2 + 1).alias("dst")))
 
 
-@query(f"WITH RECURSIVE {PARTS} SELECT id, component FROM parts")
+@query(f"WITH RECURSIVE {WHOLE} SELECT id, component FROM parts")
 def components(s, d):
     return connected_components(_edges(s, d))
 
 
-@query(f"""WITH RECURSIVE {PARTS}, t AS (SELECT component FROM parts GROUP BY component ORDER BY count(*) DESC, component LIMIT 1)
+@query(f"WITH RECURSIVE {SPARSE} SELECT id, component FROM parts")
+def components_sparse(s, d):
+    return connected_components(_rare_edges(s, d), few=0)
+
+
+@query(f"""WITH RECURSIVE {SPARSE}, t AS (SELECT component FROM parts GROUP BY component ORDER BY count(*) DESC, component LIMIT 1)
     SELECT src, dst FROM e WHERE src IN (SELECT id FROM parts WHERE component IN (SELECT component FROM t))""")
 def lcc(s, d):
-    return g.largest_subgraph(_edges(s, d))
+    return g.largest_subgraph(_rare_edges(s, d))
 
 
-@query(f"WITH RECURSIVE {PARTS} SELECT component, count(*) AS size FROM parts GROUP BY component ORDER BY size DESC, component LIMIT 10")
+@query(f"WITH RECURSIVE {SPARSE} SELECT component, count(*) AS size FROM parts GROUP BY component ORDER BY size DESC, component LIMIT 10")
 def top_components(s, d):
-    return g.component_sizes(_edges(s, d)).orderBy(F.desc("size"), "component").limit(10)
+    return g.component_sizes(_rare_edges(s, d)).orderBy(F.desc("size"), "component").limit(10)
 
 
-@query(f"WITH RECURSIVE {PARTS} SELECT count(DISTINCT component) = 1 AS connected FROM parts")
+@query(f"WITH RECURSIVE {WHOLE} SELECT count(DISTINCT component) = 1 AS connected FROM parts")
 def is_connected(s, d):
     return g.is_connected(_edges(s, d))
 
 
-@query("SELECT true AS bipartite")
+ODD = "SELECT DISTINCT o_custkey AS src, 1000000 + c_nationkey AS dst FROM orders JOIN customer ON o_custkey = c_custkey UNION SELECT 1000000 + n_nationkey, 2000000 + n_regionkey FROM nation UNION SELECT c_custkey, 2000000 + n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 5000"
+
+
+@query(f"""WITH RECURSIVE {PARTS.format(edges=f"SELECT src * 2 AS src, dst * 2 + 1 AS dst FROM ({ODD}) UNION SELECT src * 2 + 1, dst * 2 FROM ({ODD})")}
+    SELECT min(n) = 2 AS bipartite FROM (SELECT id // 2 AS v, count(DISTINCT component) AS n FROM parts GROUP BY 1)""")
 def is_bipartite(s, d):
-    return g.is_bipartite(_edges(s, d))
+    place = table(s, d, "customer").join(table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_acctbal", (F.col("n_nationkey") + 1000000).cast("bigint").alias("n"), (F.col("n_regionkey") + 2000000).cast("bigint").alias("r"))
+    ordering = _orders(s, d).join(place, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_custkey").alias("src"), F.col("n").alias("dst"))
+    return g.is_bipartite(ordering.union(place.select("n", "r")).union(place.where("c_acctbal > 5000").select("c_custkey", "r")).distinct())
+
+
+@query(f"""WITH RECURSIVE {PARTS.format(edges=f"SELECT src * 2 AS src, dst * 2 + 1 AS dst FROM ({RARE}) UNION SELECT src * 2 + 1, dst * 2 FROM ({RARE})")}
+    SELECT min(n) = 2 AS bipartite FROM (SELECT id // 2 AS v, count(DISTINCT component) AS n FROM parts GROUP BY 1)""")
+def is_bipartite_sparse(s, d):
+    return g.is_bipartite(_rare_edges(s, d))
 
 
 @query(f"""WITH e AS ({EDGES}), o AS (SELECT src AS id, string_agg(cast(dst AS VARCHAR), ',' ORDER BY dst) AS refs FROM e GROUP BY src), i AS (SELECT dst AS id, string_agg(cast(src AS VARCHAR), ',' ORDER BY src) AS cites FROM e GROUP BY dst)
@@ -311,16 +340,20 @@ def refs_cites(s, d):
     return g.references_and_citations(_edges(s, d)).select("id", *[F.array_join(F.col(c).cast("array<string>"), ",").alias(c) for c in ("refs", "cites")])
 
 
+@query(f"WITH e AS ({EDGES}) SELECT src AS id, 'refs' AS kind, dst AS other FROM e UNION ALL SELECT dst, 'cites', src FROM e")
+def refs_cites_long(s, d):
+    return g.neighbours(_edges(s, d))
+
+
 @query(f"WITH e AS ({EDGES}) SELECT (SELECT count(*) FROM (SELECT src FROM e UNION SELECT dst FROM e)) AS vertices, (SELECT count(*) FROM e) AS edges")
 def graph_size(s, d):
     return g.graph_size(_edges(s, d))
 
 
-@query(f"""WITH e AS ({EDGES}), k AS (SELECT src AS id FROM e WHERE src % 20 = 0)
-    SELECT DISTINCT dst AS id FROM e WHERE src IN (SELECT id FROM k) AND dst NOT IN (SELECT id FROM k)""")
+@query(f"""WITH e AS ({EDGES}), k AS (SELECT DISTINCT o_orderkey * 2 AS id FROM orders WHERE o_orderpriority = '1-URGENT')
+    SELECT DISTINCT dst AS id FROM e WHERE src IN (SELECT id FROM k)""")
 def one_hop(s, d):
-    edges = _edges(s, d)
-    return g.one_hop(edges, edges.where("src % 20 = 0").select("src").distinct())
+    return g.one_hop(_edges(s, d), _orders(s, d).where("o_orderpriority = '1-URGENT'").select((F.col("o_orderkey") * 2).alias("id")))
 
 
 @query("""
@@ -370,8 +403,8 @@ def _estimate_sql(half: str) -> str:
     return f"SELECT o_orderpriority, count(*) AS n, round(avg(o_totalprice), 4) AS y, round(avg(o_totalprice) - {half}, 4) AS ymin, round(avg(o_totalprice) + {half}, 4) AS ymax FROM orders GROUP BY o_orderpriority"
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 4) for c in ("y", "ymin", "ymax")})
+def _rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in ("y", "ymin", "ymax")})
 
 
 @query(_estimate_sql("stddev_samp(o_totalprice)"))
@@ -384,9 +417,9 @@ def estimate_se(s, d):
     return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", error="se"))
 
 
-@query("SELECT o_orderpriority, count(*) AS n, round(quantile_cont(o_totalprice, 0.5), 4) AS y, round(quantile_cont(o_totalprice, 0.025), 4) AS ymin, round(quantile_cont(o_totalprice, 0.975), 4) AS ymax FROM orders GROUP BY o_orderpriority")
+@query("SELECT o_orderpriority, count(*) AS n, round(quantile_cont(o_totalprice, 0.5), 6) AS y, round(quantile_cont(o_totalprice, 0.025), 6) AS ymin, round(quantile_cont(o_totalprice, 0.975), 6) AS ymax FROM orders GROUP BY o_orderpriority")
 def estimate_median_pi(s, d):
-    return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", of="median", error="pi"))
+    return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", of="median", error="pi"), 6)  # prices have two digits and the shares of the interpolation three: no ties
 
 
 @query()
@@ -425,10 +458,10 @@ def lookup(s, d):
 
 @query("""
     SELECT DISTINCT l_suppkey AS author, l_orderkey AS work FROM lineitem WHERE l_suppkey IN
-        (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_partkey % 400 = 7)))""")
+        (SELECT l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 1 AND p_brand = 'Brand#11')))""")
 def concept_chain(s, d):
     lines = _lines(s, d).select(F.col("l_orderkey").alias("work"), F.col("l_suppkey").alias("author"), F.col("l_partkey").alias("concept"))
-    parts = table(s, d, "part").where("p_partkey % 400 = 7").select("p_partkey")
+    parts = table(s, d, "part").where("p_size = 1 AND p_brand = 'Brand#11'").select("p_partkey")
     return r.concept_neighbourhood(lines, lines, parts, "concept", "work", "author")
 
 
@@ -441,3 +474,205 @@ def weight_histogram(s, d):
 def type_codes(s, d):
     kind = F.when(F.substring("o_orderpriority", 1, 1) == "1", "journal-article").when(F.substring("o_orderpriority", 1, 1) == "2", "book").otherwise("no such type")
     return values.encode_types(_orders(s, d).withColumn("kind", kind), "kind").select("o_orderkey", "code", values.position_initial(F.col("o_orderstatus")).alias("initial"))
+
+
+# selections, joins and graphs on further tables
+@query("""SELECT DISTINCT * FROM (
+    SELECT 'W' || l_orderkey AS src, 'W' || l_partkey AS dst, 'cites' AS kind, NULL AS position, NULL::DOUBLE AS score FROM lineitem
+    UNION ALL SELECT 'W' || o_orderkey, 'W' || o_custkey, 'related', NULL, NULL FROM orders
+    UNION ALL SELECT 'W' || l_orderkey, 'A' || l_suppkey, 'author', l_linestatus, NULL FROM lineitem
+    UNION ALL SELECT 'A' || l_suppkey, 'I' || s_nationkey, 'affiliation', NULL, NULL FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+    UNION ALL SELECT 'W' || l_orderkey, 'C' || p_size, 'concept', NULL, p_retailprice FROM lineitem JOIN part ON l_partkey = p_partkey
+    UNION ALL SELECT 'W' || o_orderkey, 'V' || c_nationkey, 'venue', NULL, NULL FROM orders JOIN customer ON o_custkey = c_custkey)""")
+def typed_edges(s, d):
+    lines, orders = _lines(s, d), _orders(s, d)
+    authorship = lines.join(table(s, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_orderkey").alias("work_id"), F.col("l_suppkey").alias("author_id"), F.col("s_nationkey").alias("institution_id"), F.col("l_linestatus").alias("author_position"))
+    concepts = lines.join(table(s, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("work_id"), F.col("p_size").alias("concept_id"), F.col("p_retailprice").alias("score"))
+    venues = orders.join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("work_id"), F.col("c_nationkey").alias("venue_id"))
+    references = lines.select(F.col("l_orderkey").alias("work_id"), F.col("l_partkey").alias("referenced_work_id"))
+    return g.typed_edges(references, orders.select(F.col("o_orderkey").alias("work_id"), F.col("o_custkey").alias("related_work_id")), authorship, concepts, venues)
+
+
+@query("SELECT DISTINCT l_partkey * 2 + 1 AS dst FROM lineitem WHERE l_orderkey = 1")
+def out_neighbours(s, d):
+    return g.out_neighbours(_edges(s, d), 2)
+
+
+@query("SELECT l_suppkey AS name, min_by(l_shipmode, l_orderkey * 10 + l_linenumber) AS attribute FROM (SELECT *, l_returnflag AS l_shipmode FROM lineitem) GROUP BY l_suppkey")
+def first_vertices(s, d):
+    rows = _lines(s, d).select(F.col("l_suppkey").alias("name"), F.col("l_returnflag").alias("attribute"), "l_orderkey", "l_linenumber")
+    return g.first_vertices(rows, "name", "l_orderkey", "l_linenumber").select("name", "attribute")
+
+
+def _documents(s: SparkSession, d: str) -> DataFrame:
+    lines = _lines(s, d).select(F.col("l_orderkey").alias("work_id"), F.col("l_suppkey").alias("author_id"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("score"), F.col("l_linenumber"))
+    authorship = lines.select("work_id", "author_id", F.concat(F.lit("n"), F.col("author_id").cast("string")).alias("author_name"), F.lit("first").alias("author_position"), (F.col("part") % 5).alias("institution_id"))
+    orders = _orders(s, d)
+    works = orders.select(F.col("o_orderkey").alias("work_id"), F.col("o_orderstatus").alias("status"))
+    return g.work_documents(works, authorship, lines.select("work_id", "score", F.col("part").alias("concept_id")), orders.select(F.col("o_orderkey").alias("work_id"), F.col("o_custkey").alias("venue_id")), lines.select("work_id", F.col("part").alias("referenced_work_id")), orders.select(F.col("o_orderkey").alias("work_id"), (F.col("o_orderkey") + 1).alias("related_work_id")))
+
+
+@query("""
+    WITH a AS (SELECT w, string_agg(s || ':' || i, ';' ORDER BY s) AS authors FROM (SELECT l_orderkey AS w, l_suppkey AS s, string_agg(DISTINCT cast(l_partkey % 5 AS VARCHAR), ',' ORDER BY cast(l_partkey % 5 AS VARCHAR)) AS i FROM lineitem GROUP BY ALL) GROUP BY w),
+    c AS (SELECT l_orderkey AS w, string_agg(cast(l_partkey AS VARCHAR), ',' ORDER BY l_quantity DESC, l_partkey DESC) AS concepts, count(DISTINCT l_partkey) AS n_refs FROM lineitem GROUP BY 1)
+    SELECT o_orderkey AS work_id, o_custkey AS venue_id, authors, concepts, n_refs, o_orderkey + 1 AS related FROM orders LEFT JOIN a ON a.w = o_orderkey LEFT JOIN c ON c.w = o_orderkey""")
+def work_documents(s, d):
+    people = F.transform("authors", lambda a: F.concat(a["author_id"].cast("string"), F.lit(":"), F.array_join(a["institutions"].cast("array<string>"), ",")))
+    concepts = F.transform("concepts", lambda c: c["concept_id"].cast("string"))
+    return _documents(s, d).select("work_id", "venue_id", F.array_join(people, ";").alias("authors"), F.array_join(concepts, ",").alias("concepts"), F.when(F.col("references").isNotNull(), F.size("references")).alias("n_refs"), F.element_at("related", 1).alias("related"))
+
+
+@query("SELECT DISTINCT l_orderkey AS work_id, l_suppkey AS author_id, l_partkey % 5 AS institution_id FROM lineitem")
+def flat_documents(s, d):
+    return g.flat_documents(_documents(s, d))["authorships"].select("work_id", "author_id", "institution_id")
+
+
+@query("SELECT n_nationkey AS concept_id, 'ancestor' AS kind, r_regionkey AS other_id, r_name AS other_name, NULL::DOUBLE AS score FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT c_nationkey, 'related', c_custkey % 7, r_name, c_acctbal FROM customer LEFT JOIN region ON c_custkey % 7 = r_regionkey")
+def related_concepts(s, d):
+    names = table(s, d, "region").select(F.col("r_regionkey").alias("concept_id"), F.col("r_name").alias("concept_name"))
+    ancestors = table(s, d, "nation").select(F.col("n_nationkey").alias("concept_id"), F.col("n_regionkey").alias("ancestor_id"))
+    related = table(s, d, "customer").select(F.col("c_nationkey").alias("concept_id"), (F.col("c_custkey") % 7).alias("related_concept_id"), F.col("c_acctbal").alias("score"))
+    return g.related_concepts(names, ancestors, related).select("concept_id", "kind", "other_id", "other_name", "score")
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 8000) OR l_partkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 8000))")
+def works_in_venues(s, d):
+    lines = _lines(s, d)
+    host, other = (lines.select(F.col("l_orderkey").alias("o_orderkey"), F.col(c).alias("venue_id")) for c in ("l_suppkey", "l_partkey"))
+    return r.works_in_venues(_orders(s, d), host, other, table(s, d, "supplier").where("s_acctbal > 8000").select("s_suppkey"), "o_orderkey").select("o_orderkey", "o_orderstatus")
+
+
+@query(ROLLING.format(frame="PARTITION BY author ORDER BY date, work ROWS BETWEEN 4 PRECEDING AND CURRENT ROW"))
+def added_authors(s, d):
+    rows = _companions(s, d)
+    compute = lambda x: r.rolling_overlap(x, "l_suppkey", "l_orderkey", "o_orderdate")
+    done = compute(r.with_ids(rows, "l_suppkey", table(s, d, "supplier").where("s_acctbal > 5000").select("s_suppkey")))
+    return r.added_authors(done, rows, "l_suppkey", compute).select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
+
+
+@query("SELECT o_orderkey FROM orders WHERE NOT (o_totalprice < 1000) AND NOT coalesce(try_cast(CASE o_orderstatus WHEN 'P' THEN 'true' WHEN 'F' THEN 'false' END AS BOOLEAN), false)")
+def not_flagged(s, d):
+    flags = _orders(s, d).withColumn("paratext", F.col("o_totalprice") < 1000).withColumn("retracted", F.when(F.col("o_orderstatus") == "P", "true").when(F.col("o_orderstatus") == "F", "false"))
+    return r.not_flagged(flags, "paratext", "retracted").select("o_orderkey")
+
+
+@query("SELECT o_orderkey, l_orderkey IS NULL AS no_line FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem) ON o_orderkey = l_orderkey WHERE l_orderkey IS NULL OR nullif(o_orderstatus, 'P') IS NULL")
+def with_null(s, d):
+    lines = _lines(s, d).select("l_orderkey").distinct()
+    rows = _orders(s, d).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "l_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"))
+    return r.with_null(rows).select("o_orderkey", F.col("l_orderkey").isNull().alias("no_line"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 4 <> 0")
+def with_id(s, d):
+    key = F.when(F.col("c_custkey") % 3 == 0, F.lit(" ")).when(F.col("c_custkey") % 4 != 0, F.col("c_custkey").cast("string"))
+    return r.with_id(table(s, d, "customer").withColumn("key", key), "key").select("c_custkey")
+
+
+@query("SELECT p_partkey FROM part WHERE p_size % 3 = 0")
+def level_zero(s, d):
+    return r.level_zero(table(s, d, "part").withColumn("level", F.col("p_size") % 3)).select("p_partkey")
+
+
+@query("""
+    WITH w AS (SELECT o_orderkey FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 AND o_orderstatus = 'F')
+    SELECT 'lines' AS name, l_orderkey AS a, l_linenumber AS b FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM w)
+    UNION ALL SELECT 'edges', l_orderkey, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM w) AND l_partkey IN (SELECT o_orderkey FROM w)""")
+def slice_job(s, d):
+    works = r.required(r.in_years(_orders(s, d), F.year("o_orderdate"), 1996, 1998).where("o_orderstatus = 'F'"), "works")
+    made = r.write_slice(works, {"lines": _lines(s, d), "edges": _lines(s, d)}, _folder(s, "slice"), work="o_orderkey", key="l_orderkey", edge=("edges", "l_orderkey", "l_partkey"))
+    lines = made["lines"].select(F.lit("lines").alias("name"), F.col("l_orderkey").alias("a"), F.col("l_linenumber").cast("bigint").alias("b"))
+    return lines.unionByName(made["edges"].select(F.lit("edges").alias("name"), F.col("l_orderkey").alias("a"), F.col("l_partkey").alias("b")))
+
+
+@query("SELECT o_custkey, list_aggregate(list(o_orderkey ORDER BY o_orderkey), 'string_agg', ',') AS orders FROM orders GROUP BY o_custkey")
+def sets_per_key(s, d):
+    return r.sets_per_key(_orders(s, d), "o_custkey", "o_orderkey", "orders").select("o_custkey", F.array_join(F.col("orders").cast("array<string>"), ",").alias("orders"))
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1000000 OFFSET 20")
+def sorted_offset(s, d):
+    return _orders(s, d).select("o_orderkey", "o_orderdate").orderBy("o_orderdate", "o_orderkey").offset(20)
+
+
+@query("SELECT doc_id, '[' || '\"' || lang || '\",\"' || source || '\"]' AS tags, round_even(n_chars / 7.0, 3) AS score, coalesce(nullif(n_chars % 3, 0), 0) AS third FROM documents")
+def small_values(s, d):
+    return table(s, d, "documents").select("doc_id", text.json_text(F.array("lang", "source")).alias("tags"), values.score3(F.col("n_chars") / 7).alias("score"), values.or_zero(F.nullif(F.col("n_chars") % 3, F.lit(0))).alias("third"))
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'journal-article' WHEN 'O' THEN 'book' END AS kind FROM orders")
+def type_names(s, d):
+    code = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 6).otherwise(0)
+    return values.decode_types(_orders(s, d).withColumn("code", code), "code", "kind").select("o_orderkey", "kind")
+
+
+@query("""SELECT sum(n * (n - 1))::BIGINT AS pairs FROM (SELECT count(*) AS n FROM (SELECT DISTINCT o_custkey, o_orderpriority FROM orders) GROUP BY o_orderpriority)""")
+def shared_pairs(s, d):
+    one = g.projection(_orders(s, d).select("o_custkey", "o_orderpriority"), "o_custkey", "o_orderpriority")
+    return one.agg((F.sum("weight") * 2).alias("pairs"))
+
+
+# written and read again
+def _folder(s: SparkSession, name: str) -> str:
+    return f"{shared_dir(s)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def csv_round_trip(s, d):
+    path = _folder(s, "csv")
+    sinks.write_csv(_lines(s, d), path, ["l_orderkey", "l_linenumber", "l_quantity"])
+    return scans.read_csvs(s, [path], {"l_orderkey": "cast(l_orderkey AS bigint)", "l_linenumber": "cast(l_linenumber AS int)", "l_quantity": "cast(l_quantity AS double)"})
+
+
+@query("SELECT DISTINCT l_returnflag, l_linestatus, year(l_shipdate) AS year, NULL AS score FROM lineitem")
+def parquet_round_trip(s, d):
+    path = _folder(s, "typed")
+    sinks.write_parquet(_lines(s, d).select("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("year")), path, ["l_returnflag", "l_linestatus", "year", "score"], distinct=True)
+    return scans.read_table(s, path, ["l_returnflag", "l_linestatus", "year", "score"])
+
+
+@query("SELECT p_partkey, p_size, p_brand FROM part")
+def rewrite(s, d):
+    path = _folder(s, "rewritten")
+    sinks.rewrite(values.smallest_types(table(s, d, "part"), ["p_partkey"]), path, {"p_size": "smallint"}, rows_per_file=5000)
+    return scans.read_clean(s, path).select(F.col("p_partkey").cast("bigint").alias("p_partkey"), F.col("p_size").cast("int").alias("p_size"), "p_brand")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey = 7 OR o_custkey IN (1, 2, 4)")
+def point_lookup(s, d):
+    path = _folder(s, "sorted")
+    sinks.sorted_table(_orders(s, d), path, "o_orderkey", 8)
+    rows = scans.read_table(s, path, ["o_orderkey", "o_custkey"])
+    return scans.row_of(rows, "o_orderkey", 7).union(scans.rows_in(rows, "o_custkey", [1, 2, 4]).where("o_orderkey <> 7"))
+
+
+@query("SELECT o_orderkey, o_orderstatus AS source_file FROM orders")
+def append_and_replace(s, d):
+    path, other = _folder(s, "appended"), _folder(s, "replaced")
+    rows = _orders(s, d).select("o_orderkey", F.col("o_orderstatus").alias("source_file"))
+    sinks.append_new(rows.where("source_file = 'F'"), path, s.createDataFrame([], "path string"))
+    sinks.append_new(rows, path, scans.read_table(s, path).select(F.col("source_file").alias("path")).distinct())
+    sinks.replace_sources(scans.read_table(s, path), other)
+    sinks.replace_sources(rows.where("source_file = 'F'"), other)
+    merged = _folder(s, "merged")
+    sinks.merge_parts(scans.read_table(s, other), merged, 2)
+    return scans.read_table(s, merged, ["o_orderkey", "source_file"])
+
+
+@query("SELECT c_custkey AS author_id, c_name AS author_name FROM customer WHERE c_custkey % 5 <> 0")
+def json_lines(s, d):
+    path = _folder(s, "lines")
+    key = F.col("c_custkey").cast("string")
+    good = F.concat(F.lit('{"id":"https://example.org/A'), key, F.lit('","display_name":"'), F.col("c_name"), F.lit('","ids":{"me":"x"}}'))
+    table(s, d, "customer").select(F.when(F.col("c_custkey") % 5 == 0, F.lit("not json")).otherwise(good)).write.option("compression", "gzip").text(path)
+    return fl.flatten("authors", scans.read_entity(s, "authors", [path], own_id="me"))["authors"].select("author_id", "author_name")
+
+
+@query("SELECT 'file' || o_custkey AS filename, count(*) AS records, (SELECT count(*) FROM orders) AS total FROM orders GROUP BY o_custkey HAVING count(*) > 0")
+def manifest(s, d):
+    path = _folder(s, "manifest")
+    counts = _orders(s, d).groupBy("o_custkey").agg(F.count("*").alias("n"))
+    entry = F.struct(F.concat(F.lit("s3://bucket/file"), F.col("o_custkey").cast("string")).alias("url"), F.struct(F.col("n").alias("record_count")).alias("meta"))
+    one = counts.agg(F.collect_list(entry).alias("entries"), F.struct(F.sum("n").alias("record_count")).alias("meta"))
+    one.select(F.to_json(F.struct("entries", "meta"))).write.text(path)
+    return scans.read_manifest(s, path, "s3://bucket/")

@@ -6,34 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import MANIFEST, NESTED
+from ..schemas import MANIFEST, nested_schema, with_own_id
 
 #: Dimension tables that may be read by name.
 SMALL_TABLES = ("institutions", "concepts", "topics", "sources", "publishers", "funders", "venues")
 
 
-def read_entity(spark: SparkSession, entity: str, paths: str | list[str], partitions: int | None = None) -> DataFrame:
-    """JSON lines, gzipped or not. A line that is not JSON gives a row of nulls, which the id filter drops.
-    gz files are one task each: partitions spreads their rows for what follows."""
-    df = spark.read.schema(NESTED[entity]).json(paths)
+def read_entity(spark: SparkSession, entity: str, paths: list[str], partitions: int | None = None, max_files: int | None = None, own_id: str = "own_id") -> DataFrame:
+    """JSON lines, gzipped or not, of at most max_files of the paths. A line that is not JSON gives a row of nulls,
+    which the id filter drops. gz files are one task each: partitions spreads their rows for what follows.
+    own_id: what the snapshot calls the field of ids that holds the entity's own URL."""
+    df = with_own_id(spark.read.schema(nested_schema(entity, own_id)).json(paths[:max_files]), entity)
     return df.repartition(partitions) if partitions else df
 
 
-def read_entity_tolerant(spark: SparkSession, entity: str, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+def read_entity_tolerant(spark: SparkSession, entity: str, paths: str | list[str], own_id: str = "own_id") -> tuple[DataFrame, DataFrame]:
     """Good rows, with source_file, and bad lines as (source_file, line); blank lines are neither."""
     lines = spark.read.text(paths).where("trim(value) <> ''").select("value", F.col("_metadata.file_path").alias("source_file"))
-    return parsed_lines(lines, entity)
+    return parsed_lines(lines, entity, own_id)
 
 
-def parsed_lines(lines: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
+def parsed_lines(lines: DataFrame, entity: str, own_id: str = "own_id") -> tuple[DataFrame, DataFrame]:
     """The same for lines (value, source_file) from anywhere."""
-    schema = T.StructType([*T.StructType.fromDDL(NESTED[entity]).fields, T.StructField("_bad", T.StringType())])
+    schema = T.StructType([*nested_schema(entity, own_id).fields, T.StructField("_bad", T.StringType())])
     rows = lines.withColumn("r", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}))
-    return rows.where("r._bad IS NULL").select("r.*", "source_file").drop("_bad"), rows.where("r._bad IS NOT NULL").select("source_file", F.col("value").alias("line"))
+    return with_own_id(rows.where("r._bad IS NULL").select("r.*", "source_file").drop("_bad"), entity), rows.where("r._bad IS NOT NULL").select("source_file", F.col("value").alias("line"))
 
 
-def read_manifest(spark: SparkSession, path: str, prefix: str = "s3://openalex/data/", max_files: int | None = None) -> DataFrame:
-    """(filename, records, total), smallest first, without empty files; at most max_files of them."""
+def read_manifest(spark: SparkSession, path: str, prefix: str, max_files: int | None = None) -> DataFrame:
+    """(filename, records, total), smallest first, without empty files; at most max_files of them. prefix is taken off their URLs."""
     raw = spark.read.schema(MANIFEST).option("multiLine", True).json(path)
     rows = raw.select(F.col("meta.record_count").alias("total"), F.explode("entries").alias("e"))
     rows = rows.select(F.replace("e.url", F.lit(prefix), F.lit("")).alias("filename"), F.col("e.meta.record_count").alias("records"), "total").where("records > 0").orderBy("records", "filename")

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.flatten import flatten, flatten_works
-from ..operators.relational import completed
+from ..operators.flatten import ENTITIES, WORKS, flatten, work_parents, work_tables
+from ..operators.relational import completed, missing_tables
 from ..runtime import written
 from ..sources.scans import parsed_lines
 from ..sources.sinks import stored
 
 
-def ingest(spark: SparkSession, entity: str, source: str, target: str, checkpoint: str, skip: dict[str, DataFrame] | None = None, files_per_trigger: int | None = None) -> StreamingQuery:
+def ingest(spark: SparkSession, entity: str, source: str, target: str, checkpoint: str, skip: dict[str, DataFrame] | None = None, files_per_trigger: int | None = None, own_id: str = "own_id") -> StreamingQuery:
     """Flatten each file of source once, append to target/<table>, log to target/_log; ends when no new file is left.
 
     Every table of a batch goes to its own batch=<n> partition, written with overwrite, so a batch that is
@@ -25,21 +25,55 @@ def ingest(spark: SparkSession, entity: str, source: str, target: str, checkpoin
     rows = lines.load(source).select("value", F.col("_metadata.file_path").alias("source_file"))
 
     def write(batch: DataFrame, n: int) -> None:
-        save_batch(batch, n, entity, target, skip)
+        save_batch(batch, str(n), entity, target, skip, own_id=own_id)
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def save_batch(batch: DataFrame, n: int, entity: str, target: str, skip: dict[str, DataFrame] | None = None) -> None:
-    good, bad = parsed_lines(batch.where("trim(value) <> ''"), entity)
-    parsed = written(good, "parsed")  # every table reads it
-    tables = flatten_works(parsed, skip) if entity == "works" else flatten(entity, parsed, (skip or {}).get(entity))
+def save_batch(lines: DataFrame, batch: str, entity: str, target: str, skip: dict[str, DataFrame] | None = None, only: list[str] | None = None, own_id: str = "own_id") -> None:
+    """Write the tables, or only some, of lines (value, source_file) and log the rows of each by source file, 0 where it has none."""
+    good, bad = parsed_lines(lines.where("trim(value) <> ''"), entity, own_id)
+    parents = written(work_parents(good, skip), "works") if entity == "works" else written(good, "parsed")  # every table reads it
+    tables = work_tables(parents) if entity == "works" else flatten(entity, parents, (skip or {}).get(entity))
+    files = written(lines.select("source_file").distinct(), "files")
+    now = F.current_timestamp().alias("timestamp")
+    log = None
     for name, df in tables.items():
-        stored(df).write.mode("overwrite").parquet(f"{target}/{name}/batch={n}")
-    bad.write.mode("overwrite").json(f"{target}/_bad/batch={n}")
-    files = parsed.groupBy("source_file").agg(F.count("*").alias("records"))
-    log = files.select(F.current_timestamp().alias("timestamp"), F.col("source_file").alias("path"), F.explode(F.array(*map(F.lit, tables))).alias("table"), "records")
-    log.write.mode("overwrite").parquet(f"{target}/_log/batch={n}")
+        if only is not None and name not in only:
+            continue
+        path = f"{target}/{name}/batch={batch}"
+        stored(df).write.mode("overwrite").parquet(path)
+        seen = lines.sparkSession.read.schema(stored(df).schema).parquet(path).groupBy("source_file").agg(F.count("*").alias("records"))
+        one = files.join(seen, "source_file", "left").select(now, F.col("source_file").alias("path"), F.lit(name).alias("table"), F.coalesce("records", F.lit(0)).cast("bigint").alias("records"))
+        log = one if log is None else log.unionByName(one)
+    if only is None:
+        bad.write.mode("overwrite").json(f"{target}/_bad/batch={batch}")
+    if log is not None:
+        log.write.mode("overwrite").parquet(f"{target}/_log/batch={batch}")
+
+
+def absent_tables(spark: SparkSession, entity: str, target: str) -> DataFrame:
+    """(source_file, missing): tables that the log does not have for a source file of the parent table."""
+    log = spark.read.parquet(f"{target}/_log")
+    tables = [*WORKS, "works_authorships", "works_abstracts"] if entity == "works" else list(ENTITIES[entity].tables)
+    parents = log.where(F.col("table") == entity).select(F.col("path").alias("source_file"))
+    return missing_tables(parents, log.select(F.col("path").alias("source_file"), "table"), tables)
+
+
+def recompute_missing(spark: SparkSession, entity: str, target: str, batch: str, skip: dict[str, DataFrame] | None = None, own_id: str = "own_id") -> list[str]:
+    """Read again the source files for which tables are missing and write only these tables, as a batch of
+    its own. Files that miss the same tables are read together. Returns the names of what was written."""
+    sets = absent_tables(spark, entity, target).groupBy("missing").agg(F.collect_list("source_file").alias("files")).collect()  # names of files
+    for i, row in enumerate(sets):
+        lines = spark.read.text(row["files"]).select("value", F.col("_metadata.file_path").alias("source_file"))
+        save_batch(lines, f"{batch}-{i}", entity, target, skip, row["missing"], own_id)
+    return sorted({t for row in sets for t in row["missing"]})
+
+
+def current_rows(spark: SparkSession, entity: str, target: str, table: str, key: str) -> DataFrame:
+    """Rows of a table from the latest batch only in which its entity came; an id may come in several batches."""
+    last = spark.read.parquet(f"{target}/{entity}").groupBy(key).agg(F.max("batch").alias("batch"))
+    return spark.read.parquet(f"{target}/{table}").join(last, [key, "batch"], "left_semi")
 
 
 def pending(entries: DataFrame, log: DataFrame, n_tables: int, recompute: list[str] | None = None) -> DataFrame:

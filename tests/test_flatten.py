@@ -7,7 +7,7 @@ import pytest
 from lattica.operators import flatten as fl
 from lattica.schemas import NESTED
 
-OA = "https://openalex.org/"
+OA = "https://example.org/"
 
 
 def inst(i, country, lineage):
@@ -85,7 +85,7 @@ def test_entities(spark, entity):
     from pyspark.sql import functions as F
     from pyspark.sql.types import StructType
 
-    record = {"id": f"{OA}{entity[0].upper()}7" if entity != "topics" else f"{OA}T7", "display_name": "name", "counts_by_year": [{"year": 2020, "works_count": 1}], "ids": {"openalex": "x", "wikidata": "q"}, "x_concepts": [{"id": f"{OA}C1", "level": 0, "score": 0.5}, {"id": f"{OA}C2", "level": 1}], "ancestors": [{"id": f"{OA}C3"}, {"id": None}], "roles": [{"role": "funder", "id": f"{OA}F1", "works_count": 2}], "keywords": ["k"], "associated_insitutions": [{"id": f"{OA}I2", "relationship": "child"}], "issn": ["1"]}
+    record = {"id": f"{OA}{entity[0].upper()}7" if entity != "topics" else f"{OA}T7", "display_name": "name", "counts_by_year": [{"year": 2020, "works_count": 1}], "ids": {"own_id": "x", "wikidata": "q"}, "x_concepts": [{"id": f"{OA}C1", "level": 0, "score": 0.5}, {"id": f"{OA}C2", "level": 1}], "ancestors": [{"id": f"{OA}C3"}, {"id": None}], "roles": [{"role": "funder", "id": f"{OA}F1", "works_count": 2}], "keywords": ["k"], "associated_insitutions": [{"id": f"{OA}I2", "relationship": "child"}], "issn": ["1"]}
     rows = spark.createDataFrame([(json.dumps(x),) for x in (record, record, {"id": ""}, {"id": f"{OA}X8", "display_name": "skipped"})], "v string")
     nested = rows.select(F.from_json("v", StructType.fromDDL(NESTED[entity])).alias("r")).select("r.*")
     tables = fl.flatten(entity, nested, ids(spark, 8))

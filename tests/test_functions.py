@@ -13,16 +13,18 @@ def one(spark, column, **cells):
 
 
 def test_ids(spark):
-    for given, wanted in (("https://openalex.org/W12", 12), (" https://openalex.org/W12 ", 12), (None, None), ("Wxx", None), ("", None)):
-        assert one(spark, ids.openalex_id(F.col("a")), a=given) == wanted
-    for given, wanted in (("https://openalex.org/T10102", 10102), ("https://openalex.org/topics/T10102", 10102), ("https://openalex.org/domains/4", 4), (None, None)):
+    for given, wanted in (("https://example.org/W12", 12), (" https://example.org/W12 ", 12), (None, None), ("Wxx", None), ("", None)):
+        assert one(spark, ids.entity_id(F.col("a")), a=given) == wanted
+    for given, wanted in (("https://example.org/T10102", 10102), ("https://example.org/topics/T10102", 10102), ("https://example.org/domains/4", 4), (None, None)):
         assert one(spark, ids.topic_id(F.col("a")), a=given) == wanted
     assert one(spark, ids.first_id(F.col("a")), a="see W12 and A34") == 12
-    assert one(spark, ids.id_url("W", F.lit(5))) == "https://openalex.org/W5"
+    assert one(spark, ids.id_url("https://example.org/", "W", F.lit(5))) == "https://example.org/W5"
 
 
 def test_text(spark):
     assert one(spark, text.dedup_key(F.col("a")), a="The <b>Cat</b> and, a Hat") == "cathat"
+    assert one(spark, text.dedup_key(F.col("a")), a="Größe Журнал Θεωρία Łódź") == "grossezhurnaltheorialodz"
+    assert one(spark, text.strip_accents(F.col("a")), a="Crème Ệ ά й ß ø") == "Creme E α и ß ø"
     assert one(spark, text.dedup_key(F.col("a")), a=None) is None
     assert one(spark, text.dedup_key(F.col("a")), a="") is None
     assert one(spark, text.ascii_clean(F.col("a")), a="Crème brûlée ж") == "Creme brulee  "
