@@ -2,20 +2,29 @@
 
 MinHash over overlapping windows of word shingles retrieves templates, and the share of a
 template's shingles in the text around the window verifies them. Templates of at least
-2 * WINDOW - 1 shingles are met by windows of WINDOW, shorter ones by windows of one shingle, whose
-MinHash is the shingle's hash itself; so a short notice in a long text is not lost among other words.
+2 * WINDOW - 1 shingles, whole license texts, are met by windows of WINDOW; shorter ones, notices, by
+windows of one shingle, whose MinHash is the shingle itself, so they are not lost among other words.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words in a shingle, shingles in a window, and how far windows lie apart.
-SHINGLE, WINDOW, STEP = 5, 4, 2
-#: Bands of one MinHash each: a window with a Jaccard similarity of 0.8 to one of the template's
-#: meets it in one of them with a probability of 1 - 0.2 ** 4 = 0.998; an equal one always does.
-BANDS = (0x0, 0x5BD1E9955BD1E995, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
+#: Words in a shingle, shingles in a window, and how far windows of a document lie apart; a template has one at each shingle.
+SHINGLE, WINDOW, STEP = 5, 16, 4
+
+
+def bands_for(similarity: float, probability: float) -> int:
+    """Bands of one MinHash each, in one of which windows of this Jaccard similarity meet with the probability."""
+    return math.ceil(math.log(1 - probability) / math.log(1 - similarity))
+
+
+#: Bands, each with a hash function of its own. A changed word leaves 11 of a window's 16 shingles, a similarity
+#: of 0.52, and there are several windows to a text.
+BANDS = tuple(range(bands_for(0.5, 0.98)))
 
 #: Notices by which texts name their license.
 TEMPLATES = {
@@ -30,6 +39,47 @@ TEMPLATES = {
 }
 
 
+#: Texts of licenses, without the holder's line.
+TEXTS = {
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+        to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies
+        of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission
+        notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS
+        BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE
+        USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "isc-text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright
+        notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
+        ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+        WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+        USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd-3-clause-text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must
+        reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+        3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific
+        prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED
+        TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR
+        ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+        DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "zlib-text": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use
+        of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely,
+        subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this
+        software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such,
+        and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.""",
+    "apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of
+        the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
+        on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+        limitations under the License.""",
+    "gpl-3.0-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;
+        without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a
+        copy of the GNU General Public License along with this program.""",
+    "unlicense-text": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this
+        software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+}
+
+
 def shingles(text: Column) -> Column:
     """Hashes of the runs of SHINGLE words, in order; words are letters and digits in lower case. Of a
     shorter text, the hash of all its words."""
@@ -43,15 +93,11 @@ def shingles(text: Column) -> Column:
     return F.element_at(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), hashed), 1)
 
 
-def _mixed(h: Column, band: int) -> Column:
-    return h.bitwiseXOR(F.lit(band)) if band else h
-
-
 def _minima(hashes: Column, starts: Column) -> list[Column]:
-    """For each band the smallest mixed hash of the windows that begin at starts."""
+    """For each band the smallest hash of the windows that begin at starts."""
 
     def of(band: int) -> Column:
-        held = F.transform(hashes, lambda h: _mixed(h, band)) if band else hashes
+        held = F.transform(hashes, lambda h: F.xxhash64(h, F.lit(band)))
         return F.transform(F.array(held), lambda m: F.transform(starts, lambda i: F.array_min(F.slice(m, i, F.lit(WINDOW)))))
 
     return [F.element_at(of(b), 1) for b in BANDS]
@@ -76,12 +122,13 @@ def license_matches(docs: DataFrame, templates: DataFrame | None = None, id_col:
     """(doc_id, license, containment, position): one row for each document and template found in it.
 
     containment is the share of the template's distinct shingles in the text around the best window,
-    at least `similarity`; position is the first such window's first shingle, from 0. Null and empty texts, and texts
-    shorter than a shingle unless a template is as short, match nothing; null templates are ignored;
-    null ids and repeated rows pass through as rows of their own; other columns are not read.
+    at least `similarity`; position is the first such window's first shingle, from 0, the earliest among
+    equals. Null and empty texts, and texts shorter than a shingle unless a template is as short, match
+    nothing; texts of any length are read whole; null templates are ignored; null ids and repeated rows
+    pass through as rows of their own; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    given = prepared(templates if templates is not None else spark.createDataFrame(list(TEMPLATES.items()), "name string, text string"))
+    given = prepared(templates if templates is not None else spark.createDataFrame([*TEMPLATES.items(), *TEXTS.items()], "name string, text string"))
     long, short = ([t for t in given if (len(t["hashes"]) >= 2 * WINDOW - 1) == k] for k in (True, False))
     # explode of one element: a filter on a column made so isn't pushed below it, where it would be made again for each use
     rows = docs.select(F.col(id_col).alias("doc_id"), F.explode(F.array(shingles(F.col(text_col).cast("string")))).alias("hashes"))

@@ -274,6 +274,40 @@ def test_licenses(spark, none):
     assert licenses.license_matches(none).count() == 0
 
 
+def test_licenses_by_brute_force(spark):
+    """Edited license texts at any place: what a comparison at every place contains is found, and nothing else."""
+    assert licenses.bands_for(0.5, 0.98) == 6 and 1 - 0.5**6 >= 0.98
+    rng, texts = random.Random(7), []
+    for k in range(150):
+        name, text = rng.choice(list(licenses.TEXTS.items()))
+        words = text.split()
+        for _ in range(rng.choice([0, 0, 1, 2, 4, 8, 14])):
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        if k % 5 == 0:
+            words = words[: len(words) // 2]
+        texts.append(" ".join([*(rng.choice(WORDS) for _ in range(rng.randint(0, 200))), *words, *(rng.choice(WORDS) for _ in range(rng.randint(0, 200)))]))
+    rows = [*enumerate(texts), (None, texts[0]), (0, texts[0]), (900, ""), (901, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("license", F.lit("x"))
+    out = licenses.license_matches(df).collect()
+    found = {(r.doc_id, r.license) for r in out if r.doc_id is not None}
+    assert sum(r.doc_id == 0 for r in out) == 2 * sum(r.doc_id is None for r in out)
+
+    def grams(t):
+        w = [x for x in re.split(r"[^\w]|_", t.lower()) if x]
+        return [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))]
+
+    want = set()
+    for i, t in enumerate(texts):
+        g = grams(t)
+        for name, template in [*licenses.TEMPLATES.items(), *licenses.TEXTS.items()]:
+            kinds, size = set(grams(template)), len(grams(template))
+            if len(kinds & set(g)) >= 0.8 * len(kinds) and any(len(kinds & set(g[p : p + size + 8])) >= 0.8 * len(kinds) for p in range(len(g))):
+                want.add((i, name))
+    print(f"license recall {len(want & found) / len(want):.3f} of {len(want)}, beyond {len(found - want)}")
+    assert len(want & found) >= 0.98 * len(want)
+    assert all(len(set(grams({**licenses.TEMPLATES, **licenses.TEXTS}[n])) & set(grams(texts[i]))) >= 0.8 * len(set(grams({**licenses.TEMPLATES, **licenses.TEXTS}[n]))) for i, n in found)
+
+
 def test_imatch(spark, docs, none):
     rows = imatch.edited_fingerprints(docs).collect()
     assert len(rows) == docs.count()
@@ -292,12 +326,55 @@ def test_imatch(spark, docs, none):
     assert imatch.edited_fingerprints(none).count() == 0
 
 
-def test_next_row_over_ranges(spark):
-    ids = [5, 7, 511, 512, 700000, 700001, 9_000_000_000, -3]
-    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
-    got = {r.doc_id: r.next_text for r in imatch.with_next(df, "doc_id", "text", []).collect()}
-    order = sorted(ids, reverse=True)
-    assert got == {i: f"t{order[(k + 1) % len(order)]}" for k, i in enumerate(order)}
+def test_next_row(spark):
+    dense = [(i, f"t{i}") for i in [*range(-700, 900), 5000]]
+    sparse = [(i, f"t{i}") for i in (5, 7, 511, 512, 700000, 700001, 9_000_000_000, -3)]
+    for rows, kind in ((dense, "long"), (sparse, "long"), ([(f"id{i}", t) for i, t in sparse], "string")):
+        got = {r.doc_id: r.next_text for r in imatch.with_next(spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(5), "doc_id", "text", []).collect()}
+        order = sorted(rows, reverse=True)
+        assert got == {r[0]: order[(k + 1) % len(order)][1] for k, r in enumerate(order)}
+    odd = [(3, "a"), (3, "a"), (3, "b"), (None, "c"), (None, "d"), (None, "d"), (1, "e"), *[(2, f"x{i}") for i in range(50)]]
+    out = imatch.with_next(spark.createDataFrame(odd, "doc_id long, text string"), "doc_id", "text", []).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in out) == sorted((i is None, i or 0, t) for i, t in odd)
+    link = {(r.doc_id, r.text): r.next_text for r in out}
+    assert len({(r.doc_id, r.text, r.next_text) for r in out}) == len(set(odd)) and sorted(link.values()) == sorted(t for _, t in set(odd))
+    assert imatch.with_next(spark.createDataFrame([(1, "only")], "doc_id long, text string"), "doc_id", "text", []).first().next_text == "only"
+
+
+def test_imatch_lexicon_and_likeness(spark):
+    """The lexicon has every term of the band by a plain count and few others; likeness is what the fingerprints say."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6)) % 3000}" for _ in range(80)) for _ in range(400)]
+    texts += texts[:3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    count = {}
+    for t in texts:
+        for w in set(t.split()):
+            count[w] = count.get(w, 0) + 1
+    low, high = len(texts) ** 0.2, len(texts) ** 0.8
+    lex = imatch.lexicon(df)
+    words = spark.createDataFrame([(w,) for w in count], "w string")
+    inside = {r.w for r in words.where(lex.has(F.xxhash64("w"))).collect()}
+    band = {w for w, n in count.items() if low <= n <= high}
+    assert band <= inside and len(inside - band) <= 0.05 * len(count)
+    rows = {r.doc_id: r for r in imatch.edited_fingerprints(df).collect()}
+
+    def likeness(a, b):
+        a, b = (bytes.fromhex(x) for x in (a, b))
+        shares = []
+        for k in range(0, len(a), imatch.SUBSETS):
+            pairs = [(x, y) for x, y in zip(a[k : k + imatch.SUBSETS], b[k : k + imatch.SUBSETS], strict=True) if x or y]
+            shares.append((len(pairs), sum(x == y for x, y in pairs) / max(1, len(pairs))))
+        spoken = [s for n, s in shares if n >= imatch.ENOUGH]
+        return max(spoken) if spoken else shares[0][1] if shares[0][0] else float(a == b)
+
+    for i, r in rows.items():
+        assert r.near_edited == pytest.approx(likeness(r.fingerprint, r.edited_fingerprint))
+        assert r.near_next == pytest.approx(likeness(r.fingerprint, rows[i - 1 if i else len(texts) - 1].fingerprint))
+    assert all(rows[i].fingerprint == rows[400 + i].fingerprint for i in range(3))
+    both = lambda f: sum(f(r) for r in rows.values()) / len(rows)
+    print("mean likeness to the edited text", both(lambda r: r.near_edited), "to the next", both(lambda r: r.near_next))
+    assert both(lambda r: r.near_edited) > 2 * both(lambda r: r.near_next)
 
 
 PLAIN = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
