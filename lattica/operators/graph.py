@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ids import vertex_name
@@ -62,13 +62,27 @@ def references_and_citations(edges: DataFrame) -> DataFrame:
     return out.join(back, "id", "full").select("id", F.sort_array(F.coalesce("refs", none)).alias("refs"), F.sort_array(F.coalesce("cites", none)).alias("cites"))
 
 
+def ranked(df: DataFrame, key: str, item: str, score: str, most: int | None = None, salts: int = 64) -> DataFrame:
+    """(key, item, score, rank): items of each key, highest score first, smaller items first among equals.
+    most keeps the first ones only: each part of a key is cut to them before the parts of a large key meet."""
+    order = [F.desc("score"), F.asc("item")]
+    rows = df.select(key, F.col(item).alias("item"), F.col(score).alias("score"))
+    if most is not None:
+        part = Window.partitionBy(key, F.pmod(F.xxhash64("item"), F.lit(salts))).orderBy(*order)
+        rows = rows.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= most).drop("rank")
+    out = rows.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return out.where(F.col("rank") <= most) if most is not None else out
+
+
 def best_first(df: DataFrame, key: str, item: str, score: str) -> DataFrame:
-    """(key, items): (score, item) of each key, highest score first, smaller items first among equals."""
+    """(key, items): (score, item) of each key, highest score first, smaller items first among equals. A row
+    holds all items of a key, so take ranked() where keys are large."""
     rows = F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("s"), F.col(item).alias("i"))))
     return df.groupBy(key).agg(F.transform(rows, lambda x: F.struct((-x["s"]).alias("score"), x["i"].alias("item"))).alias("items"))
 
 
 def members(df: DataFrame, key: str, item: str) -> DataFrame:
+    """(key, items): distinct items of each key, sorted; for large keys the distinct rows themselves serve."""
     return df.groupBy(key).agg(F.sort_array(F.collect_set(item)).alias("items"))
 
 

@@ -364,6 +364,14 @@ def works_best_first(s, d):
     return g.best_first(one, "l_partkey", "l_orderkey", "q").select(F.col("l_partkey").alias("concept"), F.array_join(F.transform("items", lambda x: x["item"].cast("string")), ",").alias("works"))
 
 
+@query("""
+    SELECT l_suppkey AS concept, l_orderkey AS work, q AS score, n AS rank FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY q DESC, l_orderkey) AS n
+        FROM (SELECT l_suppkey, l_orderkey, max(l_extendedprice) AS q FROM lineitem GROUP BY l_suppkey, l_orderkey)) WHERE n <= 20""")
+def works_ranked(s, d):
+    one = _lines(s, d).groupBy("l_suppkey", "l_orderkey").agg(F.max("l_extendedprice").alias("q"))
+    return g.ranked(one, "l_suppkey", "l_orderkey", "q", most=20).select(F.col("l_suppkey").alias("concept"), F.col("item").alias("work"), "score", "rank")
+
+
 ROLLING = """
     WITH a AS (SELECT DISTINCT l_orderkey AS work, l_suppkey AS author FROM lineitem),
     c AS (SELECT a.author, a.work, o_orderdate AS date, list_sort(list_distinct(list(b.author) FILTER (b.author <> a.author))) AS others
@@ -422,9 +430,13 @@ def estimate_median_pi(s, d):
     return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", of="median", error="pi"), 6)  # prices have two digits and the shares of the interpolation three: no ties
 
 
-@query()
+@query("SELECT o_orderpriority, count(*) AS n, round(avg(o_totalprice), 4) AS y, true AS within, true AS narrow FROM orders GROUP BY o_orderpriority")
 def estimate_bootstrap(s, d):
-    return _rounded(r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", error="ci", replicates=200))
+    """The bounds are random: they hold the mean and are within four standard errors of it."""
+    bars = r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", error="ci", replicates=200)
+    se = r.estimate(_orders(s, d), "o_orderpriority", "o_totalprice", error="se", distances=True).select("o_orderpriority", F.col("ymax").alias("se"))
+    narrow = (F.col("ymax") - F.col("ymin")).between(F.col("se"), 8 * F.col("se"))
+    return _rounded(bars.join(se, "o_orderpriority").select("o_orderpriority", "n", "y", "ymin", "ymax", narrow.alias("narrow"))).select("o_orderpriority", "n", "y", F.col("y").between(F.col("ymin"), F.col("ymax")).alias("within"), "narrow")
 
 
 @query("""
