@@ -254,13 +254,14 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 enough = [overlap(p, q) >= similarity / (1 + similarity) * n - 1e-6 for p, q, n in zip(x, y, b.column(4).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(enough, pa.bool_()))
 
+        pairs = written(pairs, "pairs")
         ends = broadcast_below(written(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct(), "ends"), 4_000_000)
         held = sets.join(ends, "set", "left_semi")
         side = lambda df, c, what: df.select(F.col("set").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in what])
-        both = pairs.join(side(held, "a", ["sketch", "n"]), "a").join(side(held, "b", ["sketch", "n"]), "b")
+        both = broadcast_below(pairs, 1_000_000).join(side(held, "a", ["sketch", "n"]), "a").join(side(held, "b", ["sketch", "n"]), "b")
         left = written(both.select("a", "b", "sketch_a", "sketch_b", F.col("n_a") + F.col("n_b")).mapInArrow(possible, "a long, b long"), "possible")
         held = written(texts_of(left.select(F.col("a").alias("set")).union(left.select("b")).distinct()).mapInArrow(shingles, "set long, shingles array<long>"), "shingles")
-        both = left.join(side(held, "a", ["shingles"]), "a").join(side(held, "b", ["shingles"]), "b")
+        both = broadcast_below(left, 1_000_000).join(side(held, "a", ["shingles"]), "a").join(side(held, "b", ["shingles"]), "b")
         common = F.size(F.array_intersect("shingles_a", "shingles_b"))
         return written(both.where(common / (F.size("shingles_a") + F.size("shingles_b") - common) >= similarity).select("a", "b"), "alike")
 
@@ -280,25 +281,27 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seen = firsts.select("token", one.alias("me"), F.lag(one).over(around).alias("last"), F.first(one).over(around).alias("least"), F.lead("n").over(around).alias("more"))
     met = written(seen.where("last IS NOT NULL OR more IS NOT NULL"), "met")
     near = [met.where("last IS NOT NULL").where(fits("me", other)).select(F.col(f"{other}.set").alias("a"), F.col("me.set").alias("b")) for other in ("last", "least")]
-    alike = checked(written(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"))
+    alike = checked(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     component = grouped(alike)
 
     def rest(left: DataFrame, held_by: DataFrame, fine: bool, whole: bool) -> DataFrame:
-        """(token, a, b): pairs of different groups that can be alike by their sketches, found in the lists
-        left (token, set, n, group, k): enough to connect all in a list, or with whole each one."""
+        """(token, a, b, more): pairs of different groups that can be alike by their sketches, found in the lists
+        left (token, set, n, group, k): enough to connect all in a list, or with whole each one. more: whether the list has others."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for held in _runs(batches):
                 token, i, j = held[0][:3]
                 mine, theirs = ([r[4:] for r in held if r[3] == side] for side in (i, j))
-                found = list(sketch_links(mine, None if i == j else theirs, similarity, fine, whole))
+                left_out: list = []
+                found = list(sketch_links(mine, None if i == j else theirs, similarity, fine, whole, left_out=left_out))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in ([token] * len(found), *zip(*found, strict=True))], names=["token", "a", "b"])
+                    made = [pa.array(c, pa.int64()) for c in ([token] * len(found), *zip(*found, strict=True))]
+                    yield pa.RecordBatch.from_arrays([*made, pa.array([bool(left_out)] * len(found))], names=["token", "a", "b", "more"])
 
         own = F.pmod(F.xxhash64("set"), F.col("k")).cast("int").alias("own")
         rows = left.join(held_by, "set").select("*", own, F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
         rows = rows.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set", "n", "group", "sketch")
-        return written(rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "set").mapInArrow(run, "token long, a long, b long"), "rest")
+        return written(rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "set").mapInArrow(run, "token long, a long, b long, more boolean"), "rest")
 
     def in_groups(rows: DataFrame) -> DataFrame:
         return rows.join(broadcast_below(component, 1_000_000), "set", "left").withColumn("group", F.coalesce("component", "set")).drop("component")
@@ -307,7 +310,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     facts = lists.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("sets"), *[F.bit_xor(F.xxhash64("set", F.lit(i))).alias(f"of{i}") for i in (0, 1)])
     # shingles with the same sets are compared once
     mixed = facts.where("low <> high").groupBy("sets", "of0", "of1").agg(F.min("token").alias("token")).select("token", F.ceil(F.col("sets") / piece).cast("int").alias("k"))
-    lists = written(lists.join(mixed, "token"), "lists")
+    lists = written(lists.join(broadcast_below(written(mixed, "mixed"), 2_000_000), "token"), "lists")
     held_by = sets.select("set", "sketch")
     for fine, whole in ((False, False), (True, False), (True, True)):
         if fine and not whole:
@@ -316,12 +319,12 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         more = checked(pairs.select("a", "b").distinct())
         alike = alike.unionByName(more)
         component = grouped(alike)
-        # where all that the sketches linked is alike no other pair joins two groups; other lists are compared
-        # again, by finer sketches, and if these fail too pair by pair
-        failed = written(pairs.join(more, ["a", "b"], "left_anti").select("token").distinct(), "failed")
+        # where all that the sketches linked is alike, or nothing was left out, no other pair joins two groups;
+        # other lists are compared again, by finer sketches, and if these fail too pair by pair
+        failed = written(pairs.where("more").join(more, ["a", "b"], "left_anti").select("token").distinct(), "failed")
         if failed.isEmpty():
             break
-        lists = written(in_groups(lists.drop("group")).join(failed, "token"), "lists")
+        lists = written(in_groups(lists.drop("group")).join(broadcast_below(failed, 2_000_000), "token"), "lists")
 
     stays = sets.join(component, "set", "left").groupBy(F.coalesce("component", "set").alias("component")).agg(F.min("best").alias("stays"))
     gone = base.select("key", row.alias("row")).join(sets.select("key", "set"), "key").join(component, "set", "left").withColumn("component", F.coalesce("component", "set"))
@@ -406,11 +409,11 @@ class Postings:
         return v << 32 | np.arange(len(v)) - np.repeat(new, np.diff(np.append(new, len(v))))
 
 
-def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: float, fine: bool, whole: bool, block: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: float, fine: bool, whole: bool, block: int = 1 << 22, left_out: list | None = None) -> Iterator[tuple[int, int]]:
     """Pairs (set, set) of rows (set, n, group, sketch) in different groups whose sketches, all fine or
     none, have enough in common: within mine, or with theirs between the two. whole: each pair, else
     as many as connect them. Sets are compared with larger ones, in the buckets of the smaller one; at
-    most about `block` counts are held at once."""
+    most about `block` counts are held at once. left_out gets a mark for each pair that others connect."""
     rows = sorted(((r[1], r[0], r[2], r[3], side) for side, given in enumerate((mine, theirs or [])) for r in given))
     parent = {r[2]: r[2] for r in rows}
     if len(parent) == 1:
@@ -447,6 +450,8 @@ def sketch_links(mine: list[tuple], theirs: list[tuple] | None, similarity: floa
                     if whole or g != h:
                         parent[g] = h
                         yield min(rows[k][1], rows[m][1]), max(rows[k][1], rows[m][1])
+                    elif left_out is not None and not left_out:
+                        left_out.append(True)
         a = b
 
 

@@ -172,7 +172,8 @@ def test_bpe(spark, docs, none, name):
     path = queries.tokenizer_path(name)
     theirs, ours = Tokenizer.from_file(path), bpe.Bpe(json.load(open(path)), cache=50)
     rng = random.Random(2)
-    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    # of the long runs of ideographs, syllables and unassigned code points one in 17
+    every = [c for c in range(0x110000) if (c < 0x3400 or 0xA000 <= c < 0xAC00 or 0xF900 <= c < 0x20000 or c % 17 == 0) and not 0xD800 <= c < 0xE000]
     for i in range(0, len(every), 40_000):
         texts = [f"a{chr(c)}b 1{chr(c)}?!{chr(c)} {chr(c)}" for c in every[i : i + 40_000]]
         assert [t for t, e in zip(texts, theirs.encode_batch(texts, add_special_tokens=False), strict=True) if np.frombuffer(ours.encode(t), "<u4").tolist() != e.ids] == []
