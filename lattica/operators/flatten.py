@@ -3,7 +3,7 @@
 Each table is a list of SQL expressions over the parent row (id and name already made) and, for a
 child table, over the element `e` of one of its arrays; an empty or null array gives no rows. All
 tables come from one parsed DataFrame. Ids that were merged or deleted are attached to the works
-that name them, as arrays: these works alone are written and joined back, by broadcast while they are few.
+that name them, as arrays: these works' ids alone are joined back, by broadcast while they are few. The source is read once.
 Where the parsed rows have a source_file, so has each row of each table.
 """
 
@@ -136,9 +136,9 @@ def first_rows(df: DataFrame, key: str, *order: Column) -> DataFrame:
 
 
 def parents(entity: str, nested: DataFrame, skip: DataFrame | None = None, distinct: bool = True) -> DataFrame:
-    """nested with integer id and name, without rows that have no id or a skipped one. distinct keeps one row per id: the latest."""
+    """nested with integer id and name, without rows that have no id, none that is a number, or a skipped one. distinct keeps one row per id: the latest."""
     spec = ENTITIES[entity]
-    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn(spec.id, F.expr(spec.key)).withColumn(spec.name, F.col("display_name"))
+    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn(spec.id, F.expr(spec.key)).where(F.col(spec.id).isNotNull()).withColumn(spec.name, F.col("display_name"))
     if skip is not None:
         rows = rows.join(skip.select(F.col("id").alias("_skip")), F.col(spec.id) == F.col("_skip"), "left_anti")
     return first_rows(rows, spec.id, F.desc_nulls_last("updated_date"), F.xxhash64("display_name", "id")) if distinct else rows
@@ -195,7 +195,7 @@ def _kept(x: Column, skipped: str) -> Column:
 def work_parents(nested: DataFrame, skip: dict[str, DataFrame] | None = None, latest_only: bool = False) -> DataFrame:
     """works with integer ids in place of URLs, skipped ids removed from the arrays, and the derived counts and flags."""
     skip = skip or {}
-    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn("work_id", entity_id(F.col("id")))
+    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn("work_id", entity_id(F.col("id"))).where("work_id IS NOT NULL")
     if "works" in skip:
         rows = rows.join(skip["works"].select(F.col("id").alias("_skip")), F.col("work_id") == F.col("_skip"), "left_anti")
     if latest_only:
@@ -210,6 +210,8 @@ def work_parents(nested: DataFrame, skip: dict[str, DataFrame] | None = None, la
         "works": F.concat("_refs", "_related"), "authors": ints(F.transform("authorships", lambda a: a["author"]["id"])), "institutions": ints(lineages),
         "sources": ints(F.transform(places, lambda p: p["source"]["id"])),
     }
+    if any(k in skip for k in named_ids):
+        rows = written(rows, "works")  # the source is read once: the skipped ids come from narrow columns of this table
     rows = _with_skipped(rows, "work_id", named_ids, skip)
 
     authors = F.filter("authorships", lambda a: entity_id(a["author"]["id"]).isNotNull() & _kept(entity_id(a["author"]["id"]), "_no_authors"))
@@ -288,6 +290,9 @@ WORKS = {
 }
 
 
+TOPIC_COLUMNS = "topic_id bigint, topic_name string, subfield_id bigint, subfield_name string, field_id bigint, field_name string, domain_id bigint, domain_name string"
+
+
 def work_topics(works: DataFrame, topics: DataFrame) -> DataFrame:
     """Topics of works with their hierarchy; the first one is primary. Unknown topics have null names."""
     rows = works.select("work_id", "publication_year", *_origin(works), F.posexplode("topics").alias("pos", "t")).select("work_id", "publication_year", *_origin(works), (F.col("pos") == 0).alias("is_primary_topic"), F.col("t.score").alias("score"), topic_id(F.col("t.id")).alias("topic_id"))

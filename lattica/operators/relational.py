@@ -235,6 +235,14 @@ def inconsistent_keys(df: DataFrame, key: str, inner: str) -> DataFrame:
     return one.unionByName(twice)
 
 
+def repaired_keys(df: DataFrame, key: str, inner: str) -> DataFrame:
+    """Rows under the key inside the document: a key that is null or differs is replaced by it, rows without an inner
+    key go, and of rows that repeat a key one stays, that whose key was right before, then the first by a hash of the row."""
+    was = F.col(key).eqNullSafe(F.col(inner))
+    rows = df.where(F.col(inner).isNotNull()).withColumns({"_was": was, "_order": F.xxhash64(*df.columns), key: F.col(inner)})
+    return keep_first(rows, [key], F.desc("_was"), "_order").drop("_was", "_order")
+
+
 def required(df: DataFrame, what: str) -> DataFrame:
     """df, or an error if it has no rows."""
     if df.isEmpty():

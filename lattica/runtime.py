@@ -31,12 +31,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    """(file system, path) in Hadoop's terms."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, at = _place(spark, path)
+    return system.exists(at)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it does not exist."""
+    system, at = _place(spark, path)
+    return sorted(x.getPath().getName() for x in system.listStatus(at) if x.isDirectory()) if system.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, at = _place(spark, path)
+    system.delete(at, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the files of a table made by written() that nothing reads any more."""
-    jvm = df.sparkSession._jvm
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, folder)
 
 
 def broadcast_below(df: DataFrame, max_rows: int, max_bytes: int = 128 << 20) -> DataFrame:
