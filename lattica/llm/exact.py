@@ -1,7 +1,8 @@
 """Exact deduplication by an exchange of Golomb-coded fingerprints.
 
-A partition sends each owner of a hash range its sorted hashes, Golomb-Rice coded, and gets back
-a bitmap of those that occur elsewhere too. Only rows under a set bit are suspects; only their
+A partition sends each owner of a hash range its sorted distinct hashes, Golomb-Rice coded, with a bitmap of
+those that it has several times, and gets back a bitmap of those that occur twice or elsewhere too. So an owner
+gets a text's hash once from each partition, however many copies there are. Only rows under a set bit are suspects; only their
 texts are shuffled, grouped byte by byte with a partial aggregate before the shuffle, so a group
 of copies of any size sends one text from each task.
 """
@@ -75,33 +76,33 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if not kept:
             return
         rows, sender = pa.Table.from_batches(kept).combine_chunks(), TaskContext.get().partitionId()
-        hashes = rows["fp"].to_numpy()
-        order = np.argsort(hashes, kind="stable")
+        # a hash is sent once, however many rows of this sender have it, with a bit for those that repeat here
+        hashes, of, counts = np.unique(rows["fp"].to_numpy(), return_inverse=True, return_counts=True)
         owner = (hashes.astype(np.float64) * parts / 2**HASH_BITS).astype(np.int64)
-        cuts = np.searchsorted(owner[order], np.arange(parts + 1))
-        at = np.empty(len(hashes), dtype=np.int64)
-        at[order] = np.arange(len(hashes))
-        at -= cuts[owner]
-        n = len(hashes)
+        cuts = np.searchsorted(owner, np.arange(parts + 1))
+        at = np.arange(len(hashes)) - cuts[owner]
+        n = len(of)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, sender)), pa.array(owner), pa.array(at), rows["doc_id"].combine_chunks(), rows["fp"].combine_chunks(), rows["sha"].combine_chunks(), pa.nulls(n, pa.binary())],
+            [pa.array(np.full(n, sender)), pa.array(owner[of]), pa.array(at[of]), pa.array(np.arange(n)), rows["doc_id"].combine_chunks(), rows["fp"].combine_chunks(), rows["sha"].combine_chunks(), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
             names=names,
         )
         full = np.flatnonzero(np.diff(cuts))
-        coded = [golomb_encode(hashes[order[cuts[o] : cuts[o + 1]]]) for o in full]
+        coded = [golomb_encode(hashes[cuts[o] : cuts[o + 1]]) for o in full]
+        again = [np.packbits(counts[cuts[o] : cuts[o + 1]] > 1).tobytes() for o in full]
         m = len(full)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, sender)), pa.array(full), pa.nulls(m, pa.int64()), pa.nulls(m, rows["doc_id"].type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(coded, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(m, sender)), pa.array(full), *[pa.nulls(m, pa.int64())] * 2, pa.nulls(m, rows["doc_id"].type), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(coded, pa.binary()), pa.array(again, pa.binary())], names=names)
 
-    names = ["sender", "owner", "pos", "doc_id", "fp", "sha", "coded"]
+    names = ["sender", "owner", "pos", "row", "doc_id", "fp", "sha", "coded", "again"]
     narrow = texts.select("doc_id", _hashed("norm").alias("fp"), F.unhex(F.sha2("norm", 256)).alias("sha"))
-    sent = written(narrow.mapInArrow(send, f"sender long, owner long, pos long, doc_id {kind}, fp long, sha binary, coded binary"), "sent")
-    rows = sent.where("pos IS NOT NULL").drop("coded")
+    sent = written(narrow.mapInArrow(send, f"sender long, owner long, pos long, row long, doc_id {kind}, fp long, sha binary, coded binary, again binary"), "sent")
+    rows = sent.where("pos IS NOT NULL").drop("coded", "again")
 
     def answer(lists: pd.DataFrame) -> pd.DataFrame:
         held = [golomb_decode(x) for x in lists["coded"]]
         every = np.concatenate(held)
         _, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-        twice = counts[inverse] > 1
+        here = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(h)).astype(bool) for x, h in zip(lists["again"], held, strict=True)]
+        twice = (counts[inverse] > 1) | np.concatenate(here)
         out, a = [], 0
         for x in held:
             bits = twice[a : a + len(x)]
@@ -109,16 +110,16 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             out.append(np.packbits(np.pad(bits, (0, -len(bits) % 64)), bitorder="little").view(np.int64))
         return pd.DataFrame({"sender": lists["sender"], "owner": lists["owner"], "bits": out})
 
-    bitmaps = sent.where("coded IS NOT NULL").select("sender", "owner", "coded").groupBy("owner").applyInPandas(answer, "sender long, owner long, bits array<long>")
+    bitmaps = sent.where("coded IS NOT NULL").select("sender", "owner", "coded", "again").groupBy("owner").applyInPandas(answer, "sender long, owner long, bits array<long>")
     bit = F.expr("shiftrightunsigned(element_at(bits, cast(pos div 64 as int) + 1), cast(pos % 64 as int)) & 1")
-    suspects = written(rows.join(bitmaps, ["sender", "owner"]).where(bit == 1).select("doc_id", "fp", "sha", "sender", "owner", "pos"), "suspects")
+    suspects = written(rows.join(bitmaps, ["sender", "owner"]).where(bit == 1).select("doc_id", "fp", "sha", "sender", "row"), "suspects")
 
     doubted = broadcast_below(written(suspects.select("fp").distinct(), "doubted"), broadcast_rows)
     verified = texts.withColumn("fp", _hashed("norm")).join(doubted, "fp", "left_semi").groupBy("norm").agg(F.count("*").alias("group_size"))
     verified = verified.where("group_size > 1").select(F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size")
-    first = suspects.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sender", "owner", "pos")).alias("first"))
+    first = suspects.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sender", "row")).alias("first"))
     groups = written(verified.join(first, "sha"), "groups")
-    same = F.struct("sender", "owner", "pos") == F.struct("first.sender", "first.owner", "first.pos")
+    same = F.struct("sender", "row") == F.struct("first.sender", "first.row")
     return rows.join(groups, "sha", "left").select(
         "doc_id",
         "sha",
@@ -137,8 +138,9 @@ def distinct_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = duplicate_groups(docs, id_col, text_col).where("group_size > 1").groupBy("doc_id", "sha")
     members = written(members.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).select(F.col("doc_id").alias("m_id"), F.col("sha").alias("m_sha"), "kept", "n"), "members")
     sha = F.unhex(F.sha2(normalised(F.col(text_col)), 256))
-    marked = docs.join(broadcast_below(members, broadcast_rows), F.col(id_col).eqNullSafe(F.col("m_id")) & (sha == F.col("m_sha")), "left")
-    alone = marked.where("n IS NULL OR (kept AND n = 1)").select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("d_id"), sha.alias("d_sha"))  # so that no name of docs meets one of these
+    marked = whole.join(broadcast_below(members, broadcast_rows), F.col("d_id").eqNullSafe(F.col("m_id")) & (F.col("d_sha") == F.col("m_sha")), "left")
+    alone = marked.where("n IS NULL OR (kept AND n = 1)").select("doc.*")
     if members.where("kept AND n > 1").isEmpty():
         return alone
-    return alone.unionByName(marked.where("kept AND n > 1").dropDuplicates(["m_id", "m_sha"]).select(*docs.columns))
+    return alone.unionByName(marked.where("kept AND n > 1").dropDuplicates(["m_id", "m_sha"]).select("doc.*"))
