@@ -174,7 +174,7 @@ class Model:
 
 
 class Evidence:
-    """Mean over a text's words of what their ratios exceed MARGIN by; words met are kept, up to a number."""
+    """Mean over a text's words, long ones counting as their pieces, of what the ratios exceed MARGIN by; words met are kept, up to a number."""
 
     def __init__(self, model: Model, size: int = 200_000) -> None:
         self.model, self.size, self.known = model, size, {}
@@ -187,7 +187,7 @@ class Evidence:
             for c in range(0, len(kinds), 20_000):
                 few = kinds[c : c + 20_000]
                 over.update(zip(few, np.maximum(self.model.ratios(few) - MARGIN, 0).tolist(), strict=True))
-            self.known.update(zip(some, (sum(map(over.__getitem__, s)) for s in spelt), strict=True))
+            self.known.update(zip(some, ((sum(map(over.__getitem__, s)), len(s)) for s in spelt), strict=True))
 
     def __call__(self, texts: list[str | None]) -> list[float]:
         out, a = [], 0
@@ -200,7 +200,9 @@ class Evidence:
             if len(self.known) > self.size:
                 self.known.clear()
             self.learn(list(set().union(*held) - self.known.keys()))
-            out += [sum(map(self.known.__getitem__, words)) / max(1, len(words)) for words in held]
+            for words in held:
+                found = list(map(self.known.__getitem__, words))
+                out.append(sum(x for x, _ in found) / max(1, sum(n for _, n in found)))
         return out
 
 
