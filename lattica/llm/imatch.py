@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import broadcast_below, written
 
-#: Terms that the lexicon has at most; of more in the band, a hash chooses so many. Bits of the bitmap for each.
+#: Terms that the lexicon has at most; of more in the band, those in most documents. Bits of the bitmap for each.
 MOST_TERMS, BITS_PER_TERM = 1 << 20, 12
 #: A subset takes one of so many terms, for short, usual and long texts; so many subsets of each density.
 DENSITIES, SUBSETS = (64, 512, 4096), 64
@@ -51,20 +51,27 @@ class Lexicon:
         return bit(first) & bit(second)
 
 
-def lexicon_table(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = (0.2, 0.8)) -> DataFrame:
+def lexicon_table(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = (0.2, 0.8), most: int = MOST_TERMS) -> DataFrame:
     """(term): hashes of the terms in the band, which is in units of log(number of documents): (0.2, 0.8)
-    keeps terms in more than N ** 0.2 and fewer than N ** 0.8 documents. All documents count."""
+    keeps terms in more than N ** 0.2 and fewer than N ** 0.8 documents. All documents count. If over `most` terms lie in
+    it, the band is narrowed from its rare end, by sixteenths of an octave of document frequency, until they fit."""
     n = math.log(max(2, docs.count()))
     terms = docs.select(F.explode(_term_hashes(F.coalesce(F.col(text_col).cast("string"), F.lit("")))).alias("term")).groupBy("term").count()
-    return written(terms.where(F.log("count").between((1 - band[1]) * n, (1 - band[0]) * n)).select("term"), "lexicon")
+    level = F.floor(F.log2("count") * 16).cast("int").alias("level")
+    held = written(terms.where(F.log("count").between((1 - band[1]) * n, (1 - band[0]) * n)).select("term", level), "lexicon")
+    total, least = 0, 0
+    for r in sorted(held.groupBy("level").count().collect(), reverse=True):  # at most 16 levels an octave
+        total += r["count"]
+        if total > most:
+            least = r["level"] + 1
+            break
+    return held.where(F.col("level") >= least).select("term")
 
 
 def lexicon(docs: DataFrame, text_col: str = "text", band: tuple[float, float] = (0.2, 0.8)) -> Lexicon:
     """The bitmap of lexicon_table(): at most 2 MB are gathered, however large the band's vocabulary is."""
     terms = lexicon_table(docs, text_col, band)
     n = terms.count()
-    if n > MOST_TERMS:
-        terms, n = terms.where(F.pmod(F.xxhash64("term", F.lit(3)), F.lit(1_000_000)) < int(1_000_000 * MOST_TERMS / n)), MOST_TERMS
     empty = Lexicon(max(10, (BITS_PER_TERM * n).bit_length()), {})
     at = terms.select(F.explode(F.array(*empty.places(F.col("term")))).alias("at"))
     words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("held")).collect()
@@ -76,6 +83,14 @@ def lexicon_terms(text: Column, lex: Lexicon) -> Column:
     return F.sort_array(F.filter(_term_hashes(F.coalesce(text, F.lit(""))), lex.has))
 
 
+def fingerprint_terms(text: Column, lex: Lexicon) -> Column:
+    """lexicon_terms(), or all distinct terms of a text without any of them, or the text's own hash where it has no words:
+    so texts that are not equal are not alike for want of terms."""
+    text = F.coalesce(text, F.lit(""))
+    both = F.transform(F.array(_term_hashes(text)), lambda h: F.struct(h.alias("all"), F.filter(h, lex.has).alias("known")))  # hashes are bound once
+    return F.transform(both, lambda x: F.sort_array(F.when(F.size(x["known"]) > 0, x["known"]).when(F.size(x["all"]) > 0, x["all"]).otherwise(F.array(F.xxhash64(text)))))[0]
+
+
 def _bits(term: Column, at: int, mask: int) -> Column:
     return F.shiftright(term, at).bitwiseAND(F.lit(mask))
 
@@ -176,11 +191,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lex = lexicon(docs, text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    base = base.select("*", lexicon_terms(F.col("text"), lex).alias("terms")).select("doc_id", "text", subset_hashes(F.col("terms")).alias("own"))
+    base = base.select("*", fingerprint_terms(F.col("text"), lex).alias("terms")).select("doc_id", "text", subset_hashes(F.col("terms")).alias("own"))
     rows = with_next(base, "doc_id", "text", ["own"])
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "own", "next_own", F.concat(F.left("text", n - third), F.left("next_text", third)).alias("edited"))
-    rows = rows.select("*", lexicon_terms(F.col("edited"), lex).alias("terms"))
+    rows = rows.select("*", fingerprint_terms(F.col("edited"), lex).alias("terms"))
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "next_own", subset_hashes(F.col("terms")).alias("changed"))
     return rows.select("doc_id", "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"), likeness("own", "changed").alias("near_edited"), likeness("own", "next_own").alias("near_next"))
