@@ -330,7 +330,8 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gone = base.select("key", row.alias("row")).join(sets.select("key", "set"), "key").join(component, "set", "left").withColumn("component", F.coalesce("component", "set"))
     gone = gone.join(stays, "component").where(~F.col("row").eqNullSafe(F.col("stays")))
     gone = broadcast_below(written(gone.select(F.col("row.id").alias("gone_id"), F.col("row.h").alias("gone_h")).distinct(), "gone"), 4_000_000)
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")) & (key == F.col("gone_h")), "left_anti")
+    whole = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("d_id"), key.alias("d_h"))  # so that no name of docs meets one of these
+    return whole.join(gone, F.col("d_id").eqNullSafe(F.col("gone_id")) & (F.col("d_h") == F.col("gone_h")), "left_anti").select("doc.*")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
