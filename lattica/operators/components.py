@@ -12,6 +12,8 @@ from ..runtime import dropped, written
 
 #: Edges up to which one task joins them.
 FEW = 200_000
+#: Vertices of which a task keeps a forest at a time.
+HELD = 2_000_000
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -34,22 +36,72 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(map(top, ids), kind)], names=["id", "component"])
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", few: int = FEW) -> DataFrame:
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) from each vertex of a task to the smallest one that the task's edges join it to: as few as its vertices.
+    A task with more vertices than HELD gives a forest for each part of its edges."""
+    parent: dict = {}
+    kind = None
+
+    def top(x):
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[p]
+        return x
+
+    def forest() -> pa.RecordBatch:
+        inner = {p for x, p in parent.items() if p != x}
+        ids = [x for x, p in parent.items() if p != x or x not in inner]  # a vertex by itself stays as a loop
+        tops = list(map(top, ids))
+        return pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(tops, kind)], names=["u", "v"])
+
+    for b in batches:
+        kind = b.schema.field(0).type
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            x, y = top(u), top(v)
+            if x < y:
+                parent[y] = x
+            elif y < x:
+                parent[x] = y
+        if len(parent) > HELD:
+            yield forest()
+            parent.clear()
+    if parent:
+        yield forest()
+
+
+def contracted(pairs: DataFrame, fan_in: int = 4, width: int = 2_000_000) -> DataFrame:
+    """Edges (u, v) with the same components, fewer of them: each task keeps a spanning forest of its edges, then the forests of
+    fan_in tasks meet in one, as long as that leaves at most `width` edges to a task and takes away a tenth of all."""
+    kind = pairs.schema["u"].dataType.simpleString()
+    now = written(pairs.mapInArrow(_forests, f"u {kind}, v {kind}"), "forest")
+    while (tasks := now.rdd.getNumPartitions()) > 1:
+        n = now.count()
+        fewer = max(1, tasks // fan_in, -(-n // width))
+        if fewer >= tasks:
+            break
+        after = written(now.coalesce(fewer).mapInArrow(_forests, f"u {kind}, v {kind}"), "forest")
+        dropped(now)
+        now = after
+        if now.count() > 0.9 * n:
+            break
+    return now
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", few: int = FEW, local: bool = True) -> DataFrame:
     """(id, component) for each vertex of the undirected graph; component is its smallest vertex.
 
-    Each round points every larger neighbour of a vertex to the smallest one around it (large
-    star), then every smaller one (small star); a round roughly halves the depth, so rounds grow
-    with the logarithm of the diameter. Minima are aggregated before the shuffle and written as a
-    table, so a hub's edges meet them in a join that AQE can split. At most `few` edges are joined in
-    one task. Self loops give a vertex of its own; rows with a null end are ignored; repeated edges
-    count once; an empty input gives no rows. Vertices are integers or binary; text orders by its bytes.
+    First each task reduces its own edges to a spanning forest, without a shuffle (contracted(); local=False leaves that out). If at
+    most `few` edges are left, one task joins them. Else come rounds: each points every larger neighbour of a vertex to the smallest
+    one around it (large star), then every smaller one (small star); a round roughly halves the depth, so rounds grow with the
+    logarithm of the diameter. Minima are aggregated before the shuffle and written as a table, so a hub's edges meet them in a join
+    that AQE can split. Self loops give a vertex of its own; rows with a null end are ignored; repeated edges count once; an empty
+    input gives no rows. Vertices are integers or binary; text orders by its bytes.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    once = written(pairs.distinct(), "edges")
+    once = contracted(pairs) if local else written(pairs.distinct(), "edges")
     if once.count() <= few:
         kind = once.schema["u"].dataType.simpleString()
         return written(once.coalesce(1).mapInArrow(_joined, f"id {kind}, component {kind}"), "components")
-    alone = once.where("u = v").select("u", "v")
+    alone = once.where("u = v").select("u", "v").distinct()
     now = written(once.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     while (state := now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != before:

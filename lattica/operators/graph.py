@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import vertex_name
 from ..functions.values import pair_weight
+from ..runtime import broadcast_below, written
 from .components import connected_components
 from .relational import counts_on_edges, induced_edges, keep_first
 
@@ -164,15 +165,35 @@ def is_bipartite(edges: DataFrame) -> DataFrame:
     return sides.agg(F.coalesce(F.min("n") == 2, F.lit(True)).alias("bipartite"))
 
 
-def projection(rows: DataFrame, left: str, right: str, most: int | None = None) -> DataFrame:
+def dealt_pairs(one: DataFrame, block: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Both sides (l, r, i, j) of a self join of distinct (l, r) on r, i and j, under which each pair l < m of an r meets once.
+
+    The members of an r with more than `block` of them are dealt into blocks by a hash; each pair of blocks is a key of its own, so
+    no key holds more than about two blocks of rows, however large r is. The others have the only key (0, 0).
+    """
+    sizes = one.groupBy("r").agg(F.count("*").alias("c")).where(F.col("c") > block).select(F.col("r").alias("_r"), F.ceil(F.col("c") / block).cast("int").alias("blocks"))
+    large = written(sizes, "large")  # at most a row for `block` rows
+    if large.isEmpty():
+        alone = one.select("l", "r", F.lit(0).alias("i"), F.lit(0).alias("j"))
+        return alone, alone
+    placed = one.join(broadcast_below(large, 200_000), F.col("r") == F.col("_r"), "left").select("l", "r", F.coalesce("blocks", F.lit(1)).alias("n"))
+    placed = placed.withColumn("b", F.pmod(F.xxhash64("l"), F.col("n")).cast("int"))
+    first = placed.select("l", "r", F.col("b").alias("i"), F.explode(F.sequence(F.col("b"), F.col("n") - 1)).alias("j"))
+    second = placed.select("l", "r", F.explode(F.sequence(F.lit(0), F.col("b"))).alias("i"), F.col("b").alias("j"))
+    return first, second
+
+
+def projection(rows: DataFrame, left: str, right: str, most: int | None = None, block: int = 1000) -> DataFrame:
     """(a, b, weight): pairs a < b of `left` and how many of `right` they share. most leaves out members of
-    `right` with more of `left` than that, as their pairs grow with the square."""
+    `right` with more of `left` than that, as their pairs grow with the square; without it nothing is left out, and large
+    members are joined block by block (dealt_pairs). Weights are added up before the exchange. Null ends are left out, repeated rows count once."""
     one = rows.select(F.col(left).alias("l"), F.col(right).alias("r")).where("l IS NOT NULL AND r IS NOT NULL").distinct()
     if most is not None:
         large = one.groupBy("r").count().where(F.col("count") > most).select("r")
         one = one.join(large, "r", "left_anti")
-    other = one.select(F.col("l").alias("m"), "r")
-    return one.join(other, "r").where("l < m").groupBy(F.col("l").alias("a"), F.col("m").alias("b")).agg(F.count("*").alias("weight"))
+    first, second = dealt_pairs(written(one, "shared"), block)
+    met = first.join(second.withColumnRenamed("l", "m"), ["r", "i", "j"]).where("i < j AND l <> m OR i = j AND l < m")
+    return met.groupBy(F.least("l", "m").alias("a"), F.greatest("l", "m").alias("b")).agg(F.count("*").alias("weight"))
 
 
 def citation_weights(edges: DataFrame, author_counts: DataFrame, key: str, count: str, drop_zero: bool = True) -> DataFrame:

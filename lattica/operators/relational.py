@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import jaccard
+from ..runtime import broadcast_below, written
 from ..sources.sinks import write_parquet
 
 
@@ -145,32 +146,93 @@ def cardinality(df: DataFrame, cols: list[str], threshold: float = 0.05, most: f
     return rows.withColumn("ratio", F.least(ratio, F.lit(most))).withColumn("categorise", ratio < threshold)
 
 
-def estimate(df: DataFrame, key: str, value: str, of: str = "mean", error: str = "se", level: float | None = None, distances: bool = False, replicates: int = 1000, seed: int = 1) -> DataFrame:
+def estimate(df: DataFrame, key: str, value: str, of: str = "mean", error: str = "se", level: float | None = None, distances: bool = False, replicates: int = 1000, seed: int = 1, most: int = 100_000) -> DataFrame:
     """(key, n, y, ymin, ymax) per group: mean or median with an error bar, nulls left out.
 
     error: sd or se times level (1), pi the percentiles of the level (95), ci those of `replicates`
     bootstrap estimates, for which each row has Poisson(1) weights made from a hash of group, value,
     number among equal values, seed and replicate. Groups of one value have no bar. distances gives lengths in place of bounds.
+    Percentiles are exact_percentiles(), so no task holds more than `most` values of a group.
     """
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(F.col(key).alias("k"), F.col(value).cast("double").alias("v"))
-    middle = F.avg("v") if of == "mean" else F.percentile("v", F.lit(0.5))
     tail = (1 - (level or 95) / 100) / 2
+    middle = F.avg("v")
     if error in ("sd", "se"):
         half = F.stddev_samp("v") * (level or 1) / (1 if error == "sd" else F.sqrt(F.count("v")))
-        out = rows.groupBy("k").agg(F.count("v").alias("n"), middle.alias("y"), half.alias("h")).select("k", "n", "y", (F.col("y") - F.col("h")).alias("ymin"), (F.col("y") + F.col("h")).alias("ymax"))
+        out = rows.groupBy("k").agg(F.count("v").alias("n"), middle.alias("y"), half.alias("h"))
+        if of == "median":
+            found = exact_percentiles(rows, ["k"], [0.5], most)
+            out = out.drop("y").join(found, out["k"].eqNullSafe(found["k"]), "left").drop(found["k"]).withColumn("y", F.col("p")[0])
+        out = out.select("k", "n", "y", (F.col("y") - F.col("h")).alias("ymin"), (F.col("y") + F.col("h")).alias("ymax"))
     else:
-        bounds = F.percentile("v", F.array(F.lit(tail), F.lit(1 - tail)))
-        out = rows.groupBy("k").agg(F.count("v").alias("n"), middle.alias("y"), bounds.alias("b"))
+        shares = [tail, 1 - tail, *([0.5] if of == "median" else [])]
         if error == "ci":
-            out = out.drop("b").join(_bootstrap(rows, of, replicates, seed).groupBy("k").agg(bounds.alias("b")), "k", "left")
-        out = out.select("k", "n", "y", F.col("b")[0].alias("ymin"), F.col("b")[1].alias("ymax"))
+            shares = shares[2:]
+        out = rows.groupBy("k").agg(F.count("v").alias("n"), *([middle.alias("y")] if of == "mean" else []))
+        found = exact_percentiles(rows, ["k"], shares, most) if shares else None
+        if error == "ci":
+            found = found.withColumnRenamed("p", "m") if found is not None else None
+            bars = exact_percentiles(_bootstrap(rows, of, replicates, seed, most), ["k"], [tail, 1 - tail], most)
+            out = out.join(bars, out["k"].eqNullSafe(bars["k"]), "left").drop(bars["k"])
+            if found is not None:
+                out = out.join(found, out["k"].eqNullSafe(found["k"]), "left").drop(found["k"]).withColumn("y", F.col("m")[0])
+        else:
+            out = out.join(found, out["k"].eqNullSafe(found["k"]), "left").drop(found["k"])
+            out = out.withColumn("y", F.col("p")[2]) if of == "median" else out
+        out = out.select("k", "n", "y", F.col("p")[0].alias("ymin"), F.col("p")[1].alias("ymax"))
     out = out.withColumns({c: F.when(F.col("n") > 1, F.col(c)) for c in ("ymin", "ymax")})
     if distances:
         out = out.withColumns({"ymin": F.col("y") - F.col("ymin"), "ymax": F.col("ymax") - F.col("y")})
     return out.withColumnRenamed("k", key)
 
 
-def _bootstrap(rows: DataFrame, of: str, replicates: int, seed: int) -> DataFrame:
+def exact_percentiles(rows: DataFrame, keys: list[str], shares: list[float], most: int = 100_000, weight: str | None = None, value: str = "v", ranges: int = 1024) -> DataFrame:
+    """(keys, p): of each group the percentiles at the shares (0 to 1), interpolated between neighbours, as an array in their order.
+
+    Groups of at most `most` rows go the plain way. Of larger ones only counts are taken: the values between a low and a
+    high bound fall into equal ranges, the one that holds the wanted rank is the next pair of bounds, and once at most
+    `most` rows, or equal values, lie between them, these are sorted. Counts are added up before the exchange, so a group
+    of any size is spread over all tasks; a pass divides typical values by hundreds. weight: a column of how often a row
+    counts (a whole number; rows without are left out). Null and NaN values are no values; null keys are a group; an empty table gives no rows.
+    """
+    w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    used = rows.select(*keys, F.col(value).cast("double").alias("v"), w.alias("w")).where("v IS NOT NULL AND NOT isnan(v) AND w > 0")
+    keyed = used.select(F.struct(*keys).alias("k"), "v", "w")
+    sizes = written(keyed.groupBy("k").agg(F.count("*").alias("held"), F.sum("w").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")), "sizes")
+    large = sizes.where(F.col("held") > most)
+    few = keyed.join(broadcast_below(large.select("k"), 100_000), "k", "left_anti") if not large.isEmpty() else keyed
+    plain = few.groupBy("k").agg(F.percentile("v", F.array(*map(F.lit, shares)), F.col("w")).alias("p"))
+    if large.isEmpty():
+        return plain.select("k.*", "p")
+    at = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(q) * (F.col("n") - 1)).alias("x")) for i, q in enumerate(shares)]))
+    wanted = large.select("k", at.alias("q"), "held", "low", "high")
+    ends = F.explode(F.array(F.floor("q.x"), F.ceil("q.x"))).alias("rank")
+    now = written(wanted.select("k", ends, F.lit(0).cast("bigint").alias("before"), "held", "low", "high").distinct(), "ranks")
+    open_ = (F.col("held") > most) & (F.col("low") < F.col("high"))
+    while not (cut := now.where(open_)).isEmpty():
+        span = F.col("high") / 2 - F.col("low") / 2  # halves: the difference of two doubles may be none
+        part = F.coalesce(F.floor((F.col("v") / 2 - F.col("low") / 2) / span * (ranges - 1)), F.lit(0))
+        slot = F.when(F.col("v") >= F.col("high"), ranges - 1).otherwise(F.least(F.greatest(part, F.lit(0)), F.lit(ranges - 2)))
+        met = keyed.join(broadcast_below(cut.select("k", "rank", "low", "high"), 100_000), "k").where("v BETWEEN low AND high")
+        counts = met.groupBy("k", "rank", slot.alias("slot")).agg(F.sum("w").alias("c"), F.count("*").alias("held"), F.min("v").alias("low"), F.max("v").alias("high"))
+        upto = F.sum("c").over(Window.partitionBy("k", "rank").orderBy("slot"))  # `ranges` rows at most
+        placed = counts.withColumn("upto", upto).join(cut.select("k", "rank", "before"), ["k", "rank"])
+        inside = (F.col("rank") >= F.col("before") + F.col("upto") - F.col("c")) & (F.col("rank") < F.col("before") + F.col("upto"))
+        after = placed.where(inside).select("k", "rank", (F.col("before") + F.col("upto") - F.col("c")).alias("before"), "held", "low", "high")
+        now = written(now.where(~open_).unionByName(after), "ranks")
+    near = keyed.join(broadcast_below(now.where("low < high"), 100_000), "k").where("v BETWEEN low AND high").groupBy("k", "rank", "before", "v").agg(F.sum("w").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy("k", "rank").orderBy("v"))
+    sorted_ = near.withColumn("upto", upto).where((F.col("rank") - F.col("before") >= F.col("upto") - F.col("c")) & (F.col("rank") - F.col("before") < F.col("upto")))
+    values = sorted_.select("k", "rank", "v").unionByName(now.where("low = high").select("k", "rank", F.col("low").alias("v")))
+    lower, upper = (values.select("k", F.col("rank").alias(r), F.col("v").alias(v)) for r, v in (("r0", "v0"), ("r1", "v1")))
+    both = wanted.select("k", "q", F.floor("q.x").alias("r0"), F.ceil("q.x").alias("r1")).join(lower, ["k", "r0"]).join(upper, ["k", "r1"])
+    share = F.col("q.x") - F.col("r0")
+    one = F.when(F.col("r0") == F.col("r1"), F.col("v0")).otherwise(F.col("v0") * (1 - share) + F.col("v1") * share)
+    spread = both.groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("q.i", one.alias("v")))), lambda x: x["v"]).alias("p"))
+    return plain.unionByName(spread).select("k.*", "p")
+
+
+def _bootstrap(rows: DataFrame, of: str, replicates: int, seed: int, most: int) -> DataFrame:
     """(k, v): estimates by replicate. Rows are multiplied by replicates in the map side of one aggregate."""
     numbered = rows.groupBy("k", "v").agg(F.count("*").alias("copies")).select("k", "v", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("i")).select("k", "v", "i", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("r"))
     u = (F.shiftrightunsigned(F.xxhash64("k", "v", "i", "r", F.lit(seed)), 11).cast("double") + 0.5) / F.lit(2.0**53)
@@ -180,8 +242,9 @@ def _bootstrap(rows: DataFrame, of: str, replicates: int, seed: int) -> DataFram
         chances.append(total)
         p /= k
     weighed = numbered.withColumn("w", sum(((u > c).cast("int") for c in chances), F.lit(0))).where("w > 0")
-    value = F.sum(F.col("v") * F.col("w")) / F.sum("w") if of == "mean" else F.percentile("v", F.lit(0.5), F.col("w"))
-    return weighed.groupBy("k", "r").agg(value.alias("v"))
+    if of == "median":
+        return exact_percentiles(weighed, ["k", "r"], [0.5], most, "w").select("k", F.col("p")[0].alias("v"))
+    return weighed.groupBy("k", "r").agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("v"))
 
 
 # windows
@@ -192,20 +255,82 @@ def companions(rows: DataFrame, work: str, author: str, date: str) -> DataFrame:
     return one.join(all_of, work).select(author, work, date, F.sort_array(F.array_remove("all", F.col(author))).alias("others"))
 
 
+def running_sums(df: DataFrame, key: str, order: list[str], values: list[str], most: int = 1_000_000) -> DataFrame:
+    """df with each of the values replaced by its sum up to the row, over the rows of the key in the given order (rows that are equal in it
+    in any order, so let it be complete); null values count as 0, null keys are one key. df should be cheap to read several times.
+
+    Keys of at most `most` rows are summed by a window. Rows of larger ones are dealt out by ranges of key and order, so that they are spread
+    over many tasks. Each range is summed by itself; what its first key carries from earlier ranges is one row for a range at most, which is broadcast.
+    """
+    large = written(df.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("n")).where(F.col("n") > most).select("_k"), "large")
+    upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    if large.isEmpty():
+        return df.withColumns({v: F.coalesce(F.sum(v).over(upto), F.lit(0)) for v in values})
+    hot = broadcast_below(large, 100_000)
+    few = df.join(hot, F.col(key).eqNullSafe(F.col("_k")), "left_anti").withColumns({v: F.coalesce(F.sum(v).over(upto), F.lit(0)) for v in values})
+    many = df.join(hot, F.col(key).eqNullSafe(F.col("_k")), "left_semi")
+    ranged = written(many.repartitionByRange(F.col(key), *map(F.col, order)).withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy(F.col(key).alias("_k"), F.col("_range").alias("_r")).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(f"_c_{v}") for v in values])
+    before = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select("_k", "_r", *[F.sum(f"_c_{v}").over(before).alias(f"_c_{v}") for v in values]).where(F.col(f"_c_{values[0]}").isNotNull())  # none for a key's first range
+    within = Window.partitionBy(key, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    own = ranged.withColumns({v: F.coalesce(F.sum(v).over(within), F.lit(0)) for v in values})
+    out = own.join(F.broadcast(carried), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_range") == F.col("_r")), "left")
+    return few.unionByName(out.withColumns({v: F.col(v) + F.coalesce(f"_c_{v}", F.lit(0)) for v in values}).select(*df.columns))
+
+
+#: Works of a span by number up to which a row holds their sets.
+FEW_SETS = 32
+
+
 def rolling_overlap(rows: DataFrame, author: str, work: str, date: str, members: str = "others", last: int = 5) -> DataFrame:
-    """rows with rolling_jaccard over the sets of the author's last works, by date then work; fewer at the start."""
+    """rows with rolling_jaccard over the sets of the author's last works, by date then work; fewer at the start.
+    A row holds the sets of a few works; longer spans are counted as in rolling_overlap_days()."""
+    if last > FEW_SETS:
+        return _overlap(rows, author, work, F.col(date), members, last, by_number=True)
     w = Window.partitionBy(author).orderBy(date, work).rowsBetween(-(last - 1), 0)
     return rows.withColumn("rolling_jaccard", jaccard(F.collect_list(members).over(w)))
 
 
 def rolling_overlap_days(rows: DataFrame, author: str, work: str, date: str, members: str = "others", days: int = 365) -> DataFrame:
     """The same over the works of the days that end with the row's time, the left end open; of works at the same time, those up to it in the order of work."""
-    span = days * 86_400_000_000
-    stamped = rows.withColumn("_t", F.unix_micros(F.col(date).cast("timestamp")))
-    w = Window.partitionBy(author).orderBy("_t").rangeBetween(-span + 1, 0)
-    held = F.collect_list(F.struct(F.col("_t").alias("t"), F.col(work).alias("k"), F.col(members).alias("m"))).over(w)
-    upto = F.filter("_held", lambda x: (x["t"] < F.col("_t")) | (x["k"] <= F.col(work)))
-    return stamped.withColumn("_held", held).withColumn("rolling_jaccard", jaccard(F.transform(F.array_sort(upto), lambda x: x["m"]))).drop("_held", "_t")
+    time = F.coalesce(F.unix_micros(F.col(date).cast("timestamp")), F.lit(-(1 << 61)))  # works without a date come first, together
+    return _overlap(rows, author, work, time, members, days * 86_400_000_000)
+
+
+def _overlap(rows: DataFrame, author: str, work: str, time: Column, members: str, span: int, by_number: bool = False, most: int = 1_000_000) -> DataFrame:
+    """Intersection of the sets of a span's works by their union, from running counts; a span holds the works less than `span` before the row,
+    in time or, by_number, in the author's works.
+
+    No row holds the sets of its span. A member is in the union from the first work of a stretch without gaps as long as the span until the last
+    one leaves it: +1 and -1. It is in all works of the span while it is in each work since the one that left the span last: for each stretch
+    of consecutive works with the member, +1 once the work before the stretch has left, and -1 after its last work. Both are running sums
+    over an author's events, as many as the sets have members. Null sets count as empty.
+    """
+    held = written(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    bare = held.select(F.col(author).alias("a"), time.alias("t"), F.col(work).alias("w"), "_row", F.array_distinct(members).alias("m"), F.lit(1).cast("bigint").alias("n"))
+    numbered = running_sums(bare.select("a", "t", "w", "_row", "n"), "a", ["t", "w", "_row"], ["n"], most)
+    numbered = numbered.select("a", (F.col("n") if by_number else F.col("t")).alias("t"), "n", "_row")
+    before = numbered.select(F.col("a").alias("_a"), (F.col("n") + 1).alias("_n"), F.col("t").alias("before"))
+    numbered = written(numbered.join(before, F.col("a").eqNullSafe(F.col("_a")) & (F.col("n") == F.col("_n")), "left").select("a", "t", "n", "_row", "before"), "numbered")
+    each = numbered.join(bare.select("_row", "m"), "_row").select("a", "t", "n", "before", F.explode("m").alias("m"))
+    w = Window.partitionBy("a", "m").orderBy("n")
+    met = each.withColumns({"pn": F.lag("n").over(w), "pt": F.lag("t").over(w), "nt": F.lead("t").over(w), "stretch": F.col("n") - F.row_number().over(w)})
+    event = lambda at, phase, n, sub, union, common: F.struct(at.alias("t"), F.lit(phase).alias("phase"), n.cast("bigint").alias("n"), F.lit(sub).alias("sub"), F.lit(union).alias("union"), F.lit(common).alias("common"))
+    enters = F.when(F.col("pt").isNull() | (F.col("t") >= F.col("pt") + span), event(F.col("t"), 1, F.col("n"), 0, 1, 0))
+    leaves = F.when(F.col("nt").isNull() | (F.col("nt") >= F.col("t") + span), event(F.col("t") + span, 0, F.lit(0), 0, -1, 0))
+    union = met.select("a", F.explode(F.array_compact(F.array(enters, leaves))).alias("e"))
+    runs = met.groupBy("a", "m", "stretch").agg(F.min("n").alias("s"), F.max("n").alias("e"), F.min("t").alias("ts"), F.max("t").alias("te"), F.min_by("before", "n").alias("before"))
+    alone = F.col("before") + span  # when the work before the stretch leaves
+    runs = runs.where(F.col("before").isNull() | (F.col("te") >= alone))
+    starts = F.when(F.col("before").isNull() | (F.col("ts") >= alone), event(F.col("ts"), 1, F.col("s"), 0, 0, 1)).otherwise(event(alone, 0, F.lit(0), 0, 0, 1))
+    common = runs.select("a", F.explode(F.array(starts, event(F.col("te"), 1, F.col("e"), 2, 0, -1))).alias("e"))
+    events = union.unionByName(common).select("a", "e.*", F.lit(None).cast("bigint").alias("_row"))
+    marks = numbered.select("a", event(F.col("t"), 1, F.col("n"), 1, 0, 0).alias("e"), "_row").select("a", "e.*", "_row")
+    events = written(events.unionByName(marks), "events")
+    sums = running_sums(events, "a", ["t", "phase", "n", "sub"], ["union", "common"], most).where("_row IS NOT NULL")
+    found = sums.select("_row", (F.col("common") / F.greatest(F.lit(1), F.col("union"))).alias("rolling_jaccard"))
+    return held.join(found, "_row").drop("_row")
 
 
 def added_authors(done: DataFrame, rows: DataFrame, author: str, compute) -> DataFrame:

@@ -269,6 +269,14 @@ def coauthor_pairs(s, d):
     return g.projection(_authors(s, d), "author", "work")
 
 
+@query("""
+    WITH a AS (SELECT DISTINCT year(l_shipdate) AS w, l_suppkey AS s FROM lineitem)
+    SELECT x.s AS a, y.s AS b, count(*) AS weight FROM a x JOIN a y ON x.w = y.w AND x.s < y.s GROUP BY x.s, y.s""")
+def coauthor_pairs_of_hubs(s, d):
+    """Every supplier delivers in every year: works with nearly all authors, dealt into blocks."""
+    return g.projection(_lines(s, d).select("l_suppkey", F.year("l_shipdate").alias("year")), "l_suppkey", "year", block=16)
+
+
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey HAVING count(*) <= 4)")
 def small_groups(s, d):
     return r.small_groups(_lines(s, d), "l_orderkey", 4).select("l_orderkey", "l_linenumber")
@@ -301,6 +309,12 @@ def components_sparse(s, d):
     return connected_components(_rare_edges(s, d), few=0)
 
 
+@query(f"WITH RECURSIVE {WHOLE} SELECT id, component FROM parts")
+def components_by_stars(s, d):
+    """All rounds over the whole graph, none of it in one task."""
+    return connected_components(_edges(s, d), few=0, local=False)
+
+
 @query(f"""WITH RECURSIVE {SPARSE}, t AS (SELECT component FROM parts GROUP BY component ORDER BY count(*) DESC, component LIMIT 1)
     SELECT src, dst FROM e WHERE src IN (SELECT id FROM parts WHERE component IN (SELECT component FROM t))""")
 def lcc(s, d):
@@ -391,17 +405,30 @@ def rolling_overlap(s, d):
     return r.rolling_overlap(_companions(s, d), "l_suppkey", "l_orderkey", "o_orderdate").select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
 
 
-@query("""
+BY_DAYS = """
     WITH a AS (SELECT DISTINCT l_orderkey AS work, l_suppkey AS author FROM lineitem),
     c AS (SELECT a.author, a.work, o_orderdate AS date, coalesce(list_distinct(list(b.author) FILTER (b.author <> a.author)), []) AS others
           FROM a JOIN orders ON o_orderkey = a.work JOIN a b ON b.work = a.work GROUP BY ALL),
-    w AS (SELECT x.author, x.work, list(y.others) AS sets FROM c x JOIN c y ON y.author = x.author AND y.date > x.date - INTERVAL 30 DAY AND (y.date < x.date OR (y.date = x.date AND y.work <= x.work)) GROUP BY x.author, x.work),
+    w AS (SELECT x.author, x.work, list(y.others) AS sets FROM c x JOIN c y ON y.author = x.author AND y.date > x.date - INTERVAL {days} DAY AND (y.date < x.date OR (y.date = x.date AND y.work <= x.work)) GROUP BY x.author, x.work),
     z AS (SELECT author, work, list_reduce(sets, lambda p, q: list_intersect(p, q)) AS common, list_distinct(flatten(sets)) AS every FROM w)
-    SELECT author, work, len(common)::DOUBLE / greatest(1, len(every)) AS rolling_jaccard FROM z""")
+    SELECT author, work, len(common)::DOUBLE / greatest(1, len(every)) AS rolling_jaccard FROM z"""
+
+
+@query(BY_DAYS.format(days=30))
 def rolling_overlap_days(s, d):
     return r.rolling_overlap_days(_companions(s, d), "l_suppkey", "l_orderkey", "o_orderdate", days=30).select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
 
 
+@query(BY_DAYS.format(days=365))
+def rolling_overlap_year(s, d):
+    return r.rolling_overlap_days(_companions(s, d), "l_suppkey", "l_orderkey", "o_orderdate").select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
+
+
+@query(ROLLING.format(frame="PARTITION BY author ORDER BY date, work ROWS BETWEEN 39 PRECEDING AND CURRENT ROW"))
+def rolling_overlap_forty(s, d):
+    return r.rolling_overlap(_companions(s, d), "l_suppkey", "l_orderkey", "o_orderdate", last=40).select(F.col("l_suppkey").alias("author"), F.col("l_orderkey").alias("work"), "rolling_jaccard")
+
+
 @query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS \"distinct\", count(*) AS rows, least(count(DISTINCT {c})::DOUBLE / count(*), 0.1) AS ratio, count(DISTINCT {c})::DOUBLE / count(*) < 0.05 AS categorise FROM orders" for c in ("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderkey")))
 def cardinality_profile(s, d):
     return r.cardinality(_orders(s, d), ["o_custkey", "o_orderstatus", "o_orderpriority", "o_orderkey"])
