@@ -9,6 +9,7 @@ Where the parsed rows have a source_file, so has each row of each table.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -135,25 +136,34 @@ def first_rows(df: DataFrame, key: str, *order: Column) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def parents(entity: str, nested: DataFrame, skip: DataFrame | None = None, distinct: bool = True) -> DataFrame:
+def parents(entity: str, nested: DataFrame, skip: DataFrame | None = None, distinct: bool = True, string_ids: bool = False) -> DataFrame:
     """nested with integer id and name, without rows that have no id, none that is a number, or a skipped one. distinct keeps one row per id: the latest."""
     spec = ENTITIES[entity]
-    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn(spec.id, F.expr(spec.key)).where(F.col(spec.id).isNotNull()).withColumn(spec.name, F.col("display_name"))
+    rows = nested.where("id IS NOT NULL AND trim(id) <> ''").withColumn(spec.id, F.trim("id") if string_ids else F.expr(spec.key)).where(F.col(spec.id).isNotNull()).withColumn(spec.name, F.col("display_name"))
     if skip is not None:
         rows = rows.join(skip.select(F.col("id").alias("_skip")), F.col(spec.id) == F.col("_skip"), "left_anti")
     return first_rows(rows, spec.id, F.desc_nulls_last("updated_date"), F.xxhash64("display_name", "id")) if distinct else rows
 
 
-def flatten(entity: str, nested: DataFrame, skip: DataFrame | None = None, distinct: bool = True) -> dict[str, DataFrame]:
-    """Table name to rows, for every entity but works."""
-    base = parents(entity, nested, skip, distinct)
+def flatten(entity: str, nested: DataFrame, skip: DataFrame | None = None, distinct: bool = True, string_ids: bool = False) -> dict[str, DataFrame]:
+    """Table name to rows, for every entity but works. string_ids leaves all ids as the URLs that the records have, as older
+    tables do; skip then holds such URLs."""
+    base = parents(entity, nested, skip, distinct, string_ids)
     out = {}
     for name, table in ENTITIES[entity].tables.items():
+        columns = _as_urls(table.columns) if string_ids else table.columns
         rows = base.withColumn("e", F.explode(F.expr(table.each))) if table.each else base
-        out[name] = (rows.where(table.where) if table.where else rows).selectExpr(*_split(table.columns), *_origin(base))
+        out[name] = (rows.where(table.where) if table.where else rows).selectExpr(*_split(columns), *_origin(base))
     return out
 
 
+def _as_urls(columns: str) -> str:
+    """The column list with the paths of ids in place of their conversions."""
+    for conversion in (oid("@"), tid("@")):
+        columns = re.sub(re.escape(conversion).replace("@", r"([\w.]+)"), r"trim(\1)", columns)
+    return columns
+
+
 def _origin(rows: DataFrame) -> list[str]:
     return ["source_file"] if "source_file" in rows.columns else []
 

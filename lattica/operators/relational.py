@@ -146,6 +146,25 @@ def cardinality(df: DataFrame, cols: list[str], threshold: float = 0.05, most: f
     return rows.withColumn("ratio", F.least(ratio, F.lit(most))).withColumn("categorise", ratio < threshold)
 
 
+def cardinality_in_two_phases(df: DataFrame, cols: list[str], threshold: float = 0.05, most: float = 0.1, detail: int = 14) -> DataFrame:
+    """cardinality() for wide tables: distinct is null for columns that are past `most` for certain.
+
+    One pass keeps a mergeable sketch of 2 ** detail cells for each column; a column whose estimate less five standard errors is
+    above `most` of the rows is left out. Exact counts are taken of the others only, whose values are few, so tasks send few of
+    them. A column that the sketch leaves open is counted exactly. Nulls are no value; a table without rows has ratios of null.
+    """
+    sketches = [F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(detail))).alias(f"d_{i}") for i, c in enumerate(cols)]
+    seen = df.agg(F.count("*").alias("rows"), *sketches).first()
+    sure = 1 - 5 * 1.04 / 2 ** (detail / 2)
+    kept = [c for i, c in enumerate(cols) if (seen[f"d_{i}"] or 0) * sure <= most * seen["rows"]]
+    counted = df.agg(*[F.count_distinct(c).alias(f"n_{i}") for i, c in enumerate(kept)]).first() if kept else ()
+    exact = dict(zip(kept, counted, strict=True))
+    rows = [(c, exact.get(c), seen["rows"]) for c in cols]  # one row for each column
+    out = df.sparkSession.createDataFrame(rows, "column string, distinct bigint, rows bigint")
+    ratio = F.when(F.col("rows") > 0, F.least(F.coalesce(F.col("distinct") / F.col("rows"), F.lit(most)), F.lit(most)))
+    return out.withColumn("ratio", ratio).withColumn("categorise", ratio < threshold)
+
+
 def estimate(df: DataFrame, key: str, value: str, of: str = "mean", error: str = "se", level: float | None = None, distances: bool = False, replicates: int = 1000, seed: int = 1, most: int = 100_000) -> DataFrame:
     """(key, n, y, ymin, ymax) per group: mean or median with an error bar, nulls left out.
 

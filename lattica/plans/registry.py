@@ -18,10 +18,10 @@ from ..operators import relational as r
 from ..operators.components import connected_components
 from ..runtime import shared_dir, table
 from ..sources import scans, sinks
-from . import entities, ingests
+from . import entities, ingests, tables
 
-QUERIES: dict = {**entities.QUERIES, **ingests.QUERIES}
-ORACLE_SQL: dict[str, str] = {**entities.ORACLE_SQL, **ingests.ORACLE_SQL}
+QUERIES: dict = {**entities.QUERIES, **ingests.QUERIES, **tables.QUERIES}
+ORACLE_SQL: dict[str, str] = {**entities.ORACLE_SQL, **ingests.ORACLE_SQL, **tables.ORACLE_SQL}
 
 
 def query(sql: str | None = None):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,22 @@ def rows_in(df: DataFrame, col: str, values: DataFrame | list, pushed: int = 100
     return df.join(other, df[col] == other["_v"], "left_semi")
 
 
+def lookup_bucket(key: Column, buckets: int) -> Column:
+    """The bucket of a table written by lookup_table() in which a key lies."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def lookup(df: DataFrame, key: str, values: DataFrame | list, buckets: int) -> DataFrame:
+    """Rows of a table written by lookup_table() whose key is among the values, however many: only the values' buckets are read,
+    then a semi join (Spark broadcasts it by itself below its threshold). Null and repeated values count once or not at all."""
+    kind = df.schema[key].dataType
+    if isinstance(values, list):
+        values = df.sparkSession.createDataFrame([(v,) for v in values], T.StructType([T.StructField("_v", kind)]))
+    wanted = values.toDF("_v").select(F.col("_v").cast(kind).alias("_v")).where("_v IS NOT NULL").distinct()
+    hit = [r["b"] for r in wanted.select(lookup_bucket(F.col("_v"), buckets).alias("b")).distinct().collect()]  # numbers of buckets
+    return df.where(F.col("_bucket").isin(hit)).join(wanted, df[key] == wanted["_v"], "left_semi").drop("_bucket")
+
+
 def row_of(df: DataFrame, key: str, value) -> DataFrame:
     """Point lookup; on a table written by sorted_table() row-group statistics leave few groups to read."""
     return df.where(F.col(key) == value)

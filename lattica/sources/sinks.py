@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import STORED
+from .scans import lookup_bucket
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str], strict: bool = False, mode: str = "overwrite") -> None:
@@ -57,3 +58,30 @@ def rewrite(df: DataFrame, path: str, casts: dict[str, str], rows_per_file: int
 def sorted_table(df: DataFrame, path: str, key: str, files: int) -> None:
     """Ranges of the key in files sorted by it, for point lookups."""
     df.repartitionByRange(files, key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+
+
+def rewrite_by_report(df: DataFrame, path: str, report: DataFrame, blooms: list[str] | None = None, casts: dict[str, str] | None = None, rows_per_file: int = 5_000_000, row_group_bytes: int = 128 << 20) -> dict[str, str]:
+    """rewrite() with each column encoded by a cardinality report (column, distinct, rows, ratio, categorise): dictionaries for
+    columns to categorise, none for others, and bloom filters, sized by the estimate, for the columns of `blooms`. Returns the writer's options."""
+    options: dict[str, str] = {"compression": "zstd", "maxRecordsPerFile": str(rows_per_file), "parquet.block.size": str(row_group_bytes)}
+    for r in report.collect():  # one row for each column
+        name = r["column"]
+        options[f"parquet.enable.dictionary#{name}"] = str(bool(r["categorise"])).lower()
+        if name in (blooms or []):
+            options |= _bloom(name, r["distinct"] or r["rows"])
+    kept = df.select(*[F.col(c).cast((casts or {})[c]).alias(c) if c in (casts or {}) else F.col(c) for c in df.columns])
+    kept.write.mode("overwrite").options(**options).parquet(path)
+    return options
+
+
+def _bloom(name: str, values: int) -> dict[str, str]:
+    """Options of a bloom filter for so many values in a row group."""
+    return {f"parquet.bloom.filter.enabled#{name}": "true", f"parquet.bloom.filter.expected.ndv#{name}": str(max(1, values))}
+
+
+def lookup_table(df: DataFrame, path: str, key: str, buckets: int, blooms: list[str] | None = None, values_per_file: int = 100_000) -> None:
+    """Rows in folders by a hash of the key, for lookups by ids that no order brings together (scans.lookup()), with bloom filters
+    of the key and of other columns for lookups of single values. values_per_file sizes the filters."""
+    options = {k: v for c in (key, *(blooms or [])) for k, v in _bloom(c, values_per_file).items()}
+    placed = df.withColumn("_bucket", lookup_bucket(F.col(key), buckets))
+    placed.repartition(buckets, "_bucket").write.mode("overwrite").options(**options, **{f"parquet.enable.dictionary#{key}": "false"}).partitionBy("_bucket").parquet(path)
