@@ -3,29 +3,45 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
-@F.pandas_udf(StringType())
-def _decomposed(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else x if x.isascii() else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn"))
+def _bare(letter: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFD", letter) if unicodedata.category(c) != "Mn")
 
 
-def _latin() -> tuple[str, str]:
-    """Precomposed Latin letters and the letters that they have without their marks, by the rule of decomposition."""
-    letters = [chr(i) for a, z in ((0xC0, 0x250), (0x1E00, 0x1F00)) for i in range(a, z)]
-    bare = {x: "".join(y for y in unicodedata.normalize("NFD", x) if unicodedata.category(y) != "Mn") for x in letters}
-    return "".join(x for x in letters if bare[x] != x and len(bare[x]) == 1), "".join(y for x, y in bare.items() if y != x and len(y) == 1)
+@cache
+def _decompositions() -> tuple[str, str, dict[str, str]]:
+    """By the rule of canonical decomposition without non-spacing marks: letters that become one letter, followed by
+    marks, which become nothing; what the letters become; and letters that become several. Hangul syllables have a rule of their own."""
+    changed = {c: _bare(c) for c in map(chr, (i for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000 and not 0xAC00 <= i < 0xD7A4)) if unicodedata.decomposition(c) or unicodedata.category(c) == "Mn"}
+    one = {c: b for c, b in changed.items() if len(b) == 1 and b != c}
+    return "".join([*one, *(c for c, b in changed.items() if not b)]), "".join(one.values()), {c: b for c, b in changed.items() if len(b) > 1}
+
+
+def _jamo(syllable: Column) -> Column:
+    """A Hangul syllable as its two or three letters."""
+    first, middle, last = ("".join(map(chr, range(a, a + n))) for a, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+    at = F.ascii(syllable) - 0xAC00
+    letter = lambda of, k: F.substr(F.lit(of), (k + 1).cast("int"), F.lit(1))
+    return F.concat(letter(first, F.floor(at / 588)), letter(middle, F.floor(at % 588 / 28)), F.when(at % 28 > 0, letter(last, at % 28 - 1)).otherwise(F.lit("")))
 
 
 def strip_accents(c: Column) -> Column:
-    """Canonical decomposition without its non-spacing marks. Only texts with other letters than Latin ones leave the JVM."""
-    plain = F.translate(c, *_latin())
-    return F.coalesce(_decomposed(F.when(plain.rlike(r"[^\x00-\x7F\u00A1-\u00BF\u00DF]"), plain)), plain)
+    """Canonical decomposition without its non-spacing marks, all in the JVM; plain texts stay untouched."""
+    letters, bare, several = _decompositions()
+
+    def rest(plain: Column) -> Column:
+        spelt = plain
+        for x, y in several.items():
+            spelt = F.replace(spelt, F.lit(x), F.lit(y))
+        syllables = F.transform(F.regexp_extract_all(spelt, F.lit("(?s)(.)"), F.lit(1)), lambda x: F.when(x.between("\uac00", "\ud7a3"), _jamo(x)).otherwise(x))
+        return F.when(plain.rlike(f"[\uac00-\ud7a3{''.join(several)}]"), F.array_join(syllables, "")).otherwise(plain)
+
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.element_at(F.transform(F.array(F.translate(c, letters, bare)), rest), 1)).otherwise(c)  # translated once, as an argument
 
 
 #: Latin spelling of lower-case Greek and Cyrillic letters and of Latin ones that do not decompose.
@@ -94,7 +110,18 @@ def abstract_text(index: Column) -> Column:
 
 
 def inverted_indexes(df: DataFrame, key: str, text: str, pattern: str = r"\s+") -> DataFrame:
-    """(key, index): the inverse of abstract_text, each word of a text with its positions. Keys must be unique; null and empty texts have no row."""
-    words = df.where(F.trim(F.col(text)) != "").select(key, F.posexplode(F.split(F.trim(F.col(text)), pattern)).alias("at", "word"))
-    held = words.groupBy(key, "word").agg(F.sort_array(F.collect_list("at")).alias("places"))
-    return held.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "places"))).alias("index"))
+    """(key, index): the inverse of abstract_text, each word of a text with its positions, made within the row: the words are
+    sorted with their positions, and each run of a word is an entry. Null and empty texts have no row."""
+
+    def index(placed: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(placed) - 1), lambda i: (i == 0) | (F.get(placed, i)["word"] != F.get(placed, i - 1)["word"]))
+
+        def entries(at: Column) -> Column:
+            places = F.transform(at, lambda a, k: F.transform(F.slice(placed, a + 1, F.coalesce(F.get(at, k + 1), F.size(placed)) - a), lambda x: x["at"]))
+            return F.map_from_arrays(F.transform(at, lambda a: F.get(placed, a)["word"]), places)
+
+        return F.element_at(F.transform(F.array(starts), entries), 1)
+
+    words = F.transform(F.split(F.trim(F.col(text)), pattern), lambda w, i: F.struct(w.alias("word"), i.alias("at")))
+    rows = df.where(F.trim(F.col(text)) != "")
+    return rows.select(key, F.element_at(F.transform(F.array(F.array_sort(words)), index), 1).alias("index"))  # sorted once, as an argument

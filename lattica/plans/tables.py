@@ -129,6 +129,14 @@ def raw_affiliations(s, d):
     return table(s, d, "customer").select("c_custkey", text.affiliation_text(many, F.when(k < 2, F.col("c_mktsegment")).when(k == 2, F.lit(""))).alias("affiliation"))
 
 
+@query("""SELECT n_nationkey, lower(n_name[1]) || 'zhurnal' || n_nationkey || 'grosselodzsmph' AS key, ' ' || n_nationkey || ' EeA  ' AS plain FROM nation""")
+def three_scripts(s, d):
+    """Keys of titles in Cyrillic, Latin and Greek letters, and their ASCII forms, in which other letters are spaces."""
+    k = F.col("n_nationkey").cast("string")
+    title = F.concat(F.left("n_name", F.lit(1)), F.lit(" <i>Журнал</i> "), k, F.lit(" and the Größe, Łódź: Σμφ!"))
+    return table(s, d, "nation").select("n_nationkey", text.dedup_key(title).alias("key"), text.ascii_clean(F.concat(F.lit("Ж"), k, F.lit(" ÉèÀ中ф"))).alias("plain"))
+
+
 def _string_ids(entity: str, name: str):
     def run(s, d):
         gone = table(s, d, "customer").where("c_custkey % 10 = 3").select(F.concat(F.lit(SITE + entity[0].upper()), F.col("c_custkey").cast("string")).alias("id"))

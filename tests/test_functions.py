@@ -1,5 +1,7 @@
 """Scalar functions against worked examples."""
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from lattica.functions import ids, text, values
@@ -33,6 +35,21 @@ def test_text(spark):
     assert one(spark, text.without_html(F.col("a")), a="<a\n>x<b>y") == "<a\n>xy"
 
 
+def test_accents_of_all_code_points(spark):
+    """As Python decomposes and drops marks; marks that would be put in another order are few and left out."""
+    cs = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    rows = ["a" + "".join(f"{c}b" for c in cs[k : k + 200]) for k in range(0, len(cs), 200)]
+    got = [r["x"] for r in spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string").select("i", text.strip_accents(F.col("t")).alias("x")).orderBy("i").collect()]
+    assert got == ["".join(c for c in unicodedata.normalize("NFD", r) if unicodedata.category(c) != "Mn") for r in rows]
+
+
+def test_inverted_indexes(spark):
+    rows = [(1, "b a  b c a"), (1, "x"), (2, " "), (3, None), (None, "w " * 5000), (4, "\u00e9 \u00e9\tz")]
+    got = text.inverted_indexes(spark.createDataFrame(rows, "k int, t string"), "k", "t").collect()
+    assert sorted(((r["k"], r["index"]) for r in got if r["k"]), key=repr) == [(1, {"a": [1, 4], "b": [0, 2], "c": [3]}), (1, {"x": [0]}), (4, {"z": [2], "\u00e9": [0, 1]})]
+    assert [r["index"] for r in got if r["k"] is None] == [{"w": list(range(5000))}]
+
+
 def test_abstracts(spark):
     of = lambda s: one(spark, text.abstract_text(text.index_of(F.col("a"))), a=s)
     assert of('{"hello":[0,2],"world":[1]}') == "hello world hello"
