@@ -106,7 +106,7 @@ def abstract_text(index: Column) -> Column:
         last = F.filter(held, lambda x, i: F.coalesce(F.get(held, i + 1)["at"] != x["at"], F.lit(True)))
         return F.nullif(F.array_join(F.transform(last, lambda x: x["word"]), " "), F.lit(""))
 
-    return F.element_at(F.transform(F.array(F.array_sort(placed)), joined), 1)  # sorted once, as an argument
+    return F.element_at(F.transform(F.array(F.sort_array(placed)), joined), 1)  # sorted once, as an argument
 
 
 def inverted_indexes(df: DataFrame, key: str, text: str, pattern: str = r"\s+") -> DataFrame:
@@ -124,4 +124,4 @@ def inverted_indexes(df: DataFrame, key: str, text: str, pattern: str = r"\s+")
 
     words = F.transform(F.split(F.trim(F.col(text)), pattern), lambda w, i: F.struct(w.alias("word"), i.alias("at")))
     rows = df.where(F.trim(F.col(text)) != "")
-    return rows.select(key, F.element_at(F.transform(F.array(F.array_sort(words)), index), 1).alias("index"))  # sorted once, as an argument
+    return rows.select(key, F.element_at(F.transform(F.array(F.sort_array(words)), index), 1).alias("index"))  # sorted once, as an argument

@@ -68,20 +68,21 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield forest()
 
 
-def contracted(pairs: DataFrame, fan_in: int = 4, width: int = 2_000_000) -> DataFrame:
+def contracted(pairs: DataFrame, fan_in: int = 4, width: int = 2_000_000, enough: int = 0) -> DataFrame:
     """Edges (u, v) with the same components, fewer of them: each task keeps a spanning forest of its edges, then the forests of
-    fan_in tasks meet in one, as long as that leaves at most `width` edges to a task and takes away a tenth of all."""
+    fan_in tasks meet in one, as long as there are more than `enough`, and that leaves at most `width` edges to a task and takes away a tenth of all."""
     kind = pairs.schema["u"].dataType.simpleString()
     now = written(pairs.mapInArrow(_forests, f"u {kind}, v {kind}"), "forest")
-    while (tasks := now.rdd.getNumPartitions()) > 1:
-        n = now.count()
+    n = now.count()
+    while n > enough and (tasks := len(now.inputFiles())) > 1:
         fewer = max(1, tasks // fan_in, -(-n // width))
         if fewer >= tasks:
             break
         after = written(now.coalesce(fewer).mapInArrow(_forests, f"u {kind}, v {kind}"), "forest")
         dropped(now)
-        now = after
-        if now.count() > 0.9 * n:
+        now, before = after, n
+        n = now.count()
+        if n > 0.9 * before:
             break
     return now
 
@@ -97,7 +98,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", f
     input gives no rows. Vertices are integers or binary; text orders by its bytes.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    once = contracted(pairs) if local else written(pairs.distinct(), "edges")
+    once = contracted(pairs, enough=few) if local else written(pairs.distinct(), "edges")
     if once.count() <= few:
         kind = once.schema["u"].dataType.simpleString()
         return written(once.coalesce(1).mapInArrow(_joined, f"id {kind}, component {kind}"), "components")
