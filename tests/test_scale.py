@@ -134,3 +134,19 @@ def test_forests_write_less_than_the_edges(spark):
     whole, forest = components.written(edges, "edges"), components.contracted(edges)
     assert forest.count() < 0.1 * edges.count() and size(forest) < 0.25 * size(whole)
     assert components.connected_components(edges, "u", "v").select("component").distinct().count() == components.connected_components(edges, "u", "v", few=0, local=False).select("component").distinct().count()
+
+
+def test_pairs_of_equal_sets_are_counted_by_classes(spark):
+    rng = random.Random(7)
+    sets = [(1, 2, 3), (2, 4), (5,), (1, 2, 3, 4)]
+    rows = [(x, y) for x in range(120) for y in rng.choice(sets)] + [(None, 1), (1, None)]
+    want = Counter()
+    for r_ in range(1, 6):
+        want.update(itertools.combinations(sorted({x for x, y in rows if y == r_ and x is not None}), 2))
+    frame = spark.createDataFrame(rows + rows[:30], "a int, r int").repartition(3)
+    pairs, held = graph.class_projection(frame, "a", "r", block=2)
+    assert held.count() == 120 and pairs.count() <= 15  # five sets at most, whatever the members
+    found = graph.members_of_pairs(pairs, held, block=7).collect()
+    assert {(x["a"], x["b"]): x["weight"] for x in found} == want and len(found) == len(want)
+    found = graph.projection(frame, "a", "r", block=7).collect()
+    assert {(x["a"], x["b"]): x["weight"] for x in found} == want and len(found) == len(want)
