@@ -100,3 +100,14 @@ def test_entities(spark, entity):
 def test_skip_ids(spark):
     merged = fl.merged_ids(spark.createDataFrame([("W5", "W6"), ("W5", "W6")], "id string, merge_into_id string"))
     assert {r.id for r in fl.skip_ids(merged, "works", spark).collect()} == {5, 4285719527}
+
+
+def test_named_tables_write_no_works(spark, nested, monkeypatch):
+    """Each table by itself is as among all, and no table of whole works is written for it."""
+    topics = spark.createDataFrame([], fl.TOPIC_COLUMNS)
+    every = {name: sorted(map(repr, df.collect())) for name, df in fl.flatten_works(nested, skips(spark), topics).items()}
+    names = []
+    monkeypatch.setattr(fl, "written", lambda df, name, keep=fl.written: names.append(name) or keep(df, name))
+    for name, rows in every.items():
+        assert sorted(map(repr, fl.flatten_works(nested, skips(spark), topics, only=[name])[name].collect())) == rows
+    assert set(names) == {"skipped"}
