@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import dropped, written
+from ..runtime import dropped, spread, written
 
 #: Edges up to which one task joins them.
 FEW = 200_000
@@ -98,25 +98,31 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", f
     input gives no rows. Vertices are integers or binary; text orders by its bytes.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    once = contracted(pairs, enough=few) if local else written(pairs.distinct(), "edges")
-    if once.count() <= few:
+    dealt = spread(pairs, pairs.count(), "u", "v")  # repeated edges meet, and a hub's are spread
+    once = contracted(dealt, enough=few) if local else written(dealt.distinct(), "edges")
+    n = once.count()
+    if n <= few:
         kind = once.schema["u"].dataType.simpleString()
         return written(once.coalesce(1).mapInArrow(_joined, f"id {kind}, component {kind}"), "components")
     alone = once.where("u = v").select("u", "v").distinct()
-    now = written(once.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    distinct = lambda df: spread(df, n, "u", "v").distinct()
+    salt = F.pmod(F.xxhash64("v"), F.lit(8))  # parts of a hub's edges give their minima first
+    least = lambda df, rows: spread(df, rows, "u", salt).groupBy("u").agg(F.min("v").alias("m"))
+    now = written(distinct(once.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))), "edges")
     before = None
     while (state := now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()) != before:
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
-        large = written(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "large")
+        low = written(least(both, 2 * n).select("u", F.least("u", "m").alias("m")), "low")
+        large = written(distinct(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")), "large")
         dropped(low)
-        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        low = written(least(large, n), "low")
         met = large.join(low, "u")
         small = met.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
-        after = written(small.distinct(), "edges")
+        after = written(distinct(small), "edges")
         for old in (low, large, now):
             dropped(old)
         now = after
-    ends = now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    return ends.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component"))).unionByName(alone.toDF("id", "component")).groupBy("id").agg(F.min("component").alias("component"))
+    tops = now.select(F.col("v").alias("id"), F.col("v").alias("component"))  # as often as they have vertices under them
+    every = now.toDF("id", "component").unionByName(tops.distinct()).unionByName(alone.toDF("id", "component"))
+    return spread(every, n, "id").groupBy("id").agg(F.min("component").alias("component"))

@@ -150,3 +150,10 @@ def test_pairs_of_equal_sets_are_counted_by_classes(spark):
     assert {(x["a"], x["b"]): x["weight"] for x in found} == want and len(found) == len(want)
     found = graph.projection(frame, "a", "r", block=7).collect()
     assert {(x["a"], x["b"]): x["weight"] for x in found} == want and len(found) == len(want)
+
+
+def test_spread_tasks_hold_few_rows(spark):
+    """Partitions are as many as the rows need, however few bytes they have, and stay so under AQE; one key's edges are spread."""
+    rows = spark.range(100_000).select((F.col("id") % 1).alias("u"), F.col("id").alias("v"))
+    parts = components.spread(rows, 100_000, "u", "v", each=5000).distinct().groupBy(F.spark_partition_id()).count().toDF("p", "n").collect()
+    assert len(parts) == 20 and max(x["n"] for x in parts) < 10_000
