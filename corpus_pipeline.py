@@ -35,8 +35,8 @@ def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group that links of a similarity of 0.8 or more in shingles of five words connect. Null and
-    empty texts are equal; a row without an id stays if its group has no other; rows alike in id and text stay or go together."""
+    """One document, that with the smallest id, of each group that links of a similarity of 0.8 or more in shingles of five words connect:
+    those that SimHash and its BK-trees meet, checked by the shingles, and by an exact join all that they miss. Null and empty texts are equal; a row without an id stays if its group has no other; rows alike in id and text stay or go together."""
     return distinct_documents(docs).select(*COLUMNS)
 
 

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: fingerprints, sharded BK-trees, components; an exact join of shingle sets.
+"""SimHash near-duplicates: fingerprints, sharded BK-trees, components; an exact join of shingle sets after them.
 
 Fingerprints are compared in shards. Two fingerprints within `radius` bits agree on at least one
 choice of blocks, so each is dealt to one shard per choice, and a shard holds those that agree on
@@ -36,7 +36,11 @@ def simhash(text: str | None, shingle: int) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     spans = zip(starts.tolist(), ends[shingle - 1 :].tolist(), strict=False) if len(words) >= shingle else [(0, len(joined))]
     of = xxhash.xxh64_intdigest
-    hashes = np.array([of(joined[a:b], SEED) for a, b in spans], dtype=np.uint64)
+    return majority(np.array([of(joined[a:b], SEED) for a, b in spans], dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the 64-bit hashes."""
     counts = np.zeros(64, dtype=np.int64)
     for k in range(0, len(hashes), 1 << 15):
         counts += np.unpackbits(hashes[k : k + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
@@ -194,11 +198,13 @@ def hex_fingerprint(fp: str) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, piece: int = 2048) -> DataFrame:
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, piece: int = 2048, radius: int = 3) -> DataFrame:
     """The rows of docs without near copies: of each group one stays, the one with the smallest id.
 
     Two documents are linked if their sets of word shingles have a Jaccard similarity of at least
-    `similarity`; groups are what links connect. The join is exact: sets that alike share one of
+    `similarity`; groups are what links connect. Sets are first met by SimHash: fingerprints of their
+    shingles within `radius` bits, by sharded BK-trees (simhash_links()), and checked by the sets. Few
+    bits miss most links at such a similarity, so an exact join finds the rest: sets that alike share one of
     their first shingles in any common order (prefix filter), here one that puts shingles frequent
     in a sample last. Within each shingle neighbours by size are checked first. What these checks
     left in different groups is compared within its task by counts of shingles in buckets, which can
@@ -222,7 +228,8 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 often = np.where(frequent[at] == s, counts[at], 0) if len(frequent) else np.zeros(len(s), np.int64)
                 firsts.append(s[np.lexsort((s, often))][: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1])
             made = [pa.array(map(_set_key, sets), pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array(firsts, pa.list_(pa.int64())), pa.array(map(sketch, sets), pa.binary())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made], names=["id", "h", "key", "n", "firsts", "sketch"])
+            fps = np.array([majority(s.view(np.uint64)) for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *made, pa.array(fps)], names=["id", "h", "key", "n", "firsts", "sketch", "fp"])
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches, 128):
@@ -233,9 +240,9 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([fine_sketch(shingle_set(t, shingle)) for t in b.column(1).to_pylist()], pa.binary())], names=["set", "sketch"])
 
     # equal sets are one, known by a number; the table keeps it
-    base = written(narrow.mapInArrow(prefixes, f"id {kind}, h long, key binary, n int, firsts array<long>, sketch binary"), "prefixes")
+    base = written(narrow.mapInArrow(prefixes, f"id {kind}, h long, key binary, n int, firsts array<long>, sketch binary, fp long"), "prefixes")
     row = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
-    sets = base.groupBy("key").agg(F.min(row).alias("best"), *[F.first(c).alias(c) for c in ("n", "firsts", "sketch")])
+    sets = base.groupBy("key").agg(F.min(row).alias("best"), *[F.first(c).alias(c) for c in ("n", "firsts", "sketch", "fp")])
     sets = written(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
     repeats = not base.groupBy("id", "h").count().where("count > 1").isEmpty()
 
@@ -281,7 +288,8 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     seen = firsts.select("token", one.alias("me"), F.lag(one).over(around).alias("last"), F.first(one).over(around).alias("least"), F.lead("n").over(around).alias("more"))
     met = written(seen.where("last IS NOT NULL OR more IS NOT NULL"), "met")
     near = [met.where("last IS NOT NULL").where(fits("me", other)).select(F.col(f"{other}.set").alias("a"), F.col("me.set").alias("b")) for other in ("last", "least")]
-    alike = checked(near[0].unionByName(near[1]).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    met_by = near[0].unionByName(near[1]).unionByName(_fingerprint_pairs(sets, radius))
+    alike = checked(met_by.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     component = grouped(alike)
 
     def rest(left: DataFrame, held_by: DataFrame, fine: bool, whole: bool) -> DataFrame:
@@ -334,6 +342,15 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return whole.join(gone, F.col("d_id").eqNullSafe(F.col("gone_id")) & (F.col("d_h") == F.col("gone_h")), "left_anti").select("doc.*")
 
 
+def _fingerprint_pairs(sets: DataFrame, radius: int) -> DataFrame:
+    """(a, b): sets (set, fp) that SimHash brings together: each with the first of its fingerprint, and the first ones of fingerprints that are linked."""
+    first = written(sets.groupBy("fp").agg(F.min("set").alias("first")), "first")
+    one = lambda end, name: first.select(F.col("fp").alias(end), F.col("first").alias(name))
+    linked = simhash_links(first.select("fp"), radius).join(one("src", "a"), "src").join(one("dst", "b"), "dst").select("a", "b")
+    same = sets.select("set", "fp").join(first, "fp").where(F.col("set") != F.col("first")).select(F.col("first").alias("a"), F.col("set").alias("b"))
+    return linked.unionByName(same)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
     """Rows in runs that agree on the first three columns; runs of one row are left out."""
     held: list[tuple] = []
