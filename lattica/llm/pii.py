@@ -10,6 +10,8 @@ only where the run starts), with the same matches as its plain form.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -204,27 +206,27 @@ def examples(found: DataFrame, doubt: float) -> DataFrame:
     return good.unionByName(bad).unionByName(other)
 
 
-def fit(found: DataFrame, max_rows: int, precision: float, doubt: float = 0.2, seed: int = 5) -> tuple | None:
-    """Boosted trees and a threshold for each kind, from about max_rows examples in all, as many of each
-    kind, label and weight, chosen by a hash. One in four is left out of the fit; a kind's threshold is
-    the least score, 0 or more, from which on these have the precision, doubtful ones left aside. None
-    without examples of both labels."""
-    every = written(examples(found, doubt), "examples")
-    seen = {(r["kind"], r["label"], r["weight"]): r["count"] for r in every.groupBy(F.col("c.kind").alias("kind"), "label", "weight").count().collect()}
-    if len({label for _, label, _ in seen}) < 2:
-        return None
-    share = F.lit(0.0)
-    for (kind, label, weight), n in seen.items():
-        share = F.when((F.col("c.kind") == kind) & (F.col("label") == label) & (F.col("weight") == weight), F.lit(max_rows / (3 * len(KINDS)) / n)).otherwise(share)
-    at = F.pmod("order", F.lit(1_000_000)) / 1_000_000
-    sample = written(every.where(at < share).select("label", "weight", F.col("c.kind").alias("kind"), features(F.col("c")).alias("x"), (F.pmod(F.xxhash64("order", F.lit(seed)), F.lit(4)) == 0).alias("held")), "sample")
-    if sample.where("NOT held").select("label").distinct().count() < 2:
+def fit(found: DataFrame, balance: int, precision: float, doubt: float = 0.2, seed: int = 5) -> tuple | None:
+    """Boosted trees and a threshold for each kind, from all examples, alike ones as one row with their number. Those of a kind,
+    label and weight count together for `balance` at most, each for the less. One in four is left out of the fit; a kind's threshold
+    is the least score, 0 or more, from which on these have the precision, doubtful ones left aside. None without examples of both labels."""
+    every = examples(found, doubt).select("label", "weight", F.col("c.kind").alias("kind"), features(F.col("c")).alias("x"), (F.pmod(F.xxhash64("order", F.lit(seed)), F.lit(4)) == 0).alias("held"))
+    every = written(every.groupBy("kind", "label", "weight", "held", "x").agg(F.count("*").alias("n")), "examples")
+    seen = every.groupBy("kind", "label", "weight").agg(F.sum("n").alias("n"), F.count_if(~F.col("held")).alias("rows")).collect()
+    if len({r["label"] for r in seen if r["rows"]}) < 2:
         return None
-    train = sample.where("NOT held").select("label", "weight", array_to_vector("x").alias("features")).coalesce(1)  # at most about max_rows rows
-    model = GBTClassifier(maxIter=10, maxDepth=4, stepSize=0.3, seed=seed, cacheNodeIds=False, weightCol="weight").fit(train)
-    scored = sample.where("held AND (label = 1 OR weight = 1)").select("kind", "label", tree_score(model, F.col("x")).alias("s"))
+    counts = F.lit(1.0)
+    for r in seen:
+        counts = F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]) & (F.col("weight") == r["weight"]), F.lit(min(1.0, balance / r["n"]))).otherwise(counts)
+    weighed = every.withColumn("counts", F.col("n") * counts)
+    rows = sum(r["rows"] for r in seen)
+    train = weighed.where("NOT held").select("label", "n", (F.col("weight") * F.col("counts")).alias("weight"), array_to_vector("x").alias("features"))
+    bins = max(32, math.isqrt(rows) + 1)  # so many that the trees look for their splits in all rows: up to bins ** 2 they draw none
+    model = GBTClassifier(maxIter=10, maxDepth=4, stepSize=0.3, seed=seed, cacheNodeIds=False, weightCol="weight", maxBins=bins).fit(train.coalesce(1 + rows // 50_000))
+    scored = weighed.where("held AND (label = 1 OR weight = 1)").select("kind", "label", "counts", tree_score(model, F.col("x")).alias("s"))
     grid = [i / 20 for i in range(0, 30)]
-    sums = scored.groupBy("kind").agg(*[F.struct(F.coalesce(F.sum(F.when(F.col("s") >= t, F.col("label"))), F.lit(0.0)), F.count(F.when(F.col("s") >= t, 1)).cast("double")).alias(f"t{i}") for i, t in enumerate(grid)]).collect()
+    above = lambda t, value: F.coalesce(F.sum(F.when(F.col("s") >= t, value)), F.lit(0.0))
+    sums = scored.groupBy("kind").agg(*[F.struct(above(t, F.col("label") * F.col("counts")), above(t, F.col("counts"))).alias(f"t{i}") for i, t in enumerate(grid)]).collect()
     threshold = {}
     for row in sums:
         for i in reversed(range(len(grid))):
@@ -236,20 +238,20 @@ def fit(found: DataFrame, max_rows: int, precision: float, doubt: float = 0.2, s
     return model, threshold
 
 
-def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20_000, precision: float = 0.95) -> DataFrame:
+def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", balance: int = 1_667, precision: float = 0.95) -> DataFrame:
     """(doc_id, base, spans): arrays of (start, rank, end, kind) in order, one row per input row, no shuffle of rows.
 
     base holds the matches of the four patterns that pass their checks; spans also has the proposals
     apart from them that the boosted trees score above their kind's threshold, the one at which
     `precision` of the sure examples left out of the fit are data. Of overlapping ones, taken from left to
-    right, the one of higher score stays, the earlier one among equals. Trees are fitted on about
-    max_rows examples. Texts are scanned once, at any length; null and empty ones have no spans;
+    right, the one of higher score stays, the earlier one among equals. Trees and
+    thresholds come from all examples, those of a kind and label with the weight of `balance` at most. Texts are scanned once, at any length; null and empty ones have no spans;
     without examples of both labels spans are the base ones; null ids and repeated rows pass through;
     an empty table gives no rows; other columns are not read.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = written(candidates(narrow), "spans")
-    fitted = fit(found, max_rows, precision)
+    fitted = fit(found, balance, precision)
 
     def placed(array: Column) -> Column:
         kind = F.array(*map(F.lit, KINDS))
