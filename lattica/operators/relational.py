@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -274,28 +276,33 @@ def companions(rows: DataFrame, work: str, author: str, date: str) -> DataFrame:
     return one.join(all_of, work).select(author, work, date, F.sort_array(F.array_remove("all", F.col(author))).alias("others"))
 
 
-def running_sums(df: DataFrame, key: str, order: list[str], values: list[str], most: int = 1_000_000) -> DataFrame:
+def running_sums(df: DataFrame, key: str, order: list[str], values: list[str], most: int = 1_000_000, previous: dict[str, str] | None = None) -> DataFrame:
     """df with each of the values replaced by its sum up to the row, over the rows of the key in the given order (rows that are equal in it
     in any order, so let it be complete); null values count as 0, null keys are one key. df should be cheap to read several times.
 
+    previous: new columns with the value of another one, which must not fall along the order, in the row before; null in a key's first row.
     Keys of at most `most` rows are summed by a window. Rows of larger ones are dealt out by ranges of key and order, so that they are spread
     over many tasks. Each range is summed by itself; what its first key carries from earlier ranges is one row for a range at most, which is broadcast.
     """
     large = written(df.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("n")).where(F.col("n") > most).select("_k"), "large")
+    previous = previous or {}
     upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = {p: F.lag(c).over(Window.partitionBy(key).orderBy(*order)) for p, c in previous.items()} | {v: F.coalesce(F.sum(v).over(upto), F.lit(0)) for v in values}
     if large.isEmpty():
-        return df.withColumns({v: F.coalesce(F.sum(v).over(upto), F.lit(0)) for v in values})
+        return df.withColumns(plain)
     hot = broadcast_below(large, 100_000)
-    few = df.join(hot, F.col(key).eqNullSafe(F.col("_k")), "left_anti").withColumns({v: F.coalesce(F.sum(v).over(upto), F.lit(0)) for v in values})
+    few = df.join(hot, F.col(key).eqNullSafe(F.col("_k")), "left_anti").withColumns(plain)
     many = df.join(hot, F.col(key).eqNullSafe(F.col("_k")), "left_semi")
     ranged = written(many.repartitionByRange(F.col(key), *map(F.col, order)).withColumn("_range", F.spark_partition_id()), "ranges")
-    totals = ranged.groupBy(F.col(key).alias("_k"), F.col("_range").alias("_r")).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(f"_c_{v}") for v in values])
+    totals = ranged.groupBy(F.col(key).alias("_k"), F.col("_range").alias("_r")).agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(f"_c_{v}") for v in values], *[F.max(c).alias(f"_p_{p}") for p, c in previous.items()])
     before = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("_k", "_r", *[F.sum(f"_c_{v}").over(before).alias(f"_c_{v}") for v in values]).where(F.col(f"_c_{values[0]}").isNotNull())  # none for a key's first range
+    carried = totals.select("_k", "_r", *[F.sum(f"_c_{v}").over(before).alias(f"_c_{v}") for v in values], *[F.max(f"_p_{p}").over(before).alias(f"_p_{p}") for p in previous]).where(F.col(f"_c_{values[0]}").isNotNull())  # none for a key's first range
     within = Window.partitionBy(key, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    own = ranged.withColumns({v: F.coalesce(F.sum(v).over(within), F.lit(0)) for v in values})
+    last = {p: F.lag(c).over(Window.partitionBy(key, "_range").orderBy(*order)) for p, c in previous.items()}
+    own = ranged.withColumns(last | {v: F.coalesce(F.sum(v).over(within), F.lit(0)) for v in values})
     out = own.join(F.broadcast(carried), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_range") == F.col("_r")), "left")
-    return few.unionByName(out.withColumns({v: F.col(v) + F.coalesce(f"_c_{v}", F.lit(0)) for v in values}).select(*df.columns))
+    out = out.withColumns({v: F.col(v) + F.coalesce(f"_c_{v}", F.lit(0)) for v in values} | {p: F.coalesce(p, f"_p_{p}") for p in previous})
+    return few.unionByName(out.select(*df.columns, *previous))
 
 
 #: Works of a span by number up to which a row holds their sets.
@@ -321,34 +328,38 @@ def _overlap(rows: DataFrame, author: str, work: str, time: Column, members: str
     """Intersection of the sets of a span's works by their union, from running counts; a span holds the works less than `span` before the row,
     in time or, by_number, in the author's works.
 
-    No row holds the sets of its span. A member is in the union from the first work of a stretch without gaps as long as the span until the last
-    one leaves it: +1 and -1. It is in all works of the span while it is in each work since the one that left the span last: for each stretch
-    of consecutive works with the member, +1 once the work before the stretch has left, and -1 after its last work. Both are running sums
-    over an author's events, as many as the sets have members. Null sets count as empty.
+    No row holds the sets of its span, and no event is made for a member of one work only. The union is the sum of the sizes of the span's sets, less
+    one for each member that was in the span already: -1 where it comes again, +1 where the earlier work leaves. A member is in all works of the
+    span while it is in each work since the one that left the span last: for each stretch of two or more consecutive works with the member, +1
+    once the work before the stretch has left, and -1 after its last work; a work that is alone in its span has its own set. Both are running
+    sums over an author's events: two for a work, and those of members that come again within the span. Null sets count as empty.
     """
     held = written(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
     bare = held.select(F.col(author).alias("a"), time.alias("t"), F.col(work).alias("w"), "_row", F.array_distinct(members).alias("m"), F.lit(1).cast("bigint").alias("n"))
-    numbered = running_sums(bare.select("a", "t", "w", "_row", "n"), "a", ["t", "w", "_row"], ["n"], most)
-    numbered = numbered.select("a", (F.col("n") if by_number else F.col("t")).alias("t"), "n", "_row")
-    before = numbered.select(F.col("a").alias("_a"), (F.col("n") + 1).alias("_n"), F.col("t").alias("before"))
-    numbered = written(numbered.join(before, F.col("a").eqNullSafe(F.col("_a")) & (F.col("n") == F.col("_n")), "left").select("a", "t", "n", "_row", "before"), "numbered")
-    each = numbered.join(bare.select("_row", "m"), "_row").select("a", "t", "n", "before", F.explode("m").alias("m"))
+    numbered = running_sums(bare, "a", ["t", "w", "_row"], ["n"], most, {"before": "t"})
+    if by_number:
+        numbered = numbered.withColumns({"t": F.col("n"), "before": F.when(F.col("n") > 1, F.col("n") - 1)})
+    numbered = written(numbered.select("a", "t", "n", "_row", "before", "m", F.greatest(F.coalesce(F.size("m"), F.lit(0)), F.lit(0)).cast("bigint").alias("size")), "numbered")
     w = Window.partitionBy("a", "m").orderBy("n")
-    met = each.withColumns({"pn": F.lag("n").over(w), "pt": F.lag("t").over(w), "nt": F.lead("t").over(w), "stretch": F.col("n") - F.row_number().over(w)})
-    event = lambda at, phase, n, sub, union, common: F.struct(at.alias("t"), F.lit(phase).alias("phase"), n.cast("bigint").alias("n"), F.lit(sub).alias("sub"), F.lit(union).alias("union"), F.lit(common).alias("common"))
-    enters = F.when(F.col("pt").isNull() | (F.col("t") >= F.col("pt") + span), event(F.col("t"), 1, F.col("n"), 0, 1, 0))
-    leaves = F.when(F.col("nt").isNull() | (F.col("nt") >= F.col("t") + span), event(F.col("t") + span, 0, F.lit(0), 0, -1, 0))
-    union = met.select("a", F.explode(F.array_compact(F.array(enters, leaves))).alias("e"))
-    runs = met.groupBy("a", "m", "stretch").agg(F.min("n").alias("s"), F.max("n").alias("e"), F.min("t").alias("ts"), F.max("t").alias("te"), F.min_by("before", "n").alias("before"))
+    met = numbered.select("a", "t", "n", "before", F.explode("m").alias("m")).withColumns({"pn": F.lag("n").over(w), "pt": F.lag("t").over(w), "nn": F.lead("n").over(w), "stretch": F.col("n") - F.row_number().over(w)})
+    again, follows = F.coalesce(F.col("t") < F.col("pt") + span, F.lit(False)), F.coalesce(F.col("pn") == F.col("n") - 1, F.lit(False))
+    met = met.withColumns({"again": again, "run": follows | F.coalesce(F.col("nn") == F.col("n") + 1, F.lit(False))}).where("again OR run")
+    met = written(met, "met")
+    event = lambda at, phase, n, sub, union, common: F.struct(at.alias("t"), F.lit(phase).alias("phase"), n.cast("bigint").alias("n"), F.lit(sub).alias("sub"), union.cast("bigint").alias("union"), F.lit(common).cast("bigint").alias("common"))
+    none, gone = F.lit(0), F.lit(None).cast("bigint").alias("_row")
+    union = met.where("again").select("a", F.explode(F.array(event(F.col("t"), 1, F.col("n"), 0, F.lit(-1), 0), event(F.col("pt") + span, 0, none, 0, F.lit(1), 0))).alias("e"))
+    runs = met.where("run").groupBy("a", "m", "stretch").agg(F.min("n").alias("s"), F.max("n").alias("e"), F.min("t").alias("ts"), F.max("t").alias("te"), F.min_by("before", "n").alias("before"))
     alone = F.col("before") + span  # when the work before the stretch leaves
     runs = runs.where(F.col("before").isNull() | (F.col("te") >= alone))
-    starts = F.when(F.col("before").isNull() | (F.col("ts") >= alone), event(F.col("ts"), 1, F.col("s"), 0, 0, 1)).otherwise(event(alone, 0, F.lit(0), 0, 0, 1))
-    common = runs.select("a", F.explode(F.array(starts, event(F.col("te"), 1, F.col("e"), 2, 0, -1))).alias("e"))
-    events = union.unionByName(common).select("a", "e.*", F.lit(None).cast("bigint").alias("_row"))
-    marks = numbered.select("a", event(F.col("t"), 1, F.col("n"), 1, 0, 0).alias("e"), "_row").select("a", "e.*", "_row")
+    starts = F.when(F.col("before").isNull() | (F.col("ts") >= alone), event(F.col("ts"), 1, F.col("s"), 0, none, 1)).otherwise(event(alone, 0, none, 0, none, 1))
+    common = runs.select("a", F.explode(F.array(starts, event(F.col("te"), 1, F.col("e"), 2, none, -1))).alias("e"))
+    leaves = numbered.where("size > 0").select("a", event(F.col("t") + span, 0, none, 0, -F.col("size"), 0).alias("e"))
+    events = reduce(DataFrame.unionByName, (union, common, leaves)).select("a", "e.*", gone, gone.alias("own"))
+    only = F.when(F.col("before").isNull() | (F.col("t") >= F.col("before") + span), F.col("size"))
+    marks = numbered.select("a", event(F.col("t"), 1, F.col("n"), 1, F.col("size"), 0).alias("e"), "_row", only.alias("own")).select("a", "e.*", "_row", "own")
     events = written(events.unionByName(marks), "events")
     sums = running_sums(events, "a", ["t", "phase", "n", "sub"], ["union", "common"], most).where("_row IS NOT NULL")
-    found = sums.select("_row", (F.col("common") / F.greatest(F.lit(1), F.col("union"))).alias("rolling_jaccard"))
+    found = sums.select("_row", (F.coalesce("own", "common") / F.greatest(F.lit(1), F.col("union"))).alias("rolling_jaccard"))
     return held.join(found, "_row").drop("_row")
 
 

@@ -157,3 +157,15 @@ def test_spread_tasks_hold_few_rows(spark):
     rows = spark.range(100_000).select((F.col("id") % 1).alias("u"), F.col("id").alias("v"))
     parts = components.spread(rows, 100_000, "u", "v", each=5000).distinct().groupBy(F.spark_partition_id()).count().toDF("p", "n").collect()
     assert len(parts) == 20 and max(x["n"] for x in parts) < 10_000
+
+
+def test_overlap_makes_no_events_for_members_of_one_work(spark, monkeypatch):
+    """Two events for a work, and more only for members that come again within the span, however large the sets are."""
+    rows = [(1, k, datetime(2020, 1, 1) + timedelta(days=k), [100 * k + i for i in range(50)]) for k in range(200)]
+    rows[7] = (*rows[7][:3], rows[6][3])
+    frame = spark.createDataFrame(rows, "author int, work int, date timestamp, others array<int>")
+    made, keep = {}, r.written
+    monkeypatch.setattr(r, "written", lambda df, name: made.setdefault(name, keep(df, name)))
+    got = {x["work"]: x["rolling_jaccard"] for x in r.rolling_overlap_days(frame, "author", "work", "date", days=2).collect()}
+    assert got[7] == 1.0 and got[0] == 1.0 and sum(got.values()) == 2.0
+    assert made["events"].count() <= 2 * 200 + 4 * 50
