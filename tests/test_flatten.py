@@ -3,9 +3,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lattica.operators import flatten as fl
-from lattica.schemas import NESTED
+from lattica.schemas import NESTED, nested_schema
 
 OA = "https://example.org/"
 
@@ -111,3 +112,15 @@ def test_named_tables_write_no_works(spark, nested, monkeypatch):
     for name, rows in every.items():
         assert sorted(map(repr, fl.flatten_works(nested, skips(spark), topics, only=[name])[name].collect())) == rows
     assert set(names) == {"skipped"}
+
+
+def test_authorships_are_made_distinct_in_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(fl, "AUTHORS", 50)
+    author = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.struct(F.struct(F.concat(F.lit("https://example.org/A"), (F.col("k") * 10 + i).cast("string")).alias("id")).alias("author")))
+    schema = nested_schema("works")
+    url = F.concat(F.lit("https://example.org/W"), F.col("k").cast("string"))
+    known = {"id": url, "authorships": F.from_json(F.to_json(author), schema["authorships"].dataType)}
+    works = spark.range(200).toDF("k").select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+    rows = fl.flatten_works(works.unionByName(works), only=["works_authorships"])["works_authorships"]
+    held = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert rows.count() == 1000 and len(held) > 30 and max(x["count"] for x in held) < 100
