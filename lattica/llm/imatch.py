@@ -9,6 +9,7 @@ themselves: a document's fingerprint is the list of these hashes.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -130,7 +131,7 @@ def likeness(a: str, b: str) -> Column:
     return F.coalesce(spoken, shares[0][1], F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(F.lit(0.0)))
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, more: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, id_col: str, text_col: str, more: list[str], make: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows (doc_id, text, *more) with those of the next row as next_*: in descending order of the
     id, the first row after the last. Null ids come last; rows of one id stand in the order of a hash
     of the text; rows alike in both are one document and have the same next one.
@@ -138,19 +139,20 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, more: list[str]) -> D
     Integer ids that lie close are dealt into ranges, and each range gets a ghost of the next range's
     first row, so a window over a range suffices: texts are shuffled once. For other ids the order
     of the ids and hashes alone is made, over ranges that Spark deals, and texts are joined to it.
+    make adds the columns `more`, of each row by itself, where they are dear: within ranges once for a row and a ghost.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *more).withColumn("h", F.xxhash64("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *([] if make else more)).withColumn("h", F.xxhash64("text"))
     if base.schema["doc_id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
         rank = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
         ranked = base.withColumn("rank", rank).withColumn("range", F.shiftright("rank", 9))
         heads = written(ranked.groupBy("range").agg(F.max(F.struct("rank", "h")).alias("head"), F.count("*").alias("rows"), F.count_distinct("rank", "h").alias("keys")), "heads")
         ranges, rows, keys, largest = heads.agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("keys"), F.lit(0)), F.coalesce(F.max("rows"), F.lit(0))).first()
         if rows == keys and largest <= 4096 and 8 * ranges <= rows + 64:
-            return _next_in_ranges(ranked, heads.select("range", "head"), more)
-    return _next_by_key(base, more)
+            return _next_in_ranges(ranked, heads.select("range", "head"), more, make)
+    return _next_by_key(make(base) if make else base, more)
 
 
-def _next_in_ranges(base: DataFrame, heads: DataFrame, more: list[str]) -> DataFrame:
+def _next_in_ranges(base: DataFrame, heads: DataFrame, more: list[str], make: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
     outer = heads.withColumn("group", F.shiftright("range", 9))
     tops = outer.groupBy("group").agg(F.max(F.struct("range", "head")).alias("top"))
     order = Window.orderBy(F.desc("group"))
@@ -162,7 +164,8 @@ def _next_in_ranges(base: DataFrame, heads: DataFrame, more: list[str]) -> DataF
     ghosts = base.drop("range").join(follows, ["rank", "h"]).select(*base.columns, F.lit(True).alias("ghost"))
     order = Window.partitionBy("range").orderBy("ghost", F.desc("rank"), F.desc("h"))
     led = [F.lead(c).over(order).alias(f"next_{c}") for c in ("text", *more)]
-    return base.withColumn("ghost", F.lit(False)).unionByName(ghosts).select("doc_id", "text", *more, "ghost", *led).where("NOT ghost").drop("ghost")
+    rows = base.withColumn("ghost", F.lit(False)).unionByName(ghosts)
+    return (make(rows) if make else rows).select("doc_id", "text", *more, "ghost", *led).where("NOT ghost").drop("ghost")
 
 
 def _next_by_key(base: DataFrame, more: list[str]) -> DataFrame:
@@ -191,8 +194,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lex = lexicon(docs, text_col)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
-    base = base.select("*", fingerprint_terms(F.col("text"), lex).alias("terms")).select("doc_id", "text", subset_hashes(F.col("terms")).alias("own"))
-    rows = with_next(base, "doc_id", "text", ["own"])
+    own = lambda df: df.withColumn("terms", fingerprint_terms(F.col("text"), lex)).withColumn("own", subset_hashes(F.col("terms"))).drop("terms")
+    rows = with_next(base, "doc_id", "text", ["own"], own)
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "own", "next_own", F.concat(F.left("text", n - third), F.left("next_text", third)).alias("edited"))
