@@ -12,20 +12,22 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.flatten import ENTITIES, TOPIC_COLUMNS, WORKS, flatten, work_parents, work_tables
 from ..operators.relational import completed, missing_tables, validated
-from ..runtime import dropped, path_exists, remove, subfolders, written
+from ..runtime import broadcast_below, dropped, path_exists, remove, subfolders, written
 from ..schemas import LOG
 from ..sources.scans import parsed_lines
 from ..sources.sinks import stored
 
 #: The log's rows: LOG, the batch that holds the file's rows of the table (null: removed), and the generation.
 LOG_ROWS = LOG + ", at_batch string, generation bigint"
+#: Bytes of files that a batch takes, or one file: what a batch's joins broadcast does not grow with the input.
+BATCH_BYTES = 256 << 20
 #: (topics, institutions), as the batch that is written finds them.
 Dimensions = Callable[[SparkSession], tuple[DataFrame | None, DataFrame | None]]
 
@@ -35,11 +37,10 @@ def ingest(spark: SparkSession, entity: str, source: str, target: str, checkpoin
 
     Every table of a batch goes to its own batch=<n> partition, written with overwrite, so a batch that is
     run again after a failure leaves the same rows. Lines that are not JSON go to target/_bad. dimensions is asked
-    for topics and institutions in each batch, so works get the names that are current then.
+    for topics and institutions in each batch, so works get the names that are current then. A batch takes BATCH_BYTES, or files_per_trigger files.
     """
     lines = spark.readStream.format("text").option("recursiveFileLookup", True)
-    if files_per_trigger:
-        lines = lines.option("maxFilesPerTrigger", files_per_trigger)
+    lines = lines.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else lines.option("maxBytesPerTrigger", BATCH_BYTES)
     rows = lines.load(source).select("value", F.col("_metadata.file_path").alias("source_file"))
 
     def write(batch: DataFrame, n: int) -> None:
@@ -58,7 +59,7 @@ def save_batch(lines: DataFrame, batch: str, entity: str, target: str, skip: dic
     spark = lines.sparkSession
     good, bad = parsed_lines(lines.where("trim(value) <> ''"), entity, own_id)
     if entity == "works":
-        parents = written(work_parents(good, skip), "works")  # every table reads it
+        parents = written(work_parents(good, skip, twice=True), "works")  # every table reads it
         topics, institutions = dimensions(spark) if dimensions else (None, None)
         tables = work_tables(parents, spark.createDataFrame([], TOPIC_COLUMNS) if topics is None else topics, institutions)
     else:
@@ -122,12 +123,37 @@ def file_rows(spark: SparkSession, target: str, table: str) -> DataFrame:
     return batches_of(spark, target, table).join(now, ["source_file", "batch"], "left_semi")
 
 
-def current_rows(spark: SparkSession, entity: str, target: str, table: str, key: str) -> DataFrame:
-    """Rows of a table, each entity from one source file only: that whose parent rows are of the latest generation (of several, the last by name)."""
-    order = current_files(spark, target).where(F.col("table") == entity).select("source_file", "batch", "generation")
-    parents = batches_of(spark, target, entity).select(key, "source_file", "batch").join(order, ["source_file", "batch"])
-    owner = parents.groupBy(key).agg(F.max(F.struct("generation", "source_file")).alias("x")).select(key, F.col("x.source_file").alias("source_file"))
-    return file_rows(spark, target, table).join(owner, [key, "source_file"], "left_semi")
+def _places(spark: SparkSession, entity: str, target: str) -> DataFrame:
+    """(source_file, batch, place): the parent table's current files, in the order of their generations and names; one row for each file."""
+    order = current_files(spark, target).where(F.col("table") == entity)
+    return order.select("source_file", "batch", F.row_number().over(Window.orderBy("generation", "source_file")).alias("place"))
+
+
+def repeated_keys(spark: SparkSession, entity: str, target: str, key: str) -> DataFrame:
+    """(key, owner): entities that are in several current files, with the place of the file whose rows count."""
+    parents = batches_of(spark, target, entity).select(key, "source_file", "batch").join(F.broadcast(_places(spark, entity, target)), ["source_file", "batch"])
+    held = parents.groupBy(key).agg(F.max("place").alias("owner"), F.min("place").alias("first"))
+    return written(held.where("owner > first").select(key, "owner"), "repeated")
+
+
+def current_rows(spark: SparkSession, entity: str, target: str, table: str, key: str, repeated: DataFrame | None = None) -> DataFrame:
+    """Rows of a table, each entity from one source file only: that whose parent rows are of the latest generation (of several, the last by name).
+
+    Rows that were written with their parents need only lose what is in another file too: these entities, the repeated_keys() (taken
+    once for several tables), are broadcast while they are few. Rows of other batches than their parents' are looked up there.
+    """
+    places = _places(spark, entity, target)
+    now = current_files(spark, target).where(F.col("table") == table).select("source_file", "batch")
+    repeated = broadcast_below(repeated_keys(spark, entity, target, key) if repeated is None else repeated, 2_000_000)
+    rows = batches_of(spark, target, table)
+    together = rows.join(F.broadcast(now.join(places, ["source_file", "batch"])), ["source_file", "batch"]).join(repeated, key, "left")
+    together = together.where("owner IS NULL OR owner = place").select(*rows.columns)
+    apart = now.join(places, ["source_file", "batch"], "left_anti")
+    if apart.isEmpty():
+        return together
+    parents = batches_of(spark, target, entity).select(key, "source_file", "batch").join(F.broadcast(places), ["source_file", "batch"])
+    owner = parents.join(repeated, key, "left").where("owner IS NULL OR owner = place").select(key, "source_file").distinct()
+    return together.unionByName(rows.join(F.broadcast(apart), ["source_file", "batch"], "left_semi").join(owner, [key, "source_file"], "left_semi"))
 
 
 def ingested_dimensions(topics: str | None, institutions: str | None) -> Dimensions:
