@@ -60,7 +60,7 @@ def save_batch(lines: DataFrame, batch: str, entity: str, target: str, skip: dic
     good, bad = parsed_lines(lines.where("trim(value) <> ''"), entity, own_id)
     if entity == "works":
         parents = written(work_parents(good, skip, twice=True), "works")  # every table reads it
-        topics, institutions = dimensions(spark) if dimensions else (None, None)
+        topics, institutions = (None if x is None else broadcast_below(x, 200_000) for x in (dimensions(spark) if dimensions else (None, None)))
         tables = work_tables(parents, spark.createDataFrame([], TOPIC_COLUMNS) if topics is None else topics, institutions)
     else:
         parents = written(good, "parsed")
