@@ -26,11 +26,23 @@ def read_entity_tolerant(spark: SparkSession, entity: str, paths: str | list[str
     return parsed_lines(lines, entity, own_id)
 
 
+def marked_lines(lines: DataFrame, entity: str, own_id: str = "own_id") -> DataFrame:
+    """The records of all lines (value, source_file), null where a line is blank, with source_file and _line, the text of a line that is not JSON.
+    The parsed record comes out of an explode, below which no filter on it goes: each line is parsed once."""
+    schema = T.StructType([*nested_schema(entity, own_id).fields, T.StructField("_bad", T.StringType())])
+    record = F.from_json(F.when(F.trim("value") != "", F.col("value")), schema, {"columnNameOfCorruptRecord": "_bad"})
+    rows = lines.select("source_file", "value", F.explode(F.array(record)).alias("r"))
+    return with_own_id(rows.select("r.*", "source_file", F.when(F.col("r._bad").isNotNull(), F.col("value")).alias("_line")).drop("_bad"), entity)
+
+
 def parsed_lines(lines: DataFrame, entity: str, own_id: str = "own_id") -> tuple[DataFrame, DataFrame]:
     """The same for lines (value, source_file) from anywhere."""
-    schema = T.StructType([*nested_schema(entity, own_id).fields, T.StructField("_bad", T.StringType())])
-    rows = lines.withColumn("r", F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}))
-    return with_own_id(rows.where("r._bad IS NULL").select("r.*", "source_file").drop("_bad"), entity), rows.where("r._bad IS NOT NULL").select("source_file", F.col("value").alias("line"))
+    return good_and_bad(marked_lines(lines, entity, own_id))
+
+
+def good_and_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of marked_lines()."""
+    return rows.where("_line IS NULL").drop("_line"), rows.where("_line IS NOT NULL").select("source_file", F.col("_line").alias("line"))
 
 
 def read_manifest(spark: SparkSession, path: str, prefix: str, max_files: int | None = None) -> DataFrame:

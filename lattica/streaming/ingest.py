@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.flatten import ENTITIES, TOPIC_COLUMNS, WORKS, flatten, work_parents, work_tables
+from ..operators.flatten import BROADCAST, ENTITIES, TOPIC_COLUMNS, WORKS, flatten, named_skipped, skipped, work_parents, written_work_tables
 from ..operators.relational import completed, missing_tables, validated
 from ..runtime import broadcast_below, dropped, path_exists, remove, subfolders, written
 from ..schemas import LOG
-from ..sources.scans import parsed_lines
+from ..sources.scans import good_and_bad, marked_lines
 from ..sources.sinks import stored
 
 #: The log's rows: LOG, the batch that holds the file's rows of the table (null: removed), and the generation.
@@ -55,16 +55,22 @@ def table_names(entity: str) -> list[str]:
 
 def save_batch(lines: DataFrame, batch: str, entity: str, target: str, skip: dict[str, DataFrame] | None = None, only: list[str] | None = None, own_id: str = "own_id", dimensions: Dimensions | None = None) -> None:
     """Write the tables, or only some, of lines (value, source_file) and log the rows of each by source file, 0 where it has none.
-    A batch of the same name is written anew, in its place and generation."""
+    A batch of the same name is written anew, in its place and generation. The lines are read and parsed once: every table reads the parsed rows."""
     spark = lines.sparkSession
-    good, bad = parsed_lines(lines.where("trim(value) <> ''"), entity, own_id)
+    parsed = written(marked_lines(lines, entity, own_id), "parsed")
+    scratch = [parsed]
+    good, bad = good_and_bad(parsed)
     if entity == "works":
-        parents = written(work_parents(good, skip, twice=True), "works")  # every table reads it
+        of = skipped(skip, lambda df, name: scratch.append(written(df, name)) or scratch[-1])
+        named = named_skipped(good, of)
+        if named is not None:
+            scratch.append(written(named, "named"))
+            named = broadcast_below(scratch[-1], BROADCAST)
+        attached = work_parents(good, of=of, named=named)
         topics, institutions = (None if x is None else broadcast_below(x, 200_000) for x in (dimensions(spark) if dimensions else (None, None)))
-        tables = work_tables(parents, spark.createDataFrame([], TOPIC_COLUMNS) if topics is None else topics, institutions)
+        tables = written_work_tables(work_parents(good, of=of), attached, of, spark.createDataFrame([], TOPIC_COLUMNS) if topics is None else topics, institutions)
     else:
-        parents = written(good, "parsed")
-        tables = flatten(entity, parents, (skip or {}).get(entity))
+        tables = flatten(entity, good, (skip or {}).get(entity))
     wanted = {name: stored(df) for name, df in tables.items() if only is None or name in only}
 
     def write(name: str) -> DataFrame:
@@ -76,10 +82,11 @@ def save_batch(lines: DataFrame, batch: str, entity: str, target: str, skip: dic
         there = reduce(DataFrame.unionByName, pool.map(write, wanted))
     if only is None:
         bad.write.mode("overwrite").json(f"{target}/_bad/batch={batch}")
-    files = lines.select(F.col("source_file").alias("path")).distinct().select("path", F.explode(F.array(*map(F.lit, wanted))).alias("table"))
+    files = parsed.select(F.col("source_file").alias("path")).distinct().select("path", F.explode(F.array(*map(F.lit, wanted))).alias("table"))
     counts = there.groupBy("path", "table").agg(F.count("*").alias("records"))
     _log(files.join(counts, ["path", "table"], "left").select("path", "table", F.coalesce("records", F.lit(0)).alias("records"), F.lit(batch).alias("at_batch")), batch, target)
-    dropped(parents)
+    for df in scratch:
+        dropped(df)
 
 
 def _log(rows: DataFrame, entry: str, target: str) -> None:
