@@ -14,7 +14,7 @@ ODD = [
 ]
 
 
-@pytest.mark.parametrize("name", ["abstract_roundtrip"])
+@pytest.mark.parametrize("name", ["abstract_roundtrip", "dedup_key"])
 def test_odd_texts(spark, tmp_path, name):
     spark.createDataFrame(list(enumerate(ODD)), "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     con = duckdb.connect()
